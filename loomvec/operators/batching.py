@@ -11,8 +11,10 @@ from loomvec.functions.lengths import bucket_high, bucket_low
 from loomvec.operators.ordering import with_positions
 
 
-def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, name: str) -> DataFrame:
-    placed = with_positions(df, keys, order, "_at")
+def _numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, name: str, stage: bool = False
+) -> DataFrame:
+    placed = with_positions(df, keys, order, "_at", stage)
     return placed.withColumn(name, F.floor((F.col("_at") - 1) / size)).drop("_at")
 
 
@@ -34,7 +36,7 @@ def bucketed_batches(df: DataFrame, order: Sequence[str], size: int = 32) -> Dat
     bucketed = df.withColumn("bucket_lo", bucket_low(n_tokens)).withColumn(
         "bucket_hi", bucket_high(n_tokens)
     )
-    return _numbered(bucketed, ["bucket_lo", "bucket_hi"], order, size, "batch")
+    return _numbered(bucketed, ["bucket_lo", "bucket_hi"], order, size, "batch", stage=True)
 
 
 def bucket_counts(df: DataFrame) -> DataFrame:
@@ -52,7 +54,7 @@ def shuffled_batches(batches: DataFrame, keys: Sequence[str], seed: int = 42) ->
     """
     name = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
     drawn = batches.groupBy(*keys).agg(F.count("*").alias("docs")).withColumn("_draw", F.md5(name))
-    return with_positions(drawn, [], ["_draw", *keys], "turn").drop("_draw")
+    return with_positions(drawn, [], ["_draw", *keys], "turn", stage=True).drop("_draw")
 
 
 def for_padding(rows: DataFrame) -> DataFrame:

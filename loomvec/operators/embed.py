@@ -14,6 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomvec.functions.once import with_once
 from loomvec.functions.text import clean_text, has_text
 from loomvec.functions.vectors import l2_normalize
 from loomvec.operators.providers import HashingProvider, Provider
@@ -40,7 +41,7 @@ def prepare_texts(records: DataFrame, clean: bool = True) -> DataFrame:
     """
     rows = records.select("id", "text").where(has_text(F.col("text")))
     if clean:
-        rows = rows.select("id", clean_text(F.col("text")).alias("text")).where(F.col("text") != "")
+        rows = with_once(rows, "text", clean_text(F.col("text"))).where(F.col("text") != "")
     return rows
 
 

@@ -15,7 +15,11 @@ _ROW_BITS = 33
 
 
 def with_positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "position",
+    stage: bool = False,
 ) -> DataFrame:
     """Add the 1-based position of every row within its key.
 
@@ -23,9 +27,13 @@ def with_positions(
     may be any share of the data: rows are range-sorted over all partitions by
     ``keys + order``, numbered inside their partition, and shifted by the size of
     the same key's earlier partitions. ``order`` has to end in a unique column.
-    Project to the needed columns first: the sorted rows are written once.
+    Project to the needed columns first: the sorted rows are written once. A range
+    sort reads its input twice, for the bounds and for the rows; ``stage`` writes the
+    input first where that is cheaper than computing it twice.
     """
     keys = list(keys)
+    if stage:
+        df = materialise(df, "staged")
     laid = materialise(
         df.orderBy(*keys, *order).withColumn("_row", F.monotonically_increasing_id()),
         "positions",

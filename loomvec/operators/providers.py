@@ -13,6 +13,7 @@ import hashlib
 import json
 import urllib.request
 from collections.abc import Callable, Sequence
+from itertools import chain
 from typing import Any, Protocol
 
 import numpy as np
@@ -24,6 +25,19 @@ class Provider(Protocol):
     def embed(self, texts: list[str], endpoint: str | None) -> Any: ...
 
 
+class _Slots(dict):
+    """Token to twice its bucket, plus one for a negative sign; -1 for the empty token."""
+
+    def __init__(self, dims: int):
+        super().__init__({"": -1})
+        self.dims = dims
+
+    def __missing__(self, token: str) -> int:
+        digest = hashlib.md5(token.encode()).hexdigest()
+        slot = self[token] = int(digest[:8], 16) % self.dims * 2 + int(digest[8], 16) % 2
+        return slot
+
+
 class HashingProvider:
     """Feature hashing (Weinberger et al. 2009): a stand-in for a model.
 
@@ -36,32 +50,20 @@ class HashingProvider:
 
     def __init__(self, dims: int = 64):
         self.dims = dims
-        self._slots: dict[str, tuple[int, int]] = {}
-
-    def _slot(self, token: str) -> tuple[int, int]:
-        slot = self._slots.get(token)
-        if slot is None:
-            digest = hashlib.md5(token.encode()).hexdigest()
-            slot = (int(digest[:8], 16) % self.dims, 1 - 2 * (int(digest[8], 16) % 2))
-            if len(self._slots) >= self._REMEMBER:
-                self._slots.clear()
-            self._slots[token] = slot
-        return slot
+        self._slots = _Slots(dims)
 
     def embed(self, texts: list[str], endpoint: str | None = None) -> np.ndarray:
-        places: list[int] = []
-        signs: list[int] = []
-        for row, text in enumerate(texts):
-            for token in text.split(" "):
-                if token:
-                    bucket, sign = self._slot(token)
-                    places.append(row * self.dims + bucket)
-                    signs.append(sign)
+        if len(self._slots) > self._REMEMBER:
+            self._slots = _Slots(self.dims)
+        look_up, n = self._slots.__getitem__, len(texts)
+        found = [list(map(look_up, text.split(" "))) for text in texts]
+        slots = np.fromiter(chain.from_iterable(found), dtype=np.int64)
+        rows = np.repeat(np.arange(n), [len(tokens) for tokens in found])
+        full = slots >= 0
+        slots, rows = slots[full], rows[full]
         sums = np.bincount(
-            np.asarray(places, dtype=np.int64),
-            weights=np.asarray(signs, dtype=np.float64),
-            minlength=len(texts) * self.dims,
-        ).reshape(len(texts), self.dims)
+            rows * self.dims + slots // 2, weights=1.0 - 2.0 * (slots % 2), minlength=n * self.dims
+        ).reshape(n, self.dims)
         norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True)) + EPSILON
         return sums / norms
 

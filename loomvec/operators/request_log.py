@@ -52,36 +52,63 @@ def latency_summary(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return summary.fillna(0.0, ["p50_ms", "p95_ms", "p99_ms"]).fillna(0, ["n"])
 
 
-def warmup_trim(
-    log: DataFrame, warmup_secs: float = 3.0, trial_secs: float = 20.0, keys: Sequence[str] = RUN
+def per_second_totals(log: DataFrame, keys: Sequence[str] = RUN) -> DataFrame:
+    """One row per run and second of completion: the log reduced in a single pass.
+
+    Its size follows the runs' wall time, not their requests.
+    """
+    started = seconds(F.col("done_at")) - F.col("latency_ms") / 1000
+    return log.groupBy(*keys, F.date_trunc("second", "done_at").alias("second")).agg(
+        F.count("*").alias("requests"),
+        F.sum("docs").cast("bigint").alias("docs"),
+        F.sum("tokens").cast("bigint").alias("tokens"),
+        F.sum("error").cast("bigint").alias("errors"),
+        F.min(started).alias("first_start"),
+        F.max(seconds(F.col("done_at"))).alias("last_end"),
+    )
+
+
+def warmup_cuts(
+    totals: DataFrame, warmup_secs: float, trial_secs: float, keys: Sequence[str] = RUN
 ) -> DataFrame:
-    """Drop each run's first requests in completion order.
+    """Per run the second its warm-up ends in, and how many of that second's requests to drop.
 
-    A run of n > 5 requests loses ``min(int(n * warmup / trial), n // 4)``. Counts
-    per run and second find the second the cut falls in; rows of other seconds are
-    kept or dropped by it alone, and only that second's rows are put in order.
+    A run of n > 5 requests loses ``min(int(n * warmup / trial), n // 4)``.
     """
-    keys = list(keys)
-    second = F.date_trunc("second", "done_at")
-    per_second_counts = log.groupBy(*keys, second.alias("_second")).agg(F.count("*").alias("_c"))
     in_run = Window.partitionBy(*keys)
-    upto = in_run.orderBy("_second").rowsBetween(Window.unboundedPreceding, 0)
+    upto = in_run.orderBy("second").rowsBetween(Window.unboundedPreceding, 0)
     share = warmup_secs / max(trial_secs, 1.0)
-    n = F.sum("_c").over(in_run)
+    n = F.sum("requests").over(in_run)
     trim = F.when(
         (n > 5) & F.lit(warmup_secs > 0),
         F.least(F.floor(n * F.lit(share)), F.floor(n / 4)),
     ).otherwise(0)
-    running = per_second_counts.select(
-        *keys, "_second", "_c", F.sum("_c").over(upto).alias("_upto"), trim.alias("_trim")
-    )
-    # One row per run: the second with the first row to keep, and how many rows of it to drop.
-    cuts = materialise(
-        running.where((F.col("_upto") > F.col("_trim")) & (F.col("_upto") - F.col("_c") <= F.col("_trim")))
-        .select(*keys, "_second", (F.col("_trim") - F.col("_upto") + F.col("_c")).alias("_drop")),
-        "cuts",
+    running = totals.select(
+        *keys, "second", "requests", F.sum("requests").over(upto).alias("_upto"), trim.alias("_trim")
     )
+    before = F.col("_upto") - F.col("requests")
+    cut = running.where((F.col("_upto") > F.col("_trim")) & (before <= F.col("_trim")))
+    return cut.select(*keys, F.col("second").alias("_second"), (F.col("_trim") - before).alias("_drop"))
+
+
+def warmup_trim(
+    log: DataFrame,
+    warmup_secs: float = 3.0,
+    trial_secs: float = 20.0,
+    keys: Sequence[str] = RUN,
+    totals: DataFrame | None = None,
+) -> DataFrame:
+    """Drop each run's first requests in completion order (see :func:`warmup_cuts`).
+
+    Rows of other seconds than the cut's are kept or dropped by their second alone;
+    only the cut second's rows are put in order. ``totals`` may pass on what
+    :func:`per_second_totals` gave.
+    """
+    keys = list(keys)
+    counts = per_second_totals(log, keys) if totals is None else totals
+    cuts = materialise(warmup_cuts(counts, warmup_secs, trial_secs, keys), "cuts")
     marked = join_on(log, cuts, keys)
+    second = F.date_trunc("second", "done_at")
     is_cut = second == F.col("_second")
     whole = marked.where((second > F.col("_second")) | (is_cut & (F.col("_drop") == 0)))
     split = with_positions(
@@ -100,14 +127,15 @@ def trial_metrics(
     and rates count all requests, failed ones too; only latencies are trimmed.
     """
     keys = list(keys)
-    started = F.min(seconds(F.col("done_at")) - F.col("latency_ms") / 1000)
-    totals = log.groupBy(*keys).agg(
-        F.sum("docs").cast("bigint").alias("docs"),
-        F.sum("tokens").cast("bigint").alias("tokens"),
-        F.sum("error").cast("bigint").alias("errors"),
-        (F.max(seconds(F.col("done_at"))) - started).alias("dur"),
+    by_second = materialise(per_second_totals(log, keys), "seconds")
+    totals = by_second.groupBy(*keys).agg(
+        F.sum("docs").alias("docs"),
+        F.sum("tokens").alias("tokens"),
+        F.sum("errors").alias("errors"),
+        (F.max("last_end") - F.min("first_start")).alias("dur"),
     )
-    trimmed = warmup_trim(log.select(*keys, "request_id", "done_at", "latency_ms"), warmup_secs, trial_secs, keys)
+    samples = log.select(*keys, "request_id", "done_at", "latency_ms")
+    trimmed = warmup_trim(samples, warmup_secs, trial_secs, keys, by_second)
     latency = exact_percentiles(trimmed, keys, "latency_ms", {"p50": 0.5, "p95": 0.95})
     return join_on(totals, latency, keys, "left").select(
         *keys,

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomvec.sources.tables import read_table, spread_small
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,13 +28,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as ``(id, text)`` records."""
-    docs = table(spark, sf_dir, "documents")
-    return docs.select(F.col("doc_id").cast("string").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    return spread_small(docs, f"{sf_dir}/documents.parquet")
 
 
 def rendered(vector: Column) -> Column:

@@ -19,6 +19,7 @@ from loomvec.plans.catalog.registry import (
     strip_urls_sql,
     table,
 )
+from loomvec.sources.tables import spread_small
 
 
 @query(CLEAN_DOCUMENTS_SQL)
@@ -103,7 +104,8 @@ def truncate_tokens(spark, sf_dir):
 
 
 def _sized(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return spread_small(docs, f"{sf_dir}/documents.parquet").select(
         "doc_id", "source", text.estimate_tokens(F.col("text")).alias("n_tokens")
     )
 

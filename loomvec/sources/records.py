@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomvec.functions.once import with_once
 from loomvec.functions.text import has_text
 
 # Why a line is not a usable record, in the order the checks run.
@@ -20,8 +21,7 @@ _NUMBERS_TO_REJECT = ["NaN", "Infinity", "-Infinity"]
 
 def _parsed(lines: DataFrame) -> DataFrame:
     # The line is read as the only element of an array, so that anything before or
-    # after the object is an error. The explode keeps filters on the fields from
-    # being pushed below the parse, which would parse every line again.
+    # after the object is an error.
     objects = F.from_json(
         F.concat(F.lit("["), F.col("value"), F.lit("]")),
         "array<struct<_id: variant, text: variant>>",
@@ -29,7 +29,7 @@ def _parsed(lines: DataFrame) -> DataFrame:
     )
     whole = F.rtrim(F.col("value"), F.lit(" \t\r\n")).endswith("}")
     return (
-        lines.select("value", F.explode(F.array(objects)).alias("_o"))
+        with_once(lines, "_o", objects)
         .withColumn("_r", F.when(whole & (F.size("_o") == 1), F.get("_o", F.lit(0))))
         .select("value", F.col("_r").isNotNull().alias("_ok"), "_r._id", "_r.text")
     )

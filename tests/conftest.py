@@ -6,12 +6,15 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path = [os.path.abspath(p) for p in sys.path]
 
 from loomvec.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    # Python workers start in this folder, so nothing of the repository is on their path.
+    os.chdir(tmp_path_factory.mktemp("elsewhere"))
     session = build_session(
         "loomvec-tests",
         master="local[4]",
