@@ -66,10 +66,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once its results are written."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, where = _file_system(spark, _own_folder(spark))
+    files.delete(where, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

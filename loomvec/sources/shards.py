@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
 
 import pandas as pd
 import pyarrow as pa
@@ -80,8 +81,11 @@ def files_per_dir(listing: DataFrame) -> DataFrame:
     return listing.groupBy("dir").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
-def _open_footer(path: str) -> pq.FileMetaData:
-    filesystem, name = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+def _open_footer(uri: str) -> pq.FileMetaData:
+    if uri.startswith("file:"):
+        filesystem, name = pafs.LocalFileSystem(), unquote(urlparse(uri).path)
+    else:
+        filesystem, name = pafs.FileSystem.from_uri(uri)
     with filesystem.open_input_file(name) as source:
         return pq.ParquetFile(source).metadata
 
@@ -109,9 +113,9 @@ def inspect_shards(listing: DataFrame, ignore_extra: bool = False) -> DataFrame:
     def inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for path in batch["path"]:
+            for uri in batch["file_path"]:
                 try:
-                    footer = _open_footer(path)
+                    footer = _open_footer(uri)
                     schema = footer.schema.to_arrow_schema()
                     columns = ", ".join(f"{field.name}: {field.type}" for field in schema)
                     found.append((True, footer.num_rows, columns, _conforms(schema, ignore_extra), None))

@@ -8,8 +8,14 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path = [os.path.abspath(p) for p in sys.path]
 
+from pyspark import cloudpickle  # noqa: E402
+
+import tests  # noqa: E402
 from loomvec.session import build_session  # noqa: E402
 
+# As for the package itself: what tests define goes to the workers by value.
+cloudpickle.register_pickle_by_value(tests)
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
