@@ -71,7 +71,8 @@ def clean_text_sql(text: str) -> str:
 
 
 def estimate_tokens_sql(text: str) -> str:
-    return rf"least(2048, len(regexp_extract_all(coalesce({text}, ''), '[^{_WHITE_SQL}]+')))"
+    words = rf"len(regexp_extract_all(coalesce({text}, ''), '[^{_WHITE_SQL}]+'))"
+    return f"CAST(least(2048, {words}) AS INTEGER)"
 
 
 def hashed_sql(source: str, dims: int) -> str:

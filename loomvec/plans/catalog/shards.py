@@ -9,7 +9,7 @@ from loomvec.plans.catalog.registry import documents, query, rendered, rendered_
 from loomvec.session import scratch_path
 from loomvec.sources import shards
 
-_ROWS_PER_FILE = 20
+_ROWS_PER_FILE = 10_000
 
 
 def _vectors(spark, sf_dir):
@@ -97,7 +97,7 @@ def plan_compaction(spark, sf_dir):
 @query(_ALL_SQL)
 def consolidate(spark, sf_dir):
     output = scratch_path(spark, "consolidated")
-    compaction.compact(spark, _shard_dirs(spark, sf_dir), output, files_per_chunk=16, chunks_per_wave=2)
+    compaction.compact(spark, _shard_dirs(spark, sf_dir), output)
     return _shown(compaction.read_consolidated(spark, output))
 
 
@@ -105,7 +105,7 @@ def consolidate(spark, sf_dir):
 def consolidate_in_chunks(spark, sf_dir):
     output = scratch_path(spark, "consolidated")
     dirs = _shard_dirs(spark, sf_dir)
-    compaction.compact(spark, dirs, output, files_per_chunk=16, layout="chunks", target_bytes=64 << 10)
+    compaction.compact(spark, dirs, output, layout="chunks")
     return _shown(compaction.read_consolidated(spark, output))
 
 
@@ -115,9 +115,9 @@ def consolidate_in_chunks(spark, sf_dir):
 def consolidate_again(spark, sf_dir):
     """Compact one half of the folders, then all of them, then all of them again."""
     output, dirs = scratch_path(spark, "consolidated"), _shard_dirs(spark, sf_dir)
-    first = compaction.compact(spark, dirs[:1], output, files_per_chunk=16)
-    second = compaction.compact(spark, dirs, output, files_per_chunk=16)
-    third = compaction.compact(spark, dirs, output, files_per_chunk=16)
+    first = compaction.compact(spark, dirs[:1], output)
+    second = compaction.compact(spark, dirs, output)
+    third = compaction.compact(spark, dirs, output)
     return compaction.read_consolidated(spark, output).agg(
         F.lit(first.rows_written).cast("bigint").alias("rows_first"),
         F.lit(second.rows_written).cast("bigint").alias("rows_second"),
@@ -144,7 +144,7 @@ def schema_conformity(spark, sf_dir):
 @query("SELECT count(*) AS source_rows, count(*) AS output_rows, true AS same_ids FROM embeddings")
 def reconcile(spark, sf_dir):
     output, dirs = scratch_path(spark, "consolidated"), _shard_dirs(spark, sf_dir)
-    compaction.compact(spark, dirs, output, files_per_chunk=16)
+    compaction.compact(spark, dirs, output)
     return verify.reconcile(shards.read_shards(spark, *dirs), compaction.read_consolidated(spark, output))
 
 

@@ -20,6 +20,7 @@ EMBEDDED_TABLE_SCHEMA = (
 )
 # Both spellings of the id column are read; a file has one of them.
 SHARD_SCHEMA = "id string, _id string, embedding array<float>"
+FILES_PER_TASK = 200
 INSPECTED_SCHEMA = (
     "path string, file_path string, dir string, length bigint, "
     "readable boolean, rows bigint, columns string, conforms boolean, error string"
@@ -127,4 +128,5 @@ def inspect_shards(listing: DataFrame, ignore_extra: bool = False) -> DataFrame:
 
     listed = listing.select("path", "file_path", "dir", "length")
     # A footer costs a round trip whatever the file's size: spread by count, not by bytes.
-    return listed.repartition("path").mapInPandas(inspect, INSPECTED_SCHEMA)
+    tasks = -(-listed.count() // FILES_PER_TASK) or 1
+    return listed.repartition(tasks, "path").mapInPandas(inspect, INSPECTED_SCHEMA)
