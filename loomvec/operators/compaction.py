@@ -129,16 +129,20 @@ def compact(
     first_chunk = 0 if done.chunk is None else done.chunk + 1
     wave = 0 if done.wave is None else done.wave + 1
 
-    pending = skip_existing_chunks(list_shards(spark, *source_dirs), manifest)
+    pending = list_shards(spark, *source_dirs)
+    if done.wave is not None:
+        pending = skip_existing_chunks(pending, manifest)
     inspected = materialise(inspect_shards(pending, ignore_extra), "inspected")
     rejects = inspected.where(~F.col("conforms")).select("path", "readable", "columns", "error")
     good = inspected.where("conforms").select("path", "file_path", "length", "rows")
     plan = materialise(plan_compaction(good, files_per_chunk, first_chunk), "plan")
-    last = plan.agg(F.max("chunk")).first()[0]
+    totals = plan.agg(
+        F.count("*").alias("files"), F.sum("rows").alias("rows"), F.max("chunk").alias("last_chunk")
+    ).first()
+    last = totals.last_chunk
     if last is None:
         return Compaction(0, 0, 0, 0, 0, rejects)
 
-    totals = plan.agg(F.count("*").alias("files"), F.sum("rows").alias("rows")).first()
     written, first_wave = 0, wave
     for start in range(first_chunk, last + 1, chunks_per_wave):
         part = plan.where(F.col("chunk").between(start, start + chunks_per_wave - 1))

@@ -24,6 +24,7 @@ from loomvec.plans.catalog.registry import (
     query,
     rendered,
     rendered_sql,
+    scaled_sql,
     table,
 )
 from loomvec.session import scratch_path
@@ -102,7 +103,7 @@ def embed_in_flight(spark, sf_dir):
 _TURNS_SQL = "SELECT conv_id || '-' || turn AS id, text FROM conversations WHERE text <> ''"
 
 
-@query(f"SELECT id, {rendered_sql('embedding')} AS vector FROM ({hashed_sql(_TURNS_SQL, DIMS)})")
+@query(f"SELECT id, {rendered_sql(scaled_sql('embedding'))} AS vector FROM ({hashed_sql(_TURNS_SQL, DIMS)})")
 def embed_uncleaned(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), "text"

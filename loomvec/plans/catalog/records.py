@@ -34,80 +34,79 @@ def read_records_any(spark, sf_dir):
 
 
 @query("""
-    SELECT CASE doc_id % 4 WHEN 0 THEN CAST(doc_id AS VARCHAR)
-                           WHEN 1 THEN 'oid-' || doc_id
-                           WHEN 2 THEN '{"k":' || doc_id || '}'
-                           ELSE CASE WHEN doc_id % 8 = 3 THEN 'True' ELSE 'False' END END AS id,
+    SELECT CASE lang WHEN 'en' THEN CAST(doc_id AS VARCHAR)
+                     WHEN 'fr' THEN 'oid-' || doc_id
+                     WHEN 'de' THEN '{"k":' || doc_id || '}'
+                     ELSE CASE WHEN n_chars > 1000 THEN 'True' ELSE 'False' END END AS id,
            n_chars FROM documents""")
 def normalize_id(spark, sf_dir):
-    doc, kind = F.col("doc_id"), F.col("doc_id") % 4
+    doc, lang = F.col("doc_id"), F.col("lang")
     id_json = (
-        F.when(kind == 0, doc.cast("string"))
-        .when(kind == 1, F.to_json(F.struct(F.concat(F.lit("oid-"), doc).alias("$oid"))))
-        .when(kind == 2, F.to_json(F.struct(doc.alias("k"))))
-        .otherwise(F.when(doc % 8 == 3, "true").otherwise("false"))
+        F.when(lang == "en", doc.cast("string"))
+        .when(lang == "fr", F.to_json(F.struct(F.concat(F.lit("oid-"), doc).alias("$oid"))))
+        .when(lang == "de", F.to_json(F.struct(doc.alias("k"))))
+        .otherwise(F.when(F.col("n_chars") > 1000, "true").otherwise("false"))
     )
     docs = table(spark, sf_dir, "documents")
     return docs.select(source.normalize_id_json(id_json).alias("id"), "n_chars")
 
 
-# How line number doc_id is spoilt, and the verdict that has to follow.
-_SPOILT = {
-    1: ("cut off", source.MALFORMED),
-    2: ("junk after the object", source.MALFORMED),
-    3: ("an array", source.MALFORMED),
-    4: ("no _id key", source.NO_ID),
-    5: ("null _id", source.NULL_ID),
-    6: ("no text key", source.NO_TEXT),
-    7: ("a number as text", source.TEXT_NOT_STRING),
-    8: ("two objects", source.MALFORMED),
+# Sources that write bad lines, and the verdict that has to follow.
+_BAD_SOURCES = {
+    "src1": source.MALFORMED,  # cut off
+    "src2": source.MALFORMED,  # junk after the object
+    "src3": source.MALFORMED,  # an array
+    "src4": source.NO_ID,
+    "src5": source.NULL_ID,
+    "src6": source.NO_TEXT,
+    "src7": source.TEXT_NOT_STRING,
+    "src8": source.MALFORMED,  # two objects
 }
 
 
-def _spoilt_lines(spark, sf_dir):
+def _lines(spark, sf_dir):
+    """The documents as JSONL, some sources' lines spoilt in their own way."""
     docs = table(spark, sf_dir, "documents")
-    id_, text = F.col("doc_id").alias("_id"), F.col("text")
+    id_, text, name = F.col("doc_id").alias("_id"), F.col("text"), F.col("source")
     good = F.to_json(F.struct(id_, text))
-    kind = F.col("doc_id") % 10
+    null_id = F.concat(F.lit('{"_id":null,'), F.substring(F.to_json(F.struct(text)), 2, 1 << 30))
     line = (
-        F.when(kind == 1, F.substring_index(good, "}", 1))
-        .when(kind == 2, F.concat(good, F.lit(" junk")))
-        .when(kind == 3, F.concat(F.lit("["), good, F.lit("]")))
-        .when(kind == 4, F.to_json(F.struct(text)))
-        .when(kind == 5, F.concat(F.lit('{"_id":null,"text":'), F.to_json(F.array(text)), F.lit("}")))
-        .when(kind == 6, F.to_json(F.struct(id_)))
-        .when(kind == 7, F.to_json(F.struct(id_, F.col("n_chars").alias("text"))))
-        .when(kind == 8, F.concat(good, F.lit(" "), good))
+        F.when(name == "src1", F.substring_index(good, "}", 1))
+        .when(name == "src2", F.concat(good, F.lit(" junk")))
+        .when(name == "src3", F.concat(F.lit("["), good, F.lit("]")))
+        .when(name == "src4", F.to_json(F.struct(text)))
+        .when(name == "src5", null_id)
+        .when(name == "src6", F.to_json(F.struct(id_)))
+        .when(name == "src7", F.to_json(F.struct(id_, F.col("n_chars").alias("text"))))
+        .when(name == "src8", F.concat(good, F.lit(" "), good))
         .otherwise(good)
     )
-    return docs.select(line.alias("value"))
+    return source.read_lines(spark, _written(docs.select(line.alias("value")), "mixed-jsonl"))
 
 
-_CASES = " ".join(f"WHEN {k} THEN '{reason}'" for k, (_, reason) in _SPOILT.items())
+_CASES = " ".join(f"WHEN '{name}' THEN '{reason}'" for name, reason in _BAD_SOURCES.items())
+_BAD_SQL = ", ".join(f"'{name}'" for name in _BAD_SOURCES)
 
 
 @query(f"""
-    SELECT CASE doc_id % 10 {_CASES} ELSE 'ok' END AS reason, count(*) AS lines
+    SELECT CASE source {_CASES} ELSE 'ok' END AS reason, count(*) AS lines
     FROM documents GROUP BY ALL""")
 def judge_lines(spark, sf_dir):
-    path = _written(_spoilt_lines(spark, sf_dir), "spoilt-jsonl")
-    judged = source.judge_lines(source.read_lines(spark, path))
+    judged = source.judge_lines(_lines(spark, sf_dir))
     return judged.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count("*").alias("lines"))
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents WHERE doc_id % 10 IN (0, 9)")
-def records_among_spoilt(spark, sf_dir):
-    path = _written(_spoilt_lines(spark, sf_dir), "spoilt-jsonl")
-    return source.read_records(spark, path)
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents WHERE source NOT IN ({_BAD_SQL})")
+def records_among_bad_lines(spark, sf_dir):
+    return source.records_of(source.judge_lines(_lines(spark, sf_dir)))
 
 
 @query(f"""
-    SELECT CASE doc_id % 10 {_CASES} END AS reason,
-           CASE WHEN doc_id % 10 = 6 THEN '{{"_id":' || doc_id || '}}'
-                WHEN doc_id % 10 = 7 THEN '{{"_id":' || doc_id || ',"text":' || n_chars || '}}' END AS value
-    FROM documents WHERE doc_id % 10 IN (6, 7)""")
+    SELECT CASE source {_CASES} END AS reason,
+           CASE WHEN source = 'src6' THEN '{{"_id":' || doc_id || '}}'
+                WHEN source = 'src7' THEN '{{"_id":' || doc_id || ',"text":' || n_chars || '}}' END AS value
+    FROM documents WHERE source IN ('src6', 'src7')""")
 def quarantine_lines(spark, sf_dir):
-    path = _written(_spoilt_lines(spark, sf_dir), "spoilt-jsonl")
-    judged = source.judge_lines(source.read_lines(spark, path))
     wanted = F.col("reason").isin(source.NO_TEXT, source.TEXT_NOT_STRING)
-    return source.quarantine_of(judged).where(wanted).select("reason", "value")
+    quarantine = source.quarantine_of(source.judge_lines(_lines(spark, sf_dir)))
+    return quarantine.where(wanted).select("reason", "value")

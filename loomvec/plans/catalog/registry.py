@@ -47,6 +47,14 @@ def rendered_sql(vector: str) -> str:
     return f"array_to_string(list_transform({vector}, lambda x: CAST(round(CAST(x AS DOUBLE) * 1e6) AS BIGINT)), ',')"
 
 
+def scaled_sql(vector: str) -> str:
+    """A vector brought to unit length, as 32-bit floats."""
+    return (
+        f"list_transform({vector}, lambda x: CAST(CAST(x AS DOUBLE) / "
+        f"(sqrt(list_sum(list_transform({vector}, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))) + 1e-12) AS FLOAT))"
+    )
+
+
 # Fixed value: the Unicode white space set as a character class of DuckDB's patterns.
 _WHITE_SQL = (
     r"\t\n\v\f\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"

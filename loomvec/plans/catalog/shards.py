@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomvec.operators import compaction, verify
-from loomvec.plans.catalog.registry import documents, query, rendered, rendered_sql, table
+from loomvec.plans.catalog.registry import query, rendered, rendered_sql, table
 from loomvec.session import scratch_path
 from loomvec.sources import shards
 
@@ -25,8 +25,8 @@ def _write(rows, path):
 def _shard_dirs(spark, sf_dir):
     """Many small shards: one folder per label, whose id column is called id or _id."""
     path, rows = scratch_path(spark, "shards"), _vectors(spark, sf_dir)
-    _write(rows.where("label % 2 = 0"), f"{path}/a")
-    _write(rows.where("label % 2 = 1").withColumnRenamed("id", "_id"), f"{path}/b")
+    _write(rows.where("label < 5"), f"{path}/a")
+    _write(rows.where("label >= 5").withColumnRenamed("id", "_id"), f"{path}/b")
     return [f"{path}/a/label=*", f"{path}/b/label=*"]
 
 
@@ -56,7 +56,7 @@ def files_per_dir(spark, sf_dir):
 
 @query("""
     SELECT label, true AS readable, count(*) AS rows,
-           CASE WHEN label % 2 = 0 THEN 'id' ELSE '_id' END || ': string, embedding: list<element: float>' AS columns
+           CASE WHEN label < 5 THEN 'id' ELSE '_id' END || ': string, embedding: list<element: float>' AS columns
     FROM embeddings GROUP BY label""")
 def file_report(spark, sf_dir):
     report = verify.file_report(spark, *_shard_dirs(spark, sf_dir))
@@ -110,7 +110,7 @@ def consolidate_in_chunks(spark, sf_dir):
 
 
 @query("""
-    SELECT count(*) FILTER (label % 2 = 0) AS rows_first, count(*) FILTER (label % 2 = 1) AS rows_second,
+    SELECT count(*) FILTER (label < 5) AS rows_first, count(*) FILTER (label >= 5) AS rows_second,
            0 AS files_third, count(*) AS rows_in_output FROM embeddings""")
 def consolidate_again(spark, sf_dir):
     """Compact one half of the folders, then all of them, then all of them again."""
@@ -152,6 +152,9 @@ def reconcile(spark, sf_dir):
     SELECT CAST(doc_id AS VARCHAR) AS id, 1 AS in_source, 0 AS in_output FROM documents
     WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def count_differences(spark, sf_dir):
-    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
-    found = verify.count_differences(documents(spark, sf_dir), labelled)
+    docs, labelled = (
+        table(spark, sf_dir, name).select(F.col("doc_id").cast("string").alias("id"))
+        for name in ("documents", "labels")
+    )
+    found = verify.count_differences(docs, labelled)
     return found.select("id", F.col("in_source").cast("int"), F.col("in_output").cast("int"))

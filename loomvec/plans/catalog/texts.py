@@ -60,10 +60,10 @@ def blank_if_null(spark, sf_dir):
 
 @query("""
     SELECT conv_id, turn, t AS text FROM (
-      SELECT conv_id, turn, CASE WHEN role = 'user' THEN text WHEN turn % 4 = 1 THEN '' END AS t
+      SELECT conv_id, turn, CASE WHEN role = 'user' THEN text WHEN turn = 1 THEN '' END AS t
       FROM conversations) WHERE t <> ''""")
 def drop_empty_text(spark, sf_dir):
-    some = F.when(F.col("role") == "user", F.col("text")).when(F.col("turn") % 4 == 1, "")
+    some = F.when(F.col("role") == "user", F.col("text")).when(F.col("turn") == 1, "")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", some.alias("text"))
     return rows.where(text.has_text(F.col("text")))
 
@@ -71,10 +71,10 @@ def drop_empty_text(spark, sf_dir):
 @query(f"""
     SELECT id, text FROM (
       SELECT CAST(page_id AS VARCHAR) AS id,
-             {clean_text_sql("CASE WHEN page_id % 3 = 0 THEN ' #' || url ELSE html END")} AS text
+             {clean_text_sql("CASE WHEN contains(url, 'page=') THEN ' #' || url ELSE html END")} AS text
       FROM pages) WHERE text <> ''""")
 def drop_empty_after_clean(spark, sf_dir):
-    mixed = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit(" #"), F.col("url"))).otherwise(F.col("html"))
+    mixed = F.when(F.contains("url", F.lit("page=")), F.concat(F.lit(" #"), F.col("url"))).otherwise(F.col("html"))
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("id"), mixed.alias("text"))
     return prepare_texts(pages)
 
@@ -190,5 +190,8 @@ def shuffled_batches(spark, sf_dir):
     SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents
     WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def pending_records(spark, sf_dir):
-    done = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
-    return resume_pending(documents(spark, sf_dir), done)
+    docs, done = (
+        table(spark, sf_dir, name).withColumn("id", F.col("doc_id").cast("string"))
+        for name in ("documents", "labels")
+    )
+    return resume_pending(docs.select("id", "text"), done)

@@ -5,18 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomvec.functions import vectors
-from loomvec.plans.catalog.registry import query, rendered, rendered_sql, table
-
-
-def _scaled_sql(vector: str) -> str:
-    return (
-        f"list_transform({vector}, lambda x: CAST(CAST(x AS DOUBLE) / "
-        f"(sqrt(list_sum(list_transform({vector}, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))) + 1e-12) AS FLOAT))"
-    )
+from loomvec.plans.catalog.registry import query, rendered, rendered_sql, scaled_sql, table
 
 
 @query(f"""
-    SELECT vec_id, {rendered_sql(_scaled_sql("v"))} AS vector
+    SELECT vec_id, {rendered_sql(scaled_sql("v"))} AS vector
     FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (1 + label)) AS v FROM embeddings)""")
 def l2_normalize(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
@@ -25,7 +18,7 @@ def l2_normalize(spark, sf_dir):
 
 
 @query(f"""
-    SELECT vec_id, 16 AS dims, {rendered_sql(_scaled_sql("v"))} AS vector
+    SELECT vec_id, 16 AS dims, {rendered_sql(scaled_sql("v"))} AS vector
     FROM (SELECT vec_id, embedding[1:16] AS v FROM embeddings)""")
 def truncate_embedding(spark, sf_dir):
     short = table(spark, sf_dir, "embeddings").select(
@@ -35,11 +28,11 @@ def truncate_embedding(spark, sf_dir):
 
 
 @query(f"""
-    SELECT vec_id, CASE WHEN label % 3 <> 2 THEN {rendered_sql("embedding")} END AS vector
+    SELECT vec_id, CASE WHEN label < 7 THEN {rendered_sql("embedding")} END AS vector
     FROM embeddings""")
 def unwrap_embedding(spark, sf_dir):
     v = F.col("embedding")
-    nested = F.when(F.col("label") % 3 == 2, F.array(v, v)).otherwise(F.array(v))
+    nested = F.when(F.col("label") >= 7, F.array(v, v)).otherwise(F.array(v))
     rows = table(spark, sf_dir, "embeddings").select("vec_id", nested.alias("response"))
     return rows.select("vec_id", rendered(vectors.unwrap_nested(F.col("response"))).alias("vector"))
 
@@ -56,7 +49,7 @@ def cast_float32(spark, sf_dir):
 
 @query(f"""
     SELECT CAST(vec_id AS VARCHAR) AS id, {rendered_sql("embedding")} AS vector,
-           {rendered_sql(_scaled_sql("embedding[1:16]"))} AS short_vector,
+           {rendered_sql(scaled_sql("embedding[1:16]"))} AS short_vector,
            true AS short_payload_is_smaller
     FROM embeddings""")
 def vector_json(spark, sf_dir):
