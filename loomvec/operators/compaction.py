@@ -110,7 +110,7 @@ def compact(
     source_dirs: list[str],
     output_dir: str,
     files_per_chunk: int = 10_000,
-    chunks_per_wave: int = 10,
+    chunks_per_wave: int = 100,
     target_bytes: int = 1 << 30,
     layout: str = "packed",
     ignore_extra: bool = False,

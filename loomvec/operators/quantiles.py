@@ -27,7 +27,7 @@ def exact_percentiles(
     inside the brackets exactly, and everything below them as one number; both
     are combined before the shuffle. Only bracket values (8 n / accuracy of a key
     at most) are sorted, so no task holds all the values of a key. Keys with no
-    value get no row.
+    value get no row. ``df`` is read once per pass: write it first if it is costly.
     """
     keys = list(keys)
     names = list(percentiles)

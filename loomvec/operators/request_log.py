@@ -150,16 +150,15 @@ def trial_metrics(
     )
 
 
-def rolling_latency(
-    log: DataFrame, keys: Sequence[str] = RUN, rows: int = ROLLING_ROWS, segment_rows: int = 100_000
+def _rolling(
+    log: DataFrame, keys: list[str], rows: int, segment_rows: int, tick_micros: int | None
 ) -> DataFrame:
-    """p50/p95 over each request and the ``rows - 1`` completed before it in its run.
+    """Rolling p50/p95 per request or, with ``tick_micros``, for a segment's last one per tick.
 
     A run is cut into segments of ``segment_rows`` consecutive requests; each also
     gets the ``rows - 1`` before it, so segments are computed apart however long
     the run is.
     """
-    keys = list(keys)
     halo = rows - 1
     size = max(segment_rows, rows)
     placed = with_positions(
@@ -167,7 +166,8 @@ def rolling_latency(
     )
     own = F.floor((F.col("at") - 1) / size)
     last_rows = F.pmod(F.col("at") - 1, F.lit(size)) >= size - halo
-    spread = placed.withColumn(
+    tick = F.floor(F.unix_micros("done_at") / (tick_micros or 1))
+    spread = placed.withColumn("tick", tick).withColumn(
         "segment", F.explode(F.when(last_rows, F.array(own, own + 1)).otherwise(F.array(own)))
     )
 
@@ -176,12 +176,40 @@ def rolling_latency(
         window = part["latency_ms"].rolling(rows, min_periods=1)
         part["p50_ms"] = window.quantile(0.5)
         part["p95_ms"] = window.quantile(0.95)
-        return part[(part["at"] - 1) // size == part["segment"]]
+        part = part[(part["at"] - 1) // size == part["segment"]]
+        return part if tick_micros is None else part[part["tick"] != part["tick"].shift(-1)]
 
     added = [T.StructField("p50_ms", T.DoubleType()), T.StructField("p95_ms", T.DoubleType())]
     schema = T.StructType([*spread.schema.fields, *added])
-    rolled = spread.groupBy(*keys, "segment").applyInPandas(roll, schema)
-    return rolled.drop("segment")
+    return spread.groupBy(*keys, "segment").applyInPandas(roll, schema).drop("segment")
+
+
+def rolling_latency(
+    log: DataFrame, keys: Sequence[str] = RUN, rows: int = ROLLING_ROWS, segment_rows: int = 100_000
+) -> DataFrame:
+    """p50/p95 over each request and the ``rows - 1`` completed before it in its run."""
+    return _rolling(log, list(keys), rows, segment_rows, None).drop("tick")
+
+
+def rolling_latency_at_ticks(
+    log: DataFrame,
+    every_secs: int = 5,
+    keys: Sequence[str] = RUN,
+    rows: int = ROLLING_ROWS,
+    segment_rows: int = 100_000,
+) -> DataFrame:
+    """At the end of each tick with requests: p50/p95 over the last ``rows`` completed."""
+    keys, width = list(keys), every_secs * 1_000_000
+    rolled = _rolling(log, keys, rows, segment_rows, width)
+    # A tick that spans segments has one row of each; the last request's counts.
+    last = F.max_by(F.struct("at", "p50_ms", "p95_ms"), "at").alias("v")
+    return rolled.groupBy(*keys, "tick").agg(last).select(
+        *keys,
+        F.timestamp_micros(F.col("tick") * width).alias("tick_start"),
+        F.least("v.at", F.lit(rows)).cast("bigint").alias("samples"),
+        "v.p50_ms",
+        "v.p95_ms",
+    )
 
 
 def interval_rate(
@@ -189,8 +217,7 @@ def interval_rate(
 ) -> DataFrame:
     """Docs and tokens per second for each tick of a run, and the average so far.
 
-    Ticks are ``every_secs`` long and count from the run's first completion. ``fill``
-    gives ticks without requests a row with rate 0. Requests are summed per tick
+    Ticks are ``every_secs`` long and aligned to the clock. ``fill`` gives ticks without requests a row with rate 0. Requests are summed per tick
     before anything is ordered, so windows run over ticks, not over requests.
     """
     keys = list(keys)
@@ -227,39 +254,3 @@ def interval_rate(
         F.sum("docs").over(upto).alias("total_docs"),
         (F.sum("docs").over(upto) / elapsed).alias("avg_docs_s"),
     )
-
-
-def rolling_latency_at_ticks(
-    log: DataFrame, every_secs: int = 5, keys: Sequence[str] = RUN, rows: int = ROLLING_ROWS
-) -> DataFrame:
-    """At the end of each tick with requests: p50/p95 over the last ``rows`` completed.
-
-    Cheaper than :func:`rolling_latency` where only the reports are wanted: positions
-    are joined to the ticks by blocks of ``rows``, of which a tick touches two.
-    """
-    keys = list(keys)
-    width = every_secs * 1_000_000
-    placed = materialise(
-        with_positions(
-            log.select(*keys, "request_id", "done_at", "latency_ms"), keys, ["done_at", "request_id"], "at"
-        ),
-        "placed",
-    )
-    slot = F.floor(F.unix_micros("done_at") / width)
-    ends = placed.groupBy(*keys, slot.alias("_slot")).agg(F.max("at").alias("_end"))
-    blocks = F.array_distinct(
-        F.array(F.floor(F.greatest(F.col("_end") - rows, F.lit(0)) / rows), F.floor((F.col("_end") - 1) / rows))
-    )
-    wanted = ends.withColumn("_block", F.explode(blocks))
-    samples = placed.select(*keys, "at", "latency_ms", F.floor((F.col("at") - 1) / rows).alias("_block"))
-    near = samples.join(wanted, [*keys, "_block"]).where(
-        (F.col("at") <= F.col("_end")) & (F.col("at") > F.col("_end") - rows)
-    )
-    # A group has at most `rows` samples, so the built-in exact percentile is bounded.
-    return near.groupBy(*keys, "_slot").agg(
-        F.count("*").alias("samples"),
-        F.percentile("latency_ms", F.lit(0.5)).alias("p50_ms"),
-        F.percentile("latency_ms", F.lit(0.95)).alias("p95_ms"),
-    ).select(
-        *keys, F.timestamp_micros(F.col("_slot") * width).alias("tick_start"), "samples", "p50_ms", "p95_ms"
-    )

@@ -35,13 +35,31 @@ def _parsed(lines: DataFrame) -> DataFrame:
     )
 
 
+def float_text(number: Column) -> Column:
+    """A double written the way Python does: ``10000000.0``, ``1e+16``, ``1.5e-07``."""
+    size, text = F.abs(number), number.cast("string")
+    digits = number.try_cast("decimal(38,20)").cast("string")
+    fixed = F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    sign = F.when(power < 0, "e-0").otherwise("e+0")
+    exponent = F.when(F.abs(power) > 9, F.substring(sign, 1, 2)).otherwise(sign)
+    return F.when((size == 0) | ((size >= 1e-4) & (size < 1e16)), fixed).otherwise(
+        F.concat(mantissa, exponent, F.abs(power).cast("string"))
+    )
+
+
 def normalize_id(id_: Column) -> Column:
     """A variant ``_id`` as a string: its ``$oid`` if it has one, else its value."""
-    plain = id_.cast("string")
-    is_bool = F.schema_of_variant(id_) == "BOOLEAN"
+    plain, type_ = id_.cast("string"), F.schema_of_variant(id_)
+    number = plain.try_cast("double")
+    # Decimals are how variants hold number texts with a point, and integers beyond 64 bits.
+    is_float = (type_ == "DOUBLE") | (
+        type_.startswith("DECIMAL") & (plain.contains(".") | (F.abs(number) < 2.0**63))
+    )
     return F.coalesce(
         F.try_variant_get(id_, "$['$oid']", "string"),
-        F.when(is_bool, F.initcap(plain)).otherwise(plain),
+        F.when(type_ == "BOOLEAN", F.initcap(plain)).when(is_float, float_text(number)).otherwise(plain),
     )
 
 

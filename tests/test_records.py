@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from loomvec.sources import records
 
 OK = None
+FLOATS = ["1e7", "-2.5e3", "12345678.25", "1e16", "1.5e-7", "0.00012", "1E+22", "-1e-5", "0.1", "1e15", "1e300", "0.0"]
 LINES = [
     ('{"_id":{"$oid":"abc"},"text":"hi"}', "abc", OK),
     ('{"_id":{"$oid":"abc","more":1},"text":"hi"}', "abc", OK),
@@ -14,6 +15,10 @@ LINES = [
     ('{"_id":1.50,"text":"x"}', "1.5", OK),
     ('{"_id":12345678901234567890123,"text":"x"}', "12345678901234567890123", OK),
     ('{"_id":true,"text":"x"}', "True", OK),
+    ('{"_id":5.0,"text":"x"}', "5.0", OK),
+    ('{"_id":-17,"text":"x"}', "-17", OK),
+    ('{"_id":9223372036854775808,"text":"x"}', "9223372036854775808", OK),
+    *[(f'{{"_id":{x},"text":"x"}}', str(float(x)), OK) for x in FLOATS],
     ('{"_id":{"a":1},"text":"x"}', '{"a":1}', OK),
     ('{"_id":1,"_id":2,"text":"a"}', "2", OK),
     ('{"_id":"x","text":"y","o":{"a":1,"a":2},"n":NaN}', "x", OK),

@@ -81,7 +81,7 @@ def test_rolling_latency_over_segments(spark, rows_in_window):
 @pytest.mark.parametrize("rows_in_window", [10, 200, 5000])
 def test_rolling_latency_at_ticks(spark, rows_in_window):
     frame, rows = log(spark, 1500)
-    found = request_log.rolling_latency_at_ticks(rows, 1, KEYS, rows_in_window).toPandas()
+    found = request_log.rolling_latency_at_ticks(rows, 1, KEYS, rows_in_window, segment_rows=250).toPandas()
     expected = 0
     for run, part in frame.sort_values(["done_at", "request_id"]).groupby("run"):
         for tick in part["done_at"].dt.floor("s").unique():
