@@ -51,7 +51,8 @@ def _embed(spark: SparkSession, args: argparse.Namespace) -> None:
         partitions=args.partitions,
         normalize=args.normalize,
     )
-    write_embeddings(embedded, args.output)
+    done = write_embeddings(embedded, args.output)
+    print(f"embedded {done['ok']} records, {done['failed']} failed")
 
 
 def _consolidate(spark: SparkSession, args: argparse.Namespace) -> None:

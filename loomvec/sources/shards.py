@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomvec.session import session_conf
@@ -27,14 +27,20 @@ INSPECTED_SCHEMA = (
 )
 
 
-def write_embeddings(embedded: DataFrame, path: str, mode: str = "append") -> None:
+def write_embeddings(embedded: DataFrame, path: str, mode: str = "append") -> dict[str, int]:
     """Write embedded rows once, as zstd Parquet under ``status=ok`` and ``status=failed``.
 
     The provider is called in this one job; ok rows and the dead letter are then
     read from the table. Open writers replace the sort by status Spark would add.
+    Returns how many rows were ``ok`` and ``failed``, counted on the way.
     """
+    seen = Observation()
+    counted = embedded.observe(
+        seen, *[F.count_if(F.col("status") == status).alias(status) for status in ("ok", "failed")]
+    )
     with session_conf(embedded.sparkSession, maxConcurrentOutputFileWriters="4"):
-        embedded.write.mode(mode).option("compression", "zstd").partitionBy("status").parquet(path)
+        counted.write.mode(mode).option("compression", "zstd").partitionBy("status").parquet(path)
+    return dict(seen.get)
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:

@@ -14,6 +14,7 @@ def test_embed_consolidate_verify_report(spark, tmp_path, capsys):
     for _ in range(2):
         main(["embed", "--input", str(lines), "--output", out, "--dims", "8", "--quarantine", str(tmp_path / "bad")])
         assert read_embeddings(spark, out).count() == 20
+    assert "embedded 0 records, 0 failed" in capsys.readouterr().out
     assert spark.read.json(str(tmp_path / "bad")).count() == 1
 
     main(["consolidate", "--source-dirs", f"{out}/status=ok", "--output-dir", packed, "--ignore-extra"])

@@ -113,8 +113,10 @@ def test_normalize(spark):
 def test_write_once_then_resume(spark):
     path = scratch_path(spark, "embedded")
     half = texts(spark).where("id < 50")
-    write_embeddings(embed_records(half, HashingProvider), path)
-    write_embeddings(embed_records(texts(spark).where("id >= 90"), Down, retry_wait=0), path)
+    counts = write_embeddings(embed_records(half, HashingProvider), path)
+    assert counts == {"ok": 50, "failed": 0}
+    counts = write_embeddings(embed_records(texts(spark).where("id >= 90"), Down, retry_wait=0), path)
+    assert counts == {"ok": 0, "failed": 10}
     pending = resume_pending(texts(spark), read_embeddings(spark, path))
     assert pending.count() == 50
     assert read_dead_letter(spark, path).count() == 10
