@@ -13,7 +13,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from loomvec.session import session_conf
+from loomvec.session import materialise, session_conf
 
 EMBEDDED_TABLE_SCHEMA = (
     "id string, embedding array<float>, error string, attempts int, endpoint string, status string"
@@ -59,18 +59,25 @@ def escape_glob(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def read_shards(spark: SparkSession, *paths: str, skip_unreadable: bool = True) -> DataFrame:
+def read_shards(spark: SparkSession, *paths: str, skip_bad: bool = False) -> DataFrame:
     """``(id, embedding)`` of the Parquet files in all of ``paths``: a bag union.
 
     Directories are not searched below their own level; ``_id`` is read as ``id``.
+    A file that cannot be read is an error, unless ``skip_bad``: then the footers are
+    inspected first and only rows of files with the shard schema are kept.
     """
-    shards = (
-        spark.read.schema(SHARD_SCHEMA)
-        .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", str(skip_unreadable).lower())
-        .parquet(*paths)
-    )
-    return shards.select(F.coalesce("id", "_id").alias("id"), "embedding")
+    reader = spark.read.schema(SHARD_SCHEMA).option("pathGlobFilter", "*.parquet")
+    if not skip_bad:
+        return _ids_unified(reader.parquet(*paths))
+    inspected = inspect_shards(list_shards(spark, *paths))
+    good = materialise(inspected.where("conforms").select("file_path"), "good-files")
+    rows = reader.option("ignoreCorruptFiles", "true").parquet(*paths)
+    located = rows.withColumn("file_path", F.col("_metadata.file_path"))
+    return _ids_unified(located.join(good, "file_path", "left_semi"))
+
+
+def _ids_unified(rows: DataFrame) -> DataFrame:
+    return rows.select(F.coalesce("id", "_id").alias("id"), "embedding")
 
 
 def list_shards(spark: SparkSession, *paths: str) -> DataFrame:
@@ -103,9 +110,13 @@ def _conforms(schema: pa.Schema, ignore_extra: bool) -> bool:
     vector = columns.get("embedding")
     return (
         len(ids) == 1
-        and pa.types.is_string(ids[0])
+        and (pa.types.is_string(ids[0]) or pa.types.is_large_string(ids[0]))
         and vector is not None
-        and pa.types.is_list(vector)
+        and (
+            pa.types.is_list(vector)
+            or pa.types.is_large_list(vector)
+            or pa.types.is_fixed_size_list(vector)
+        )
         and pa.types.is_float32(vector.value_type)
         and (ignore_extra or len(columns) == 2)
     )

@@ -129,8 +129,25 @@ def test_plan_follows_the_path_order(spark, folders):
 
 def test_shards_read_as_a_bag(spark, folders):
     a = folders[0]
-    twice = shards.read_shards(spark, a, a)
-    assert twice.where("id LIKE 'a%'").count() == 2 * 35
+    twice = shards.read_shards(spark, a, a, skip_bad=True)
+    assert twice.count() == len(twice.collect()) == 2 * 35
+    with pytest.raises(Exception, match="cut.parquet"):
+        shards.read_shards(spark, a).collect()
+
+
+@pytest.mark.parametrize(
+    ("vector", "good"),
+    [
+        (pa.list_(pa.float32()), True),
+        (pa.list_(pa.float32(), 2), True),
+        (pa.large_list(pa.float32()), True),
+        (pa.list_(pa.float64()), False),
+    ],
+)
+def test_lists_of_32_bit_floats_are_shards(spark, tmp_path, vector, good):
+    write_shard(f"{tmp_path}/in/part-0.parquet", ["a", "bb"], vector=vector)
+    read = shards.read_shards(spark, f"{tmp_path}/in", skip_bad=True)
+    assert read.count() == len(read.collect()) == (2 if good else 0)
 
 
 def test_differences_by_id(spark):
