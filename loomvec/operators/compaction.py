@@ -105,6 +105,36 @@ def _write_chunks(rows: DataFrame, plan: DataFrame, path: str, target_bytes: int
     )
 
 
+def _read_wave(spark: SparkSession, part: DataFrame) -> DataFrame:
+    paths = [escape_glob(row.path) for row in part.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], SHARD_SCHEMA)
+    return spark.read.schema(SHARD_SCHEMA).option("ignoreCorruptFiles", "true").parquet(*paths)
+
+
+def _write_wave(
+    spark: SparkSession, part: DataFrame, path: str, target_bytes: int, layout: str
+) -> int:
+    """Write the rows of a wave's files and return how many there are."""
+    rows = _read_wave(spark, part)
+    if layout == "packed" or part.isEmpty():
+        _write_packed(spark, rows, path, target_bytes)
+    else:
+        _write_chunks(rows, part, path, target_bytes)
+    return spark.read.option("recursiveFileLookup", "true").schema(SHARD_SCHEMA).parquet(path).count()
+
+
+def _damaged(spark: SparkSession, part: DataFrame) -> DataFrame:
+    """Paths of files that give fewer rows than their footer says."""
+    # Writing the hash along makes the scan decode every page.
+    read = _read_wave(spark, part).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+        F.count("*").alias("_read"), F.max(F.xxhash64("id", "_id", "embedding")).alias("hash")
+    )
+    compared = part.join(read, "file_path", "left")
+    short = compared.where(F.coalesce("_read", F.lit(0)) != F.col("rows"))
+    return materialise(short.select("path", "hash"), "damaged")
+
+
 def compact(
     spark: SparkSession,
     source_dirs: list[str],
@@ -118,7 +148,7 @@ def compact(
     """Rewrite all shards not compacted yet; running again takes up only new files.
 
     Files are planned from their footers: unreadable ones and ones with another
-    schema are reported, not read. Work goes in waves of ``chunks_per_wave`` chunks,
+    schema are reported, not read; so are files whose pages turn out damaged. Work goes in waves of ``chunks_per_wave`` chunks,
     which bounds the paths the driver handles at once; a wave's files enter the
     manifest only after its data is committed, and a wave that was cut off is
     written over. ``layout="packed"`` (no shuffle) fills files up to
@@ -146,17 +176,25 @@ def compact(
     written, first_wave = 0, wave
     for start in range(first_chunk, last + 1, chunks_per_wave):
         part = plan.where(F.col("chunk").between(start, start + chunks_per_wave - 1))
-        paths = [escape_glob(row.path) for row in part.select("path").collect()]
-        rows = spark.read.schema(SHARD_SCHEMA).option("ignoreCorruptFiles", "true").parquet(*paths)
         target = _wave_dir(output_dir, wave)
-        if layout == "packed":
-            _write_packed(spark, rows, target, target_bytes)
-        else:
-            _write_chunks(rows, part, target, target_bytes)
+        rows_in_wave = _write_wave(spark, part, target, target_bytes, layout)
+        if rows_in_wave != part.agg(F.sum("rows")).first()[0]:
+            # Pages of some file are damaged behind a good footer: leave such files out whole.
+            damaged = _damaged(spark, part)
+            part = materialise(part.join(damaged, "path", "left_anti"), "sound")
+            rejects = rejects.unionByName(
+                damaged.select(
+                    "path",
+                    F.lit(True).alias("readable"),
+                    F.lit(None).cast("string").alias("columns"),
+                    F.lit("damaged data pages").alias("error"),
+                )
+            )
+            rows_in_wave = _write_wave(spark, part, target, target_bytes, layout)
         part.withColumn("wave", F.lit(wave).cast("bigint")).select(
             "path", "file_path", "length", "rows", "chunk", "wave"
         ).write.mode("append").parquet(f"{output_dir}/_manifest")
-        written += spark.read.option("recursiveFileLookup", "true").parquet(target).count()
+        written += rows_in_wave
         wave += 1
     return Compaction(
         totals.files, last - first_chunk + 1, wave - first_wave, totals.rows, written, rejects

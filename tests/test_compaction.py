@@ -164,3 +164,21 @@ def test_file_report(spark, folders):
     assert report["part-1.parquet"].rows in (4, 5)
     assert "embedding: list" in report["part-1.parquet"].columns
     assert report["cut.parquet"].readable is False
+
+
+@pytest.mark.parametrize("layout", ["packed", "chunks"])
+def test_a_file_with_damaged_pages_is_left_out_whole(spark, tmp_path, layout):
+    folder, output = tmp_path / "in", str(tmp_path / "out")
+    for name in ("good", "bad"):
+        write_shard(f"{folder}/{name}.parquet", [f"{name}-{i}-{hash((name, i))}" for i in range(20_000)])
+    data = bytearray((folder / "bad.parquet").read_bytes())
+    data[len(data) // 3 : len(data) // 3 + 2000] = os.urandom(2000)
+    (folder / "bad.parquet").write_bytes(data)
+    done = compaction.compact(spark, [str(folder)], output, layout=layout)
+    assert done.rows_written == 20_000
+    rejected = done.rejects.collect()
+    assert [(os.path.basename(row.path), row.error) for row in rejected] == [("bad.parquet", "damaged data pages")]
+    table = compaction.read_consolidated(spark, output)
+    assert table.count() == 20_000 and table.where("id LIKE 'bad%'").count() == 0
+    write_shard(f"{folder}/bad.parquet", ["bad-mended"])
+    assert compaction.compact(spark, [str(folder)], output, layout=layout).rows_written == 1
