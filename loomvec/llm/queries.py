@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loomvec.llm import language_id, toxicity
+from loomvec.llm.bpe_matrix import encode_documents, token_count
 from loomvec.llm.jaccard_join import Similarity, similar_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +34,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"), Similarity(words=4, percent=85))
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = encode_documents(table(spark, sf_dir, "documents"), decode=True)
+    return made.select(
+        "doc_id",
+        token_count().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.identify(docs, language_id.fit(docs), keep=["doc_id"])
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")

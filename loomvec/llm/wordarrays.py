@@ -22,6 +22,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything but ASCII letters, digits and bytes of longer characters.
+NOT_ALNUM = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 _STEP = 0x9E3779B97F4A7C15
 _BASE = 0xD1342543DE82EF95  # odd, so that it has an inverse modulo 2**64
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -71,13 +73,19 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.nd
         first = end
 
 
-def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash, row)`` of every word, in text order."""
+def words(
+    data: np.ndarray, starts: np.ndarray, gap: np.ndarray = _SPACE, heads: tuple[int, ...] = ()
+) -> tuple[np.ndarray, np.ndarray]:
+    """``(hash, row)`` of every word, in text order; ``gap`` flags the bytes between words.
+
+    For each size in ``heads`` follow the first so many bytes of all longer words, as words that no
+    whole word equals.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     low = _LOWER[data]
-    inside = ~_SPACE[low]
+    inside = ~gap[low]
     first = np.zeros(n + 1, dtype=bool)
     first[starts] = True
     begins = inside.copy()
@@ -91,7 +99,15 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     sums = np.cumsum(terms)
     hashes = (sums[to] - sums[at] + terms[at]) * inverse[at]
     hashes = mix(hashes + (to - at + 1).astype(np.uint64) * np.uint64(_STEP))
-    return hashes, np.searchsorted(starts, at, "right") - 1
+    rows = np.searchsorted(starts, at, "right") - 1
+    found, owners = [hashes], [rows]
+    for size in heads:
+        longer = to - at + 1 > size
+        begin = at[longer]
+        head = (sums[begin + size - 1] - sums[begin] + terms[begin]) * inverse[begin]
+        found.append(mix(head + np.uint64(size << 32)))
+        owners.append(rows[longer])
+    return np.concatenate(found), np.concatenate(owners)
 
 
 def _chain(parts) -> np.ndarray:
