@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomvec.llm import language_id, toxicity
+from loomvec.llm import hash_tree, language_id, toxicity
 from loomvec.llm.bpe_matrix import encode_documents, token_count
+from loomvec.llm.dimension_scan import search
+from loomvec.llm.fingerprints import fingerprint_edits
 from loomvec.llm.jaccard_join import Similarity, similar_components
+from loomvec.llm.url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,3 +63,24 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language_id.identify(docs, language_id.fit(docs), keep=["doc_id"])
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op1_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = hash_tree.grid(40)
+    return hash_tree.assign_shards(table(spark, sf_dir, "documents"), tree, hash_tree.grown(tree))
+
+
+@query()
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
