@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomvec.llm import hash_tree, language_id, toxicity
+from loomvec.llm import hash_tree, language_id, mixing, token_rollup, toxicity
 from loomvec.llm.bpe_matrix import encode_documents, token_count
 from loomvec.llm.dimension_scan import search
 from loomvec.llm.fingerprints import fingerprint_edits
 from loomvec.llm.jaccard_join import Similarity, similar_components
 from loomvec.llm.url_rules import judge_urls
+from loomvec.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,3 +85,43 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
+
+
+MIX = mixing.Mix(
+    domains={
+        "web": [f"src{i}" for i in range(8)],
+        "books": [f"src{i}" for i in range(8, 14)],
+        "news": [f"src{i}" for i in range(14, 20)],
+    },
+    domain_weights={"web": 40, "books": 35, "news": 25},
+    language_weights={"en": 50, "de": 20, "fr": 20, "es": 10},
+)
+
+
+@query()
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix_documents(docs, MIX).select("doc_id", "_mix.*")
+
+
+@query(
+    r"""
+    WITH rows AS (
+      SELECT doc_id, source, lang, text, regexp_replace(text, 'https?://[^\x20\x09-\x0D]+', '', 'g') AS bare,
+             min(doc_id) OVER (PARTITION BY text) AS first FROM documents),
+    counts AS (
+      SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(bare, '[^\x20\x09-\x0D]+')) AS tokens
+      FROM rows WHERE doc_id = first
+      UNION ALL
+      SELECT source, lang, 'bytes4-1', CAST(ceil(strlen(bare) / 4) AS BIGINT) FROM rows WHERE doc_id = first)
+    SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
+    FROM counts GROUP BY ALL"""
+)
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "rollup")
+    batches = token_rollup.corpus_batches(table(spark, sf_dir, "documents"))
+    for name, changes in batches.items():
+        token_rollup.commit_batch(root, name, changes)
+    # Sent again, a batch must change nothing.
+    token_rollup.commit_batch(root, "links", batches["links"])
+    return token_rollup.totals(spark, root)
