@@ -10,8 +10,9 @@ rows leave the matrix. A piece that is a token of its own keeps that token.
 from __future__ import annotations
 
 import base64
+import sys
+import types
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -186,9 +187,13 @@ class Tokenizer:
         return True
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str, pattern: str) -> Tokenizer:
-    return Tokenizer(path, pattern)
+    """One tokenizer per worker process: functions arrive anew with every task, modules stay."""
+    held = vars(sys.modules.setdefault("_loaded_tokenizers", types.ModuleType("_loaded_tokenizers")))
+    key = f"{path}\n{pattern}"
+    if key not in held:
+        held[key] = Tokenizer(path, pattern)
+    return held[key]
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str, decode: bool) -> Iterator[pa.RecordBatch]:

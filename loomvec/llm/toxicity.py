@@ -45,8 +45,8 @@ HEADS = (4, 5, 6, 7, 8)
 class Settings:
     """``toxic_rows`` and ``clean_rows`` bound the labelled rows that training sees."""
 
-    toxic_rows: int = 3000
-    clean_rows: int = 6000
+    toxic_rows: int = 2000
+    clean_rows: int = 3000
     bits: int = 18
     epochs: int = 12
     batch: int = 128
