@@ -10,8 +10,16 @@ EPSILON = 1e-12
 
 
 def unwrap_nested(vectors: Column) -> Column:
-    """``[[v]]`` to ``v``: the single inner vector of a nested response, else null."""
-    return F.when(F.size(vectors) == 1, F.get(vectors, F.lit(0)))
+    """``[[v]]`` to ``v``: the single inner vector of a nested response.
+
+    Null where there is not exactly one; :func:`is_bad_nesting` tells such rows from null input.
+    """
+    return F.when(~is_bad_nesting(vectors), F.get(vectors, F.lit(0)))
+
+
+def is_bad_nesting(vectors: Column) -> Column:
+    """Whether a nested response holds other than one vector, so that none can be taken from it."""
+    return F.coalesce(F.size(vectors) != 1, F.lit(True))
 
 
 def as_float32(vector: Column) -> Column:

@@ -12,10 +12,13 @@ from loomvec.operators.batching import assign_chunks
 from loomvec.operators.resume import skip_existing_chunks
 from loomvec.session import materialise, session_conf
 from loomvec.sources.shards import (
+    DAMAGED,
     SHARD_SCHEMA,
     escape_glob,
     inspect_shards,
     list_shards,
+    located,
+    rows_decoded,
 )
 
 MANIFEST_SCHEMA = "path string, file_path string, length bigint, rows bigint, chunk bigint, wave bigint"
@@ -126,13 +129,9 @@ def _write_wave(
 
 def _damaged(spark: SparkSession, part: DataFrame) -> DataFrame:
     """Paths of files that give fewer rows than their footer says."""
-    # Writing the hash along makes the scan decode every page.
-    read = _read_wave(spark, part).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
-        F.count("*").alias("_read"), F.max(F.xxhash64("id", "_id", "embedding")).alias("hash")
-    )
-    compared = part.join(read, "file_path", "left")
-    short = compared.where(F.coalesce("_read", F.lit(0)) != F.col("rows"))
-    return materialise(short.select("path", "hash"), "damaged")
+    compared = part.join(rows_decoded(located(_read_wave(spark, part))), "file_path", "left")
+    short = compared.where(F.coalesce("decoded", F.lit(0)) != F.col("rows"))
+    return materialise(short.select("path", "_hash"), "damaged")
 
 
 def compact(
@@ -140,7 +139,7 @@ def compact(
     source_dirs: list[str],
     output_dir: str,
     files_per_chunk: int = 10_000,
-    chunks_per_wave: int = 100,
+    chunks_per_wave: int = 10,
     target_bytes: int = 1 << 30,
     layout: str = "packed",
     ignore_extra: bool = False,
@@ -171,6 +170,8 @@ def compact(
     ).first()
     last = totals.last_chunk
     if last is None:
+        if not inspected.isEmpty() and not inspected.where("readable").limit(1).count():
+            raise ValueError("none of the files to compact could be read")
         return Compaction(0, 0, 0, 0, 0, rejects)
 
     written, first_wave = 0, wave
@@ -187,7 +188,7 @@ def compact(
                     "path",
                     F.lit(True).alias("readable"),
                     F.lit(None).cast("string").alias("columns"),
-                    F.lit("damaged data pages").alias("error"),
+                    F.lit(DAMAGED).alias("error"),
                 )
             )
             rows_in_wave = _write_wave(spark, part, target, target_bytes, layout)

@@ -6,7 +6,7 @@ import time
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
+from datetime import datetime, timezone
 
 import numpy as np
 import pyarrow as pa
@@ -15,23 +15,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomvec.functions.once import with_once
-from loomvec.functions.text import clean_text, has_text
+from loomvec.functions.text import MAX_TOKENS, clean_text, has_text
 from loomvec.functions.vectors import l2_normalize
 from loomvec.operators.providers import HashingProvider, Provider
 
 EMBEDDED_SCHEMA = (
     "id string, embedding array<float>, status string, error string, attempts int, endpoint string"
 )
-_ARROW_SCHEMA = pa.schema(
-    [
-        ("id", pa.string()),
-        ("embedding", pa.list_(pa.float32())),
-        ("status", pa.string()),
-        ("error", pa.string()),
-        ("attempts", pa.int32()),
-        ("endpoint", pa.string()),
-    ]
-)
+# Columns of request rows (status ``request``); null in all other rows.
+REQUEST_SCHEMA = "request_id bigint, done_at timestamp, latency_ms double, docs int, tokens bigint"
+_RESULT_FIELDS = [
+    ("id", pa.string()),
+    ("embedding", pa.list_(pa.float32())),
+    ("status", pa.string()),
+    ("error", pa.string()),
+    ("attempts", pa.int32()),
+    ("endpoint", pa.string()),
+]
+_REQUEST_FIELDS = [
+    ("request_id", pa.int64()),
+    ("done_at", pa.timestamp("us", tz="UTC")),
+    ("latency_ms", pa.float64()),
+    ("docs", pa.int32()),
+    ("tokens", pa.int64()),
+]
+_ARROW_SCHEMA = pa.schema(_RESULT_FIELDS)
+_LOGGED_SCHEMA = pa.schema(_RESULT_FIELDS + _REQUEST_FIELDS)
 
 
 def prepare_texts(records: DataFrame, clean: bool = True) -> DataFrame:
@@ -54,13 +63,23 @@ def rotated_endpoint(
 
 def _rebatch(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[list, list]]:
     """Regroup Arrow batches into lists of exactly ``size`` rows (the last may be short)."""
-    rows = (
-        pair
-        for batch in batches
-        for pair in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True)
-    )
-    while chunk := list(islice(rows, size)):
-        yield [id_ for id_, _ in chunk], [text for _, text in chunk]
+    held: list[pa.RecordBatch] = []
+    rows = 0
+
+    def lists(parts: list[pa.RecordBatch]) -> tuple[list, list]:
+        return tuple([x for part in parts for x in part.column(name).to_pylist()] for name in ("id", "text"))
+
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            held.append(batch.slice(at, size - rows))
+            at += held[-1].num_rows
+            rows += held[-1].num_rows
+            if rows == size:
+                yield lists(held)
+                held, rows = [], 0
+    if rows:
+        yield lists(held)
 
 
 def _in_flight(work: Iterable[Callable], limit: int) -> Iterator:
@@ -100,6 +119,20 @@ def _result(ids: list, vectors, status: str, error: str | None, attempts: int, e
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW_SCHEMA)
 
 
+def _logged(batch: pa.RecordBatch, requests: list[tuple]) -> pa.RecordBatch:
+    """The batch's rows with one more per request that was made for it."""
+    n = batch.num_rows
+    empty = [None] * len(requests)
+    facts = list(zip(*requests, strict=True))
+    number, done, latency, docs, tokens, error, attempt, endpoint = facts
+    own = [empty, empty, ["request"] * len(requests), error, attempt, endpoint, number, done, latency, docs, tokens]
+    columns = []
+    for field, values in zip(_LOGGED_SCHEMA, own, strict=True):
+        before = batch.column(field.name) if field.name in batch.schema.names else pa.nulls(n, field.type)
+        columns.append(pa.concat_arrays([before, pa.array(values, field.type)]))
+    return pa.RecordBatch.from_arrays(columns, schema=_LOGGED_SCHEMA)
+
+
 def embed_records(
     records: DataFrame,
     provider: Callable[[], Provider] = HashingProvider,
@@ -110,6 +143,7 @@ def embed_records(
     in_flight: int = 1,
     partitions: int | None = None,
     normalize: bool = False,
+    log_requests: bool = False,
 ) -> DataFrame:
     """Embed ``(id, text)`` rows; every input row comes out once, ok or failed.
 
@@ -118,7 +152,9 @@ def embed_records(
     times ``in_flight``. ``partitions`` spreads a small input over more tasks; by
     default the scan's own splits are kept and nothing is shuffled. A batch whose
     tries all raise, or whose answer does not line up with its texts, is returned
-    with ``status = 'failed'`` instead of being lost.
+    with ``status = 'failed'`` instead of being lost. ``log_requests`` adds a row with
+    ``status = 'request'`` for every try, and the columns of REQUEST_SCHEMA: when it ended, how long
+    it took, its texts and their estimated tokens; ``error`` is set if it failed.
     """
     urls = list(endpoints)
 
@@ -128,14 +164,28 @@ def embed_records(
         task = context.partitionId() if context else 0
 
         def one(number: int, ids: list, texts: list):
-            error, endpoint = None, None
+            error, endpoint, requests = None, None, []
+
+            def note(attempt: int, started: float, problem: str | None) -> None:
+                tokens = sum(min(MAX_TOKENS, len(text.split())) for text in texts)
+                ended = time.time()
+                key = (task << 33) + number * max_attempts + attempt
+                done = datetime.fromtimestamp(ended, timezone.utc)
+                requests.append((key, done, (ended - started) * 1000, len(ids), tokens, problem, attempt + 1, endpoint))
+
+            def finished(*outcome) -> pa.RecordBatch:
+                result = _result(ids, *outcome, endpoint)
+                return _logged(result, requests) if log_requests else result
+
             for attempt in range(max_attempts):
                 if urls:
                     endpoint = urls[rotated_endpoint(task, number, attempt, len(urls))]
+                started = time.time()
                 try:
                     vectors = service.embed(texts, endpoint)
                 except Exception as problem:
                     error = f"{type(problem).__name__}: {problem}"
+                    note(attempt, started, error)
                     if attempt + 1 < max_attempts:
                         time.sleep(retry_wait)
                     continue
@@ -143,9 +193,11 @@ def embed_records(
                     column = _vector_column(vectors, len(ids))
                 except Exception as problem:
                     error = f"bad response: {problem}"
-                    return _result(ids, None, "failed", error, attempt + 1, endpoint)
-                return _result(ids, column, "ok", None, attempt + 1, endpoint)
-            return _result(ids, None, "failed", error, max_attempts, endpoint)
+                    note(attempt, started, error)
+                    return finished(None, "failed", error, attempt + 1)
+                note(attempt, started, None)
+                return finished(column, "ok", None, attempt + 1)
+            return finished(None, "failed", error, max_attempts)
 
         work = (
             lambda number=number, ids=ids, texts=texts: one(number, ids, texts)
@@ -156,7 +208,7 @@ def embed_records(
     rows = records.select(F.col("id").cast("string").alias("id"), "text")
     if partitions:
         rows = rows.repartition(partitions)
-    embedded = rows.mapInArrow(run, EMBEDDED_SCHEMA)
+    embedded = rows.mapInArrow(run, f"{EMBEDDED_SCHEMA}, {REQUEST_SCHEMA}" if log_requests else EMBEDDED_SCHEMA)
     if normalize:
         embedded = embedded.withColumn("embedding", l2_normalize(F.col("embedding")))
     return embedded

@@ -49,3 +49,21 @@ def with_positions(
     return join_on(laid, shifts, [*keys, "_part"]).select(
         *df.columns, (F.col("_row") + F.col("_shift")).alias(name)
     )
+
+
+def with_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, name: str) -> DataFrame:
+    """Add the sum of ``amount`` up to each row, within its key and in ``order``.
+
+    Equal to ``sum(amount) over (partition by keys order by order rows up to the current one)``, but a key may
+    be any share of the data, as in :func:`with_positions`: sums run inside a partition of the range sort
+    and are shifted by what the key has in earlier partitions. The sorted rows are written once.
+    """
+    keys = list(keys)
+    laid = materialise(df.orderBy(*keys, *order).withColumn("_row", F.monotonically_increasing_id()), "running")
+    laid = laid.withColumn("_part", F.shiftright("_row", _ROW_BITS))
+    inside = Window.partitionBy(*keys, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    parts = laid.groupBy(*keys, "_part").agg(F.sum(amount).alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = parts.select(*keys, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
+    summed = laid.withColumn("_inside", F.sum(amount).over(inside))
+    return join_on(summed, shifts, [*keys, "_part"]).select(*df.columns, (F.col("_inside") + F.col("_shift")).alias(name))

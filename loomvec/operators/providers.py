@@ -10,11 +10,13 @@ Raising makes the attempt count as failed.
 from __future__ import annotations
 
 import hashlib
+import http.client
 import json
-import urllib.request
+import threading
 from collections.abc import Callable, Sequence
 from itertools import chain
 from typing import Any, Protocol
+from urllib.parse import urlsplit
 
 import numpy as np
 
@@ -79,23 +81,55 @@ def text_payload(texts: Sequence[str]) -> dict:
 
 
 def parse_vectors(response: Any) -> list:
-    """Vectors from a bare list, a list of one-vector lists, or ``{"embeddings": …}``."""
-    if isinstance(response, dict):
-        response = response["embeddings"]
-    return [
-        v[0] if isinstance(v, list) and len(v) == 1 and isinstance(v[0], list) else v
-        for v in response
-    ]
+    """Vectors of one response: bare, each in a list of its own, or either under ``embeddings``.
 
-
-def post_json(url: str, body: dict, headers: dict[str, str], timeout: float) -> Any:
-    request = urllib.request.Request(
-        url,
-        data=json.dumps(body).encode(),
-        headers={"Content-Type": "application/json", **headers},
-    )
-    with urllib.request.urlopen(request, timeout=timeout) as response:
-        return json.load(response)
+    How deep the answer is nested is decided once, for all of its vectors; a mixed or
+    deeper answer raises ``ValueError``.
+    """
+    answer = response.get("embeddings") if isinstance(response, dict) else response
+    if not isinstance(answer, list):
+        raise ValueError("no list of vectors")
+    depths = {_depth(item) for item in answer}
+    if depths <= {1}:
+        return answer
+    if depths != {2} or any(len(item) != 1 for item in answer):
+        raise ValueError(f"vectors nested {sorted(depths)} deep")
+    return [only for item in answer for only in item]
+
+
+def _depth(item: Any) -> int:
+    """Levels of lists around the first number."""
+    levels = 0
+    while isinstance(item, list):
+        levels += 1
+        item = item[0] if item else None
+    return levels
+
+
+class Connections(threading.local):
+    """Open connections by host, one set per thread, kept from request to request."""
+
+    def __init__(self):
+        self.open: dict[tuple[str, str], http.client.HTTPConnection] = {}
+
+    def post(self, url: str, body: dict, headers: dict[str, str], timeout: float) -> Any:
+        parts = urlsplit(url)
+        key = (parts.scheme, parts.netloc)
+        if key not in self.open:
+            kind = http.client.HTTPSConnection if parts.scheme == "https" else http.client.HTTPConnection
+            self.open[key] = kind(parts.netloc, timeout=timeout)
+        target = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
+        try:
+            self.open[key].request("POST", target, json.dumps(body), {"Content-Type": "application/json", **headers})
+            answer = self.open[key].getresponse()
+            content = answer.read()
+        except Exception:
+            # A connection in an unknown state is not used again; the caller's retry opens a new one.
+            self.open.pop(key).close()
+            raise
+        if answer.status >= 300:
+            raise OSError(f"{answer.status} {answer.reason}")
+        return json.loads(content)
 
 
 class HttpProvider:
@@ -106,12 +140,12 @@ class HttpProvider:
         payload: Callable[[Sequence[str]], dict] = inputs_payload,
         token: str | None = None,
         timeout: float = 120.0,
-        post: Callable[[str, dict, dict[str, str], float], Any] = post_json,
+        post: Callable[[str, dict, dict[str, str], float], Any] | None = None,
     ):
         self.payload = payload
         self.headers = {"Authorization": f"Bearer {token}"} if token else {}
         self.timeout = timeout
-        self.post = post
+        self.post = post or Connections().post
 
     def embed(self, texts: list[str], endpoint: str | None) -> list:
         return parse_vectors(self.post(endpoint, self.payload(texts), self.headers, self.timeout))

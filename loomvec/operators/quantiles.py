@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomvec.operators.joins import join_on
+from loomvec.operators.ordering import with_running_sum
 from loomvec.session import materialise
 
 
@@ -26,12 +27,13 @@ def exact_percentiles(
     need none). The second counts the values
     inside the brackets exactly, and everything below them as one number; both
     are combined before the shuffle. Only bracket values (8 n / accuracy of a key
-    at most) are sorted, so no task holds all the values of a key. Keys with no
+    at most) are sorted, and that over all partitions, so no task holds all of a key's. Keys with no
     value get no row. ``df`` is read once per pass: write it first if it is costly.
     """
     keys = list(keys)
     names = list(percentiles)
-    # Below this many values a key is counted whole; above it a margin spans many ranks.
+    # Below this many values a key is counted whole, above it inside brackets. Both are exact; this
+    # only says where a bracket would be no narrower than the key.
     small = 2 * accuracy
     margin = 4.0 / accuracy
     wanted = [float(percentiles[name]) for name in names]
@@ -72,14 +74,9 @@ def exact_percentiles(
         .groupBy(*keys, "n", "s.p", "s.inside", "s.v")
         .agg(F.count("*").alias("c"))
     )
-    upto = (
-        Window.partitionBy(*keys, "p")
-        .orderBy("inside", "v")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
     target = F.get(F.array(*[F.lit(p) for p in wanted]), F.col("p")) * (F.col("n") - 1)
     # The first value whose running count passes a rank is the value at that rank.
-    ranked = counted.withColumn("upto", F.sum("c").over(upto)).withColumn("target", target)
+    ranked = with_running_sum(counted, [*keys, "p"], ["inside", "v"], "c", "upto").withColumn("target", target)
 
     def at(rank):
         passed = F.col("upto") > rank

@@ -135,7 +135,8 @@ def trial_metrics(
         (F.max("last_end") - F.min("first_start")).alias("dur"),
     )
     samples = log.select(*keys, "request_id", "done_at", "latency_ms")
-    trimmed = warmup_trim(samples, warmup_secs, trial_secs, keys, by_second)
+    # Written once: the percentiles read it twice.
+    trimmed = materialise(warmup_trim(samples, warmup_secs, trial_secs, keys, by_second).select(*keys, "latency_ms"), "trimmed")
     latency = exact_percentiles(trimmed, keys, "latency_ms", {"p50": 0.5, "p95": 0.95})
     return join_on(totals, latency, keys, "left").select(
         *keys,
@@ -213,11 +214,18 @@ def rolling_latency_at_ticks(
 
 
 def interval_rate(
-    log: DataFrame, every_secs: int = 5, keys: Sequence[str] = RUN, fill: bool = True
+    log: DataFrame,
+    every_secs: int = 5,
+    keys: Sequence[str] = RUN,
+    fill: bool = True,
+    longest_gap: int = 10_000,
 ) -> DataFrame:
     """Docs and tokens per second for each tick of a run, and the average so far.
 
-    Ticks are ``every_secs`` long and aligned to the clock. ``fill`` gives ticks without requests a row with rate 0. Requests are summed per tick
+    Ticks are ``every_secs`` long and aligned to the clock; rates divide by the part of a tick that lies
+    inside the run (from its first request's start to its last one's end), averages by the time since that start.
+    ``fill`` gives ticks without requests a row with rate 0, unless more than ``longest_gap`` of them follow
+    each other, as after a stray time stamp; ``idle_after`` counts those left out. Requests are summed per tick
     before anything is ordered, so windows run over ticks, not over requests.
     """
     keys = list(keys)
@@ -228,29 +236,35 @@ def interval_rate(
         F.sum("docs").cast("bigint").alias("docs"),
         F.sum("tokens").cast("bigint").alias("tokens"),
         F.sum("error").cast("bigint").alias("errors"),
+        F.min(seconds(F.col("done_at")) - F.col("latency_ms") / 1000).alias("_began"),
+        F.max(seconds(F.col("done_at"))).alias("_ended"),
+    )
+    whole, in_run = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_slot")
+    idle = F.coalesce(F.lead("_slot").over(in_run) - F.col("_slot") - 1, F.lit(0))
+    ticks = sums.select(
+        *keys, "_slot", "docs", "tokens", "errors", F.min("_began").over(whole).alias("_began"),
+        F.max("_ended").over(whole).alias("_ended"), F.min("_slot").over(whole).alias("_first"), idle.alias("_idle"),
+    )
+    filled = (F.col("_idle") <= longest_gap) & F.lit(fill)
+    ticks = ticks.withColumn("_tick", F.explode(F.sequence(F.col("_slot"), F.col("_slot") + F.when(filled, F.col("_idle")).otherwise(0))))
+    own = F.col("_tick") == F.col("_slot")
+    ticks = ticks.select(
+        *keys, "_began", "_ended", "_first", F.col("_tick").alias("_slot"),
+        *[F.when(own, F.col(c)).otherwise(F.lit(0)).alias(c) for c in ("docs", "tokens", "errors")],
+        F.when(filled, 0).otherwise(F.col("_idle")).cast("bigint").alias("idle_after"),
     )
-    in_run = Window.partitionBy(*keys).orderBy("_slot")
-    ticks = sums
-    if fill:
-        following = F.lead("_slot").over(in_run)
-        gap = F.sequence(F.col("_slot"), F.coalesce(F.col("_next") - 1, F.col("_slot")))
-        filled = sums.withColumn("_next", following).withColumn("_tick", F.explode(gap))
-        first = F.col("_tick") == F.col("_slot")
-        ticks = filled.select(
-            *keys,
-            F.col("_tick").alias("_slot"),
-            *[F.when(first, F.col(c)).otherwise(F.lit(0)).alias(c) for c in ("docs", "tokens", "errors")],
-        )
     upto = in_run.rowsBetween(Window.unboundedPreceding, 0)
-    elapsed = (F.col("_slot") - F.min("_slot").over(upto) + 1) * every_secs
+    seen_to = F.least((F.col("_slot") + 1) * every_secs, "_ended")
+    seen_from = F.when(F.col("_slot") == F.col("_first"), F.col("_began")).otherwise(F.col("_slot") * every_secs)
     return ticks.select(
         *keys,
         F.timestamp_micros(F.col("_slot") * width).alias("tick_start"),
         "docs",
         "tokens",
         "errors",
-        (F.col("docs") / every_secs).alias("docs_s"),
-        (F.col("tokens") / every_secs).alias("toks_s"),
+        per_second(F.col("docs"), seen_to - seen_from).alias("docs_s"),
+        per_second(F.col("tokens"), seen_to - seen_from).alias("toks_s"),
         F.sum("docs").over(upto).alias("total_docs"),
-        (F.sum("docs").over(upto) / elapsed).alias("avg_docs_s"),
+        per_second(F.sum("docs").over(upto), seen_to - F.col("_began")).alias("avg_docs_s"),
+        "idle_after",
     )

@@ -20,13 +20,13 @@ def rows_per_file(table: DataFrame) -> DataFrame:
 
 
 def fingerprint(table: DataFrame, key: str = "id") -> DataFrame:
-    """Row count and an order-free hash sum of the ids: one pass, one row, no shuffle of rows."""
-    return table.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(F.xxhash64(key).cast("decimal(20,0)")), F.lit(0).cast("decimal(20,0)")).alias(
-            "id_sum"
-        ),
-    )
+    """Row count and order-free hash sums of ids and of whole rows: one pass, one row, no shuffle of rows."""
+
+    def total(*columns: str):
+        return F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")), F.lit(0).cast("decimal(20,0)"))
+
+    others = [c for c in table.columns if c != key]
+    return table.agg(F.count("*").alias("rows"), total(key).alias("id_sum"), total(key, *sorted(others)).alias("row_sum"))
 
 
 def count_differences(source: DataFrame, output: DataFrame, key: str = "id") -> DataFrame:
@@ -43,7 +43,7 @@ def count_differences(source: DataFrame, output: DataFrame, key: str = "id") ->
 
 
 def reconcile(source: DataFrame, output: DataFrame, key: str = "id") -> DataFrame:
-    """One row: rows on both sides and whether the ids agree as a bag."""
+    """One row: rows on both sides, and whether the ids, and the rows with their vectors, agree as a bag."""
     left, right = fingerprint(source, key), fingerprint(output, key)
     both = left.withColumn("side", F.lit("s")).unionByName(right.withColumn("side", F.lit("o")))
 
@@ -54,4 +54,5 @@ def reconcile(source: DataFrame, output: DataFrame, key: str = "id") -> DataFram
         side("s", "rows").alias("source_rows"),
         side("o", "rows").alias("output_rows"),
         (side("s", "id_sum").eqNullSafe(side("o", "id_sum"))).alias("same_ids"),
+        (side("s", "row_sum").eqNullSafe(side("o", "row_sum"))).alias("same_rows"),
     )

@@ -14,7 +14,6 @@ from loomvec.operators.embed import (
     embed_records,
     embedded_ok,
     prepare_texts,
-    rotated_endpoint,
 )
 from loomvec.operators.resume import processed_total, resume_pending
 from loomvec.plans.catalog.registry import (
@@ -27,8 +26,14 @@ from loomvec.plans.catalog.registry import (
     scaled_sql,
     table,
 )
-from loomvec.session import scratch_path
-from loomvec.sources.shards import read_dead_letter, read_embeddings, write_embeddings
+from loomvec.session import path_exists, scratch_path
+from loomvec.sources.shards import (
+    EMBEDDED_TABLE_SCHEMA,
+    read_dead_letter,
+    read_embeddings,
+    read_request_log,
+    write_embeddings,
+)
 
 DIMS = 16
 Hashing = partial(providers.HashingProvider, DIMS)
@@ -97,7 +102,7 @@ def embed_in_flight(spark, sf_dir):
     """Several requests of a task open at a time, over two endpoints."""
     texts = prepare_texts(documents(spark, sf_dir))
     urls = ["http://a.invalid/embed", "http://b.invalid/embed"]
-    return _shown(embed_records(texts, Hashing, urls, batch_size=32, in_flight=4, partitions=8))
+    return _shown(embed_records(texts, Hashing, urls, batch_size=32, in_flight=4))
 
 
 _TURNS_SQL = "SELECT conv_id || '-' || turn AS id, text FROM conversations WHERE text <> ''"
@@ -174,17 +179,55 @@ def response_shapes(spark, sf_dir):
     return shown[0].unionByName(shown[1]).unionByName(shown[2])
 
 
-@query("""
-    SELECT doc_id, (doc_id // 256 + doc_id % 7 + 0) % 4 AS first_try, (doc_id // 256 + doc_id % 7 + 1) % 4 AS retry
-    FROM documents""")
+@query(f"""
+    SELECT tries, count(*) AS batches, true AS moves_on FROM (
+      SELECT CAST(least(3, {_FAILS_SQL} + 1) AS BIGINT) AS tries FROM ({CLEAN_DOCUMENTS_SQL})) GROUP BY ALL""")
 def endpoint_rotation(spark, sf_dir):
-    """Which of four endpoints a batch tries first and next, for tasks doc_id % 7."""
-    batch, task = F.floor(F.col("doc_id") / 256), F.col("doc_id") % 7
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
-        rotated_endpoint(task, batch, F.lit(0), 4).alias("first_try"),
-        rotated_endpoint(task, batch, F.lit(1), 4).alias("retry"),
+    """Batches by their tries, and whether each try went to the endpoint after the last one's."""
+    urls = [f"http://host{i}.invalid/embed" for i in range(4)]
+    texts = prepare_texts(documents(spark, sf_dir))
+    path = scratch_path(spark, "rotated")
+    tried = embed_records(texts, SomeTextsFail, urls, batch_size=1, max_attempts=3, retry_wait=0.0, log_requests=True)
+    write_embeddings(tried, path)
+    requests = spark.read.schema(EMBEDDED_TABLE_SCHEMA).parquet(path).where("status = 'request'")
+    host = F.regexp_extract("endpoint", "host([0-9])", 1).cast("int")
+    batches = requests.groupBy(F.floor(F.col("request_id") / 3)).agg(
+        F.count("*").alias("tries"), (F.count_distinct(F.pmod(host - F.col("attempts"), F.lit(4))) == 1).alias("moves_on")
     )
+    return batches.groupBy("tries").agg(F.count("*").alias("batches"), F.bool_and("moves_on").alias("moves_on"))
+
+
+_WORDS_SQL = "least(2048, len(string_split(text, ' ')))"
+
+
+@query(f"""
+    SELECT count(*) AS docs, CAST(sum({_WORDS_SQL}) AS BIGINT) AS tokens, CAST(0 AS BIGINT) AS errors, true AS timed
+    FROM ({CLEAN_DOCUMENTS_SQL})""")
+def embed_request_log(spark, sf_dir):
+    """Totals of the requests a run logged; they cover the corpus."""
+    path = scratch_path(spark, "embedded")
+    texts = prepare_texts(documents(spark, sf_dir))
+    write_embeddings(embed_records(texts, Hashing, batch_size=32, log_requests=True), path)
+    log = read_request_log(spark, path, batch=32, conc=1)
+    return log.agg(
+        F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"), F.sum("error").alias("errors"),
+        F.bool_and((F.col("latency_ms") >= 0) & F.col("done_at").isNotNull()).alias("timed"),
+    )
+
+
+@query(f"""
+    SELECT id, 3 AS attempts, 'ConnectionError: no answer' AS error
+    FROM ({CLEAN_DOCUMENTS_SQL}) WHERE {_FAILS_SQL} = 4""")
+def dead_letter_after_resume(spark, sf_dir):
+    """Two runs that fail for the same texts, then one that succeeds for part of them."""
+    docs, path = prepare_texts(documents(spark, sf_dir)), scratch_path(spark, "embedded")
+    for _ in range(2):
+        pending = resume_pending(docs, read_embeddings(spark, path)) if path_exists(spark, path) else docs
+        write_embeddings(embed_records(pending, SomeTextsFail, batch_size=1, retry_wait=0.0), path)
+    digit = F.conv(F.substring(F.md5("text"), 1, 1), 16, 10).cast("int")
+    mended = resume_pending(docs, read_embeddings(spark, path)).where(digit % 5 == 3)
+    write_embeddings(embed_records(mended, Hashing), path)
+    return read_dead_letter(spark, path).select("id", "attempts", "error")
 
 
 @query(f"SELECT id, {rendered_sql('embedding')} AS vector FROM ({_EMBEDDED_SQL})")

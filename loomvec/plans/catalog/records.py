@@ -23,12 +23,15 @@ def read_records(spark, sf_dir):
 
 
 @query("""
-    SELECT conv_id || '-' || turn AS id, CASE WHEN role = 'user' THEN text END AS text FROM conversations""")
+    SELECT conv_id || '-' || turn AS id, text FROM conversations
+    UNION ALL SELECT conv_id || '-' || turn, NULL FROM conversations""")
 def read_records_any(spark, sf_dir):
+    """Every turn with its text, and once more without a text key."""
     turns = table(spark, sf_dir, "conversations")
-    # to_json leaves out null fields: the other side's turns have no text key.
-    text = F.when(F.col("role") == "user", F.col("text"))
-    line = F.to_json(F.struct(F.concat_ws("-", "conv_id", "turn").alias("_id"), text.alias("text")))
+    # to_json leaves out null fields.
+    text = F.explode(F.array("text", F.lit(None).cast("string")))
+    turns = turns.select(F.concat_ws("-", "conv_id", "turn").alias("_id"), text.alias("text"))
+    line = F.to_json(F.struct("_id", "text"))
     path = _written(turns.select(line), "turns-jsonl")
     return source.read_records(spark, path, require_text=False)
 
@@ -101,12 +104,21 @@ def records_among_bad_lines(spark, sf_dir):
     return source.records_of(source.judge_lines(_lines(spark, sf_dir)))
 
 
+# The text as a JSON string without blanks at the end of the line, as the writer gives it.
+_TEXT_JSON = "CAST(to_json(text) AS VARCHAR)"
+_GOOD_JSON = f"""'{{"_id":' || doc_id || ',"text":' || {_TEXT_JSON} || '}}'"""
+
+
 @query(f"""
     SELECT CASE source {_CASES} END AS reason,
-           CASE WHEN source = 'src6' THEN '{{"_id":' || doc_id || '}}'
-                WHEN source = 'src7' THEN '{{"_id":' || doc_id || ',"text":' || n_chars || '}}' END AS value
-    FROM documents WHERE source IN ('src6', 'src7')""")
+           CASE source WHEN 'src1' THEN regexp_extract({_GOOD_JSON}, '^[^}}]*')
+                       WHEN 'src2' THEN {_GOOD_JSON} || ' junk'
+                       WHEN 'src3' THEN '[' || {_GOOD_JSON} || ']'
+                       WHEN 'src4' THEN '{{"text":' || {_TEXT_JSON} || '}}'
+                       WHEN 'src5' THEN '{{"_id":null,"text":' || {_TEXT_JSON} || '}}'
+                       WHEN 'src6' THEN '{{"_id":' || doc_id || '}}'
+                       WHEN 'src7' THEN '{{"_id":' || doc_id || ',"text":' || n_chars || '}}'
+                       WHEN 'src8' THEN {_GOOD_JSON} || ' ' || {_GOOD_JSON} END AS value
+    FROM documents WHERE source IN ({_BAD_SQL})""")
 def quarantine_lines(spark, sf_dir):
-    wanted = F.col("reason").isin(source.NO_TEXT, source.TEXT_NOT_STRING)
-    quarantine = source.quarantine_of(source.judge_lines(_lines(spark, sf_dir)))
-    return quarantine.where(wanted).select("reason", "value")
+    return source.quarantine_of(source.judge_lines(_lines(spark, sf_dir))).select("reason", "value")

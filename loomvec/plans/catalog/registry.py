@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomvec.sources.tables import read_table, spread_small
+from loomvec.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as ``(id, text)`` records."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
-    return spread_small(docs, f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
 
 
 def rendered(vector: Column) -> Column:

@@ -136,14 +136,18 @@ def rolling_latency_at_ticks(spark, sf_dir):
 
 _TICKS_SQL = f"""
     SELECT trial_no, make_timestamp(slot * 3600000000) AS tick_start, docs, tokens, errors,
-           round(docs / 3600, 6) AS docs_s, round(tokens / 3600, 6) AS toks_s,
+           round(docs / greatest(seen_to - seen_from, 1e-6), 6) AS docs_s,
+           round(tokens / greatest(seen_to - seen_from, 1e-6), 6) AS toks_s,
            CAST(sum(docs) OVER w AS BIGINT) AS total_docs,
-           round(sum(docs) OVER w / ((slot - lo + 1) * 3600), 6) AS avg_docs_s
-    FROM (SELECT trial_no, slot, lo, coalesce(docs, 0) AS docs, coalesce(tokens, 0) AS tokens,
-                 coalesce(errors, 0) AS errors
-          FROM (SELECT trial_no, lo, unnest(generate_series(lo, hi)) AS slot FROM (
+           round(sum(docs) OVER w / greatest(seen_to - began, 1e-6), 6) AS avg_docs_s
+    FROM (SELECT trial_no, slot, began, coalesce(docs, 0) AS docs, coalesce(tokens, 0) AS tokens,
+                 coalesce(errors, 0) AS errors, least((slot + 1) * 3600, ended) AS seen_to,
+                 CASE WHEN slot = lo THEN began ELSE slot * 3600 END AS seen_from
+          FROM (SELECT trial_no, lo, began, ended, unnest(generate_series(lo, hi)) AS slot FROM (
                   SELECT trial_no, min(epoch_us(done_at) // 3600000000) AS lo,
-                         max(epoch_us(done_at) // 3600000000) AS hi FROM ({LOG_SQL}) GROUP BY ALL))
+                         max(epoch_us(done_at) // 3600000000) AS hi,
+                         min(epoch_us(done_at) / 1e6 - latency_ms / 1000) AS began,
+                         max(epoch_us(done_at) / 1e6) AS ended FROM ({LOG_SQL}) GROUP BY ALL))
           LEFT JOIN (SELECT trial_no, epoch_us(done_at) // 3600000000 AS slot, CAST(sum(docs) AS BIGINT) AS docs,
                             CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(error) AS BIGINT) AS errors
                      FROM ({LOG_SQL}) GROUP BY ALL) USING (trial_no, slot))
@@ -235,15 +239,19 @@ def capacity_estimate(spark, sf_dir):
     )
 
 
+# Every run at every document size is a choice: 1a to 9c.
+_CHOICES = [f"{run}{size}" for run in range(1, 10) for size in "abc"]
+_CHOICE_SQL = "trial_no || CASE avg_tok WHEN 15 THEN 'a' WHEN 64 THEN 'b' ELSE 'c' END"
+
+
 @query(" UNION ALL ".join(
-    f"""SELECT '{metric}' AS metric,
-               round(max(CASE WHEN trial_no = 1 THEN {metric} END), 6) AS "one",
-               round(max(CASE WHEN trial_no = 9 THEN {metric} END), 6) AS "nine"
-        FROM ({_ESTIMATE_SQL}) WHERE avg_tok = 64"""
+    f"SELECT '{metric}' AS metric, "
+    + ", ".join(f"""round(max(CASE WHEN {_CHOICE_SQL} = '{c}' THEN {metric} END), 6) AS "{c}\"""" for c in _CHOICES)
+    + f" FROM ({_ESTIMATE_SQL})"
     for metric in ("toks_s", "hours", "cost", "p95_s")
 ))
 def cost_compare(spark, sf_dir):
-    sized = _estimates(spark, sf_dir).where("avg_tok = 64 AND trial_no IN (1, 9)")
-    named = sized.withColumn("choice", F.when(F.col("trial_no") == 1, "one").otherwise("nine"))
-    side_by_side = selection.cost_compare(named, "choice", ["one", "nine"], ["toks_s", "hours", "cost", "p95_s"])
-    return side_by_side.select("metric", F.round("one", 6).alias("one"), F.round("nine", 6).alias("nine"))
+    size = F.when(F.col("avg_tok") == 15, "a").when(F.col("avg_tok") == 64, "b").otherwise("c")
+    named = _estimates(spark, sf_dir).withColumn("choice", F.concat(F.col("trial_no").cast("string"), size))
+    side_by_side = selection.cost_compare(named, "choice", _CHOICES, ["toks_s", "hours", "cost", "p95_s"])
+    return side_by_side.select("metric", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in _CHOICES])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomvec.operators import compaction, verify
 from loomvec.plans.catalog.registry import query, rendered, rendered_sql, table
-from loomvec.session import scratch_path
+from loomvec.session import file_system, scratch_path
 from loomvec.sources import shards
 
 _ROWS_PER_FILE = 10_000
@@ -46,12 +46,40 @@ def read_shards(spark, sf_dir):
     return _shown(shards.read_shards(spark, *_shard_dirs(spark, sf_dir)))
 
 
-@query("SELECT label, true AS some_files, true AS some_bytes FROM embeddings GROUP BY label")
+@query("SELECT label, CAST(ceil(count(*) / 16) AS BIGINT) AS files FROM embeddings GROUP BY label")
 def files_per_dir(spark, sf_dir):
-    counts = shards.files_per_dir(shards.list_shards(spark, *_shard_dirs(spark, sf_dir)))
-    return counts.select(
-        _label("dir"), (F.col("files") > 0).alias("some_files"), (F.col("bytes") > 0).alias("some_bytes")
-    )
+    """Sixteen rows a file, each label written by one task."""
+    path = scratch_path(spark, "files")
+    rows = _vectors(spark, sf_dir).repartition("label")
+    rows.write.option("maxRecordsPerFile", 16).partitionBy("label").parquet(path)
+    return shards.files_per_dir(shards.list_shards(spark, f"{path}/label=*")).select(_label("dir"), "files")
+
+
+def _good_and_bad(spark, sf_dir):
+    """One folder of shards and three of files that are none: other types, more columns, no Parquet."""
+    path, rows = scratch_path(spark, "kinds"), _vectors(spark, sf_dir)
+    plain = rows.select("id", "embedding")
+    plain.write.parquet(f"{path}/plain")
+    plain.withColumn("embedding", F.col("embedding").cast("array<double>")).write.parquet(f"{path}/doubles")
+    rows.write.parquet(f"{path}/extra")
+    rows.select("id").coalesce(1).write.text(f"{path}/text")
+    files, folder = file_system(spark, f"{path}/text")
+    for file in files.listStatus(folder):
+        if file.getPath().getName().startswith("part-"):
+            files.rename(file.getPath(), file.getPath().suffix(".parquet"))
+    return f"{path}/*"
+
+
+@query(_ALL_SQL)
+def read_shards_skip_bad(spark, sf_dir):
+    return _shown(shards.read_shards(spark, _good_and_bad(spark, sf_dir), skip_bad=True))
+
+
+@query(f"SELECT unnest(['doubles', 'extra', 'text']) AS kind, unnest(['{shards.NOT_A_SHARD}', '{shards.NOT_A_SHARD}', 'unreadable']) AS error")
+def rejects_report(spark, sf_dir):
+    found = shards.rejected_shards(spark, _good_and_bad(spark, sf_dir))
+    kind = F.regexp_extract("path", r"/([a-z]+)/[^/]*$", 1).alias("kind")
+    return found.select(kind, F.when(F.col("columns").isNull(), "unreadable").otherwise(F.col("error")).alias("error")).distinct()
 
 
 @query("""
@@ -109,6 +137,19 @@ def consolidate_in_chunks(spark, sf_dir):
     return _shown(compaction.read_consolidated(spark, output))
 
 
+@query("""
+    SELECT CAST(sum(files) AS BIGINT) AS files_in, true AS fewer_out FROM (
+      SELECT ceil(count(*) / 16) AS files FROM embeddings GROUP BY label)""")
+def consolidated_files(spark, sf_dir):
+    """Files before compaction, and whether there are fewer after it."""
+    path, output = scratch_path(spark, "files"), scratch_path(spark, "consolidated")
+    rows = _vectors(spark, sf_dir).repartition("label")
+    rows.write.option("maxRecordsPerFile", 16).partitionBy("label").parquet(path)
+    done = compaction.compact(spark, [f"{path}/label=*"], output)
+    after = shards.list_shards(spark, f"{output}/wave=*").agg(F.count("*").alias("n"))
+    return after.select(F.lit(done.files).cast("bigint").alias("files_in"), (F.col("n") < done.files).alias("fewer_out"))
+
+
 @query("""
     SELECT count(*) FILTER (label < 5) AS rows_first, count(*) FILTER (label >= 5) AS rows_second,
            0 AS files_third, count(*) AS rows_in_output FROM embeddings""")
@@ -141,7 +182,8 @@ def schema_conformity(spark, sf_dir):
     return found.groupBy(kind, "conforms").agg(F.sum("rows").alias("rows"))
 
 
-@query("SELECT count(*) AS source_rows, count(*) AS output_rows, true AS same_ids FROM embeddings")
+@query("""
+    SELECT count(*) AS source_rows, count(*) AS output_rows, true AS same_ids, true AS same_rows FROM embeddings""")
 def reconcile(spark, sf_dir):
     output, dirs = scratch_path(spark, "consolidated"), _shard_dirs(spark, sf_dir)
     compaction.compact(spark, dirs, output)

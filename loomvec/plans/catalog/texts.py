@@ -19,7 +19,6 @@ from loomvec.plans.catalog.registry import (
     strip_urls_sql,
     table,
 )
-from loomvec.sources.tables import spread_small
 
 
 @query(CLEAN_DOCUMENTS_SQL)
@@ -52,30 +51,30 @@ def cap_chars(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.cap_chars(F.col("text")).alias("text"))
 
 
-@query("SELECT doc_id, coalesce(CASE WHEN lang <> 'fr' THEN text END, '') AS text FROM documents")
+@query("SELECT doc_id, text FROM documents UNION ALL SELECT doc_id, '' FROM documents")
 def blank_if_null(spark, sf_dir):
-    some = F.when(F.col("lang") != "fr", F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", text.blank_if_null(some).alias("text"))
+    """Every text once as it is and once null."""
+    both = F.explode(F.array("text", F.lit(None).cast("string")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", both.alias("text"))
+    return rows.select("doc_id", text.blank_if_null(F.col("text")).alias("text"))
 
 
-@query("""
-    SELECT conv_id, turn, t AS text FROM (
-      SELECT conv_id, turn, CASE WHEN role = 'user' THEN text WHEN turn = 1 THEN '' END AS t
-      FROM conversations) WHERE t <> ''""")
+@query("SELECT conv_id, turn, text FROM conversations WHERE text <> ''")
 def drop_empty_text(spark, sf_dir):
-    some = F.when(F.col("role") == "user", F.col("text")).when(F.col("turn") == 1, "")
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", some.alias("text"))
+    """Every turn as it is, empty and null; the last two have to go."""
+    three = F.explode(F.array("text", F.lit(""), F.lit(None).cast("string")))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", three.alias("text"))
     return rows.where(text.has_text(F.col("text")))
 
 
 @query(f"""
     SELECT id, text FROM (
-      SELECT CAST(page_id AS VARCHAR) AS id,
-             {clean_text_sql("CASE WHEN contains(url, 'page=') THEN ' #' || url ELSE html END")} AS text
+      SELECT CAST(page_id AS VARCHAR) AS id, {clean_text_sql("unnest([html, ' #' || url])")} AS text
       FROM pages) WHERE text <> ''""")
 def drop_empty_after_clean(spark, sf_dir):
-    mixed = F.when(F.contains("url", F.lit("page=")), F.concat(F.lit(" #"), F.col("url"))).otherwise(F.col("html"))
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("id"), mixed.alias("text"))
+    """Every page's body, and its marked URL, which cleans to nothing."""
+    both = F.explode(F.array("html", F.concat(F.lit(" #"), F.col("url"))))
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("id"), both.alias("text"))
     return prepare_texts(pages)
 
 
@@ -104,8 +103,7 @@ def truncate_tokens(spark, sf_dir):
 
 
 def _sized(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return spread_small(docs, f"{sf_dir}/documents.parquet").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", "source", text.estimate_tokens(F.col("text")).alias("n_tokens")
     )
 

@@ -28,13 +28,18 @@ def truncate_embedding(spark, sf_dir):
 
 
 @query(f"""
-    SELECT vec_id, CASE WHEN label < 7 THEN {rendered_sql("embedding")} END AS vector
-    FROM embeddings""")
+    SELECT vec_id, {rendered_sql("embedding")} AS vector, false AS bad_response FROM embeddings
+    UNION ALL SELECT vec_id, NULL, true FROM embeddings""")
 def unwrap_embedding(spark, sf_dir):
     v = F.col("embedding")
-    nested = F.when(F.col("label") >= 7, F.array(v, v)).otherwise(F.array(v))
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", nested.alias("response"))
-    return rows.select("vec_id", rendered(vectors.unwrap_nested(F.col("response"))).alias("vector"))
+    # Every vector once in a good response and once in a bad one, which holds it twice.
+    both = F.explode(F.array(F.array(v), F.array(v, v)))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", both.alias("response"))
+    return rows.select(
+        "vec_id",
+        rendered(vectors.unwrap_nested(F.col("response"))).alias("vector"),
+        vectors.is_bad_nesting(F.col("response")).alias("bad_response"),
+    )
 
 
 @query(f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -47,14 +48,35 @@ def session_conf(spark: SparkSession, **settings: str):
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a laptop) a local one is set.
+    Without a name a local folder is made in local mode only. Elsewhere that is an error: executors
+    would write to disks of their own, and tables would read back empty.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    is_local = re.fullmatch(r"local(\[.*\])?", context.master) is not None
     if not named:
+        if not is_local:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="loomvec-")
         context.setCheckpointDir(named)
-    return named.rstrip("/")
+    named = named.rstrip("/")
+    if not is_local and (context.applicationId, named) not in _PROBED:
+        _probe(spark, named)
+        _PROBED.add((context.applicationId, named))
+    return named
+
+
+_PROBED: set[tuple[str, str]] = set()
+
+
+def _probe(spark: SparkSession, folder: str) -> None:
+    """Once per application: rows that many tasks write there can all be read back."""
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    path = f"{folder}/loomvec/{spark.sparkContext.applicationId}/probe-{uuid.uuid4().hex}"
+    spark.range(0, tasks, 1, tasks).write.parquet(path)
+    found = spark.read.schema("id long").parquet(path).count()
+    if found != tasks:
+        raise ValueError(f"{folder} is not shared: {found} of {tasks} rows written there were read back")
 
 
 def _own_folder(spark: SparkSession) -> str:
@@ -66,19 +88,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, where = _file_system(spark, path)
+    files, where = file_system(spark, path)
     return files.exists(where)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once its results are written."""
-    files, where = _file_system(spark, _own_folder(spark))
+    files, where = file_system(spark, _own_folder(spark))
     files.delete(where, True)
 
 

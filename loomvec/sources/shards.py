@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from loomvec.session import materialise, session_conf
 
 EMBEDDED_TABLE_SCHEMA = (
-    "id string, embedding array<float>, error string, attempts int, endpoint string, status string"
+    "id string, embedding array<float>, error string, attempts int, endpoint string, request_id bigint, "
+    "done_at timestamp, latency_ms double, docs int, tokens bigint, status string"
 )
 # Both spellings of the id column are read; a file has one of them.
 SHARD_SCHEMA = "id string, _id string, embedding array<float>"
@@ -50,8 +52,26 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dead_letter(spark: SparkSession, path: str) -> DataFrame:
+    """``(id, error, attempts, endpoint)`` of ids that never succeeded: the last failure of each."""
     table = spark.read.schema(EMBEDDED_TABLE_SCHEMA).parquet(path)
-    return table.where(F.col("status") == "failed").select("id", "error", "attempts", "endpoint")
+    failed = table.where(F.col("status") == "failed")
+    # Runs append files, so a later failure is in a younger file.
+    facts = F.struct("error", "attempts", "endpoint")
+    last = failed.groupBy("id").agg(F.max_by(facts, F.struct(F.col("_metadata.file_modification_time"), "attempts")).alias("last"))
+    ok = table.where(F.col("status") == "ok").select(F.col("id").alias("_ok"))
+    return last.join(ok, F.col("id").eqNullSafe(F.col("_ok")), "left_anti").select("id", "last.*")
+
+
+def read_request_log(spark: SparkSession, path: str, batch: int, conc: int, trial_no: int = 1) -> DataFrame:
+    """The requests of an embedding run that logged them, as the log of one trial.
+
+    ``request_id`` is unique within a run; give each run a table, and a ``trial_no``, of its own.
+    """
+    table = spark.read.schema(EMBEDDED_TABLE_SCHEMA).parquet(path).where(F.col("status") == "request")
+    return table.select(
+        "request_id", F.lit(trial_no).alias("trial_no"), F.lit(batch).alias("batch"), F.lit(conc).alias("conc"),
+        "done_at", "latency_ms", "docs", "tokens", F.col("error").isNotNull().cast("int").alias("error"),
+    )
 
 
 def escape_glob(path: str) -> str:
@@ -63,17 +83,59 @@ def read_shards(spark: SparkSession, *paths: str, skip_bad: bool = False) -> Dat
     """``(id, embedding)`` of the Parquet files in all of ``paths``: a bag union.
 
     Directories are not searched below their own level; ``_id`` is read as ``id``.
-    A file that cannot be read is an error, unless ``skip_bad``: then the footers are
-    inspected first and only rows of files with the shard schema are kept.
+    A file that cannot be read is an error, unless ``skip_bad``: then files that
+    :func:`rejected_shards` reports are left out whole.
     """
     reader = spark.read.schema(SHARD_SCHEMA).option("pathGlobFilter", "*.parquet")
     if not skip_bad:
         return _ids_unified(reader.parquet(*paths))
-    inspected = inspect_shards(list_shards(spark, *paths))
-    good = materialise(inspected.where("conforms").select("file_path"), "good-files")
-    rows = reader.option("ignoreCorruptFiles", "true").parquet(*paths)
-    located = rows.withColumn("file_path", F.col("_metadata.file_path"))
-    return _ids_unified(located.join(good, "file_path", "left_semi"))
+    judged = _judged(spark, *paths)
+    good = materialise(judged.where("error IS NULL").select("file_path"), "good-files")
+    rows = located(reader.option("ignoreCorruptFiles", "true").parquet(*paths))
+    return _ids_unified(rows.join(good, "file_path", "left_semi"))
+
+
+DAMAGED = "damaged data pages"
+NOT_A_SHARD = "not the columns of a shard"
+
+
+def located(rows: DataFrame) -> DataFrame:
+    """Rows of a scan of SHARD_SCHEMA with their ``file_path``."""
+    return rows.select("id", "_id", "embedding", F.col("_metadata.file_path").alias("file_path"))
+
+
+def rows_decoded(rows: DataFrame) -> DataFrame:
+    """``(file_path, decoded)``: rows that really come out of each file of :func:`located`."""
+    # The hash makes the scan decode every page, as long as it is used.
+    return rows.groupBy("file_path").agg(
+        F.count("*").alias("decoded"), F.max(F.xxhash64("id", "_id", "embedding")).alias("_hash")
+    )
+
+
+def _judged(spark: SparkSession, *paths: str) -> DataFrame:
+    """The inspected files, with an error for each that is unreadable, damaged or no shard."""
+    # Overlapping paths list, and read, a file several times.
+    listing = list_shards(spark, *paths).groupBy("path", "file_path", "dir", "length").agg(F.count("*").alias("copies"))
+    listing = materialise(listing, "listing")
+    inspected = inspect_shards(listing).join(listing.select("file_path", "copies"), "file_path")
+    inspected = materialise(inspected, "inspected")
+    # Scanning only files with the right columns: a wrong type would fail the scan.
+    good = inspected.where("conforms").select("file_path")
+    read = spark.read.schema(SHARD_SCHEMA).option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", "true")
+    decoded = rows_decoded(located(read.parquet(*paths)).join(good, "file_path", "left_semi"))
+    judged = inspected.join(decoded, "file_path", "left")
+    error = (
+        F.when(~F.col("readable"), F.coalesce("error", F.lit("unreadable")))
+        .when(~F.col("conforms"), NOT_A_SHARD)
+        .when(F.coalesce("decoded", F.lit(0)) != F.col("rows") * F.col("copies"), DAMAGED)
+    )
+    # Written with the hash: left out, nothing would be decoded.
+    return materialise(judged.select("path", "file_path", "columns", error.alias("error"), "_hash"), "judged")
+
+
+def rejected_shards(spark: SparkSession, *paths: str) -> DataFrame:
+    """``(path, columns, error)`` of the files that ``read_shards(skip_bad=True)`` leaves out."""
+    return _judged(spark, *paths).where("error IS NOT NULL").select("path", "columns", "error")
 
 
 def _ids_unified(rows: DataFrame) -> DataFrame:
@@ -95,13 +157,40 @@ def files_per_dir(listing: DataFrame) -> DataFrame:
     return listing.groupBy("dir").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
+# Hadoop's names of file systems that Arrow knows under another one.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfss": "abfss", "abfs": "abfs", "s3": "s3"}
+FOOTER_TRIES = 3
+
+
+def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a URI; one that Arrow cannot open is an error, not an unreadable file."""
+    scheme = urlparse(uri).scheme
+    if scheme in ("", "file"):
+        return pafs.LocalFileSystem(), unquote(urlparse(uri).path)
+    if scheme not in _SCHEMES:
+        raise ValueError(f"footers of {scheme}:// files cannot be read")
+    return pafs.FileSystem.from_uri(_SCHEMES[scheme] + uri[len(scheme) :])
+
+
 def _open_footer(uri: str) -> pq.FileMetaData:
-    if uri.startswith("file:"):
-        filesystem, name = pafs.LocalFileSystem(), unquote(urlparse(uri).path)
-    else:
-        filesystem, name = pafs.FileSystem.from_uri(uri)
-    with filesystem.open_input_file(name) as source:
-        return pq.ParquetFile(source).metadata
+    """The footer; a file that is no Parquet raises ``pa.ArrowInvalid``, trouble on the way is tried again and raised."""
+    filesystem, name = _file_system(uri)
+    for tries_left in reversed(range(FOOTER_TRIES)):
+        try:
+            with filesystem.open_input_file(name) as source:
+                return pq.ParquetFile(source).metadata
+        except pa.ArrowInvalid:
+            raise
+        except FileNotFoundError:
+            raise
+        except OSError as problem:
+            # Thrift errors of a broken footer are OSErrors, too.
+            if "Thrift" in str(problem) or "deserialize" in str(problem):
+                raise pa.ArrowInvalid(str(problem)) from problem
+            if not tries_left:
+                raise
+            time.sleep(1)
+    raise AssertionError("unreachable")
 
 
 def _conforms(schema: pa.Schema, ignore_extra: bool) -> bool:
@@ -137,7 +226,7 @@ def inspect_shards(listing: DataFrame, ignore_extra: bool = False) -> DataFrame:
                     schema = footer.schema.to_arrow_schema()
                     columns = ", ".join(f"{field.name}: {field.type}" for field in schema)
                     found.append((True, footer.num_rows, columns, _conforms(schema, ignore_extra), None))
-                except Exception as problem:
+                except (pa.ArrowException, FileNotFoundError) as problem:
                     found.append((False, None, None, False, f"{type(problem).__name__}: {problem}"))
             facts = pd.DataFrame(found, columns=["readable", "rows", "columns", "conforms", "error"])
             facts["rows"] = facts["rows"].astype("Int64")

@@ -1,27 +1,9 @@
-"""Plain tables as input, spread over the cluster when they are small."""
+"""Plain tables as input."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Fixed value: Spark's default size of a scan split.
-SPLIT_BYTES = 128 << 20
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def spread_small(df: DataFrame, path: str) -> DataFrame:
-    """Shuffle rows over all cores if the files at ``path`` give fewer splits than cores.
-
-    Work that is heavy per row (cleaning, embedding) would otherwise run in a few
-    tasks. The files are only listed. Larger inputs have splits enough and are not
-    shuffled.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    listing = spark.read.format("binaryFile").load(path)
-    size = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    return df.repartition(cores) if size < cores * SPLIT_BYTES else df

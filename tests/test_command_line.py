@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from loomvec.__main__ import main
 from loomvec.operators.compaction import read_consolidated
 from loomvec.sources.shards import read_embeddings
@@ -12,15 +14,24 @@ def test_embed_consolidate_verify_report(spark, tmp_path, capsys):
     lines.write_text("\n".join(json.dumps({"_id": i, "text": f"text {i}"}) for i in range(20)) + "\nbad\n")
     out, packed = str(tmp_path / "out"), str(tmp_path / "packed")
     for _ in range(2):
-        main(["embed", "--input", str(lines), "--output", out, "--dims", "8", "--quarantine", str(tmp_path / "bad")])
+        main(["embed", "--input", str(lines), "--output", out, "--dims", "8", "--quarantine", str(tmp_path / "bad"), "--log-requests"])
         assert read_embeddings(spark, out).count() == 20
     assert "embedded 0 records, 0 failed" in capsys.readouterr().out
     assert spark.read.json(str(tmp_path / "bad")).count() == 1
 
     main(["consolidate", "--source-dirs", f"{out}/status=ok", "--output-dir", packed, "--ignore-extra"])
     assert read_consolidated(spark, packed).count() == 20
-    main(["verify", f"{packed}/wave=00000"])
-    assert "embedding: list" in capsys.readouterr().out
+    main(["verify", f"{packed}/wave=00000", "--report", str(tmp_path / "files")])
+    shown = capsys.readouterr().out
+    assert "embedding: list" in shown and "20 rows, 0 unreadable" in shown
+    assert spark.read.json(str(tmp_path / "files")).count() == 1
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "x.parquet").write_text("no")
+    with pytest.raises(SystemExit):
+        main(["verify", str(tmp_path / "broken")])
+    assert "1 unreadable" in capsys.readouterr().out
+    main(["report", "--run-table", out, "--csv", str(tmp_path / "own"), "--p95-target", "100"])
+    assert "'batch': 256" in capsys.readouterr().out
 
     log = str(tmp_path / "log")
     spark.range(100).selectExpr(

@@ -74,7 +74,7 @@ def test_compaction_keeps_the_rows_and_reports_the_rest(spark, folders, tmp_path
     good = [row.path for row in compaction.read_manifest(spark, output).collect()]
     source = shards.read_shards(spark, *map(shards.escape_glob, good))
     assert verify.reconcile(source, table).first().asDict() == {
-        "source_rows": GOOD_ROWS, "output_rows": GOOD_ROWS, "same_ids": True,
+        "source_rows": GOOD_ROWS, "output_rows": GOOD_ROWS, "same_ids": True, "same_rows": True,
     }
     assert verify.count_differences(source, table).count() == 0
 
@@ -150,6 +150,25 @@ def test_lists_of_32_bit_floats_are_shards(spark, tmp_path, vector, good):
     assert read.count() == len(read.collect()) == (2 if good else 0)
 
 
+def test_unknown_file_systems_are_errors():
+    with pytest.raises(ValueError, match="dbfs"):
+        shards._file_system("dbfs:/a/b.parquet")
+
+
+def test_changed_vectors_do_not_reconcile(spark):
+    left = spark.createDataFrame([("a", [1.0])], "id string, embedding array<float>")
+    right = spark.createDataFrame([("a", [2.0])], "id string, embedding array<float>")
+    report = verify.reconcile(left, right).first()
+    assert report.same_ids and not report.same_rows
+
+
+def test_nothing_readable_is_an_error(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.parquet").write_text("not Parquet at all")
+    with pytest.raises(ValueError, match="none of the files"):
+        compaction.compact(spark, [str(tmp_path / "in")], str(tmp_path / "out"))
+
+
 def test_differences_by_id(spark):
     left = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "id string")
     right = spark.createDataFrame([("a",), ("c",), (None,)], "id string")
@@ -180,5 +199,9 @@ def test_a_file_with_damaged_pages_is_left_out_whole(spark, tmp_path, layout):
     assert [(os.path.basename(row.path), row.error) for row in rejected] == [("bad.parquet", "damaged data pages")]
     table = compaction.read_consolidated(spark, output)
     assert table.count() == 20_000 and table.where("id LIKE 'bad%'").count() == 0
+    read = shards.read_shards(spark, str(folder), skip_bad=True)
+    assert len(read.collect()) == read.count() == 20_000
+    rejected = shards.rejected_shards(spark, str(folder)).collect()
+    assert [(os.path.basename(row.path), row.error) for row in rejected] == [("bad.parquet", shards.DAMAGED)]
     write_shard(f"{folder}/bad.parquet", ["bad-mended"])
     assert compaction.compact(spark, [str(folder)], output, layout=layout).rows_written == 1

@@ -12,7 +12,8 @@ from loomvec.operators.embed import dead_letter, embed_records, embedded_ok
 from loomvec.operators.providers import HashingProvider, HttpProvider
 from loomvec.operators.resume import resume_pending
 from loomvec.session import scratch_path
-from loomvec.sources.shards import read_dead_letter, read_embeddings, write_embeddings
+from loomvec.operators.request_log import trial_metrics
+from loomvec.sources.shards import read_dead_letter, read_embeddings, read_request_log, write_embeddings
 
 
 def texts(spark, n=100, partitions=3):
@@ -161,6 +162,45 @@ def test_http_provider_bodies_and_answers():
     assert sent[2] == ("http://y", {"text": ["a"]}, {"Authorization": "Bearer tok"}, 60.0)
 
 
+@pytest.mark.parametrize(
+    "answer", [[[1.0], [[2.0]]], [[[[1.0]]]], [[[1.0], [2.0]]], {"error": "busy"}, None, [1.0]]
+)
+def test_mixed_or_deeper_answers_are_bad(answer):
+    with pytest.raises(ValueError):
+        providers.parse_vectors(answer)
+
+
+def test_one_dimension_is_not_unwrapped():
+    assert providers.parse_vectors([[1.0], [2.0]]) == [[1.0], [2.0]]
+    assert providers.parse_vectors([]) == []
+
+
+def test_dead_letter_keeps_what_still_fails(spark):
+    path = scratch_path(spark, "embedded")
+    some = texts(spark, 20)
+    for tries in (1, 2):
+        write_embeddings(embed_records(some, Down, max_attempts=tries, retry_wait=0), path)
+    failed = read_dead_letter(spark, path).collect()
+    assert len(failed) == 20 and {row.attempts for row in failed} == {2}
+    write_embeddings(embed_records(some.where("id < 15"), HashingProvider), path)
+    assert sorted(int(row.id) for row in read_dead_letter(spark, path).collect()) == [15, 16, 17, 18, 19]
+
+
+def test_every_try_is_logged(spark):
+    path = scratch_path(spark, "logged")
+    urls = ["http://down", "http://up"]
+    write_embeddings(embed_records(texts(spark), Down, urls, batch_size=10, retry_wait=0, log_requests=True), path)
+    log = read_request_log(spark, path, batch=10, conc=1)
+    table = log.toPandas()
+    assert table["request_id"].is_unique and (table["latency_ms"] >= 0).all()
+    good = table[table["error"] == 0]
+    assert good["docs"].sum() == 100 and good["tokens"].sum() == 300
+    assert (table["error"] == 1).any()
+    trial = trial_metrics(log).first()
+    assert (trial.batch, trial.errors) == (10, int((table["error"] == 1).sum()))
+    assert read_embeddings(spark, path).count() == 100
+
+
 def test_cleaning_and_embedding_need_no_shuffle(spark):
     from loomvec.operators.embed import prepare_texts
 

@@ -11,7 +11,7 @@ from loomvec.operators.ordering import with_positions
 from loomvec.operators.resume import resume_pending
 from loomvec.plans.catalog import QUERIES
 from loomvec.session import session_conf
-from loomvec.sources.tables import read_table, spread_small
+from loomvec.sources.tables import read_table
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -37,13 +37,6 @@ def test_embedding_is_map_only(spark):
     assert "Exchange" not in plan_of(embed_records(prepare_texts(records(spark))))
 
 
-def test_small_inputs_are_spread_and_large_ones_are_not(spark, monkeypatch):
-    path = f"{SF_DIR}/documents.parquet"
-    assert "RoundRobinPartitioning" in plan_of(spread_small(records(spark), path))
-    monkeypatch.setattr("loomvec.sources.tables.SPLIT_BYTES", 1000)
-    assert "Exchange" not in plan_of(spread_small(records(spark), path))
-
-
 def test_resume_broadcasts_small_keys_only(spark):
     done = records(spark).select("id")
     assert "BroadcastHashJoin" in plan_of(resume_pending(records(spark), done))
@@ -52,7 +45,7 @@ def test_resume_broadcasts_small_keys_only(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
-@pytest.mark.parametrize("name", ["truncate_embedding", "l2_normalize", "vector_json", "cast_float32", "strip_urls"])
+@pytest.mark.parametrize("name", ["truncate_embedding", "l2_normalize", "vector_json", "cast_float32", "strip_urls", "clean_text", "estimate_tokens", "blank_if_null"])
 def test_projections_shuffle_nothing(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan

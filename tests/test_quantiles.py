@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomvec.operators.ordering import with_running_sum
 from loomvec.operators.quantiles import exact_percentiles
 
 PERCENTILES = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
@@ -49,6 +50,18 @@ def test_only_values_near_the_wanted_ranks_are_shuffled(spark):
     assert found.first().p50 == pytest.approx(wanted)
 
 
+def test_running_sum_of_a_hot_key(spark):
+    frame = spark.range(5000).select((F.col("id") % 50 == 0).alias("k"), "id", (F.col("id") % 7).alias("v"))
+    plan = with_running_sum(frame, ["k"], ["id"], "v", "upto")
+    assert "SinglePartition" not in plan._jdf.queryExecution().executedPlan().toString()
+    found = {(r.k, r.id): r.upto for r in plan.collect()}
+    for k in (True, False):
+        total = 0
+        for i in (i for i in range(5000) if (i % 50 == 0) == k):
+            total += i % 7
+            assert found[k, i] == total
+
+
 def test_without_keys_and_without_rows(spark):
     frame = spark.range(101).select(F.col("id").cast("double").alias("v"))
     assert exact_percentiles(frame, [], "v", {"p50": 0.5}).first().p50 == 50.0

@@ -103,12 +103,33 @@ def test_interval_rates_fill_idle_ticks(spark):
     assert len(found) == 7
     assert [row.docs for row in found[1:6]] == [0] * 5
     hot = int((frame["run"] == "hot").sum())
-    assert found[0].docs_s == hot * 8 / 5
+    runs = frame[frame["run"] == "hot"]
+    start = ((runs["done_at"] - START).dt.total_seconds() - runs["latency_ms"] / 1000).min()
+    assert found[0].docs_s == pytest.approx(hot * 8 / (5 - start), rel=1e-6)
     assert found[-1].total_docs == (hot + 1) * 8
-    assert found[-1].avg_docs_s == pytest.approx((hot + 1) * 8 / 35)
+    assert found[-1].avg_docs_s == pytest.approx((hot + 1) * 8 / (31 - start), rel=1e-6)
     assert request_log.interval_rate(rows.unionByName(late), 5, KEYS, fill=False).where("run = 'hot'").count() == 2
 
 
+def requests(spark, *seconds):
+    rows = [(i, "r", START + dt.timedelta(seconds=s), 0.0, 8, 80, 0) for i, s in enumerate(seconds)]
+    return spark.createDataFrame(
+        rows, "request_id bigint, run string, done_at timestamp, latency_ms double, docs int, tokens bigint, error int"
+    )
+
+
+def test_rates_use_real_time_around_a_tick(spark):
+    ticks = request_log.interval_rate(requests(spark, 4.8, 5.2), 5, KEYS).orderBy("tick_start").collect()
+    assert ticks[1].avg_docs_s == pytest.approx(16 / 0.4)
+    assert ticks[1].docs_s == pytest.approx(8 / 0.2)
+
+
+def test_a_stray_time_stamp_does_not_fill_years(spark):
+    ticks = request_log.interval_rate(requests(spark, -1e9, 0, 12), 5, KEYS, longest_gap=100).orderBy("tick_start").collect()
+    assert [row.docs for row in ticks] == [8, 8, 0, 8]
+    assert [row.idle_after for row in ticks] == [199_999_999, 0, 0, 0]
+
+
 def test_totals_and_summary(spark):
     frame, rows = log(spark)
     totals = request_log.run_totals(rows).first()
