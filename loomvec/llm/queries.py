@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomvec.llm import hash_tree, language_id, mixing, token_rollup, toxicity
+from loomvec.llm import hash_tree, language_id, mixing, oracles, token_rollup, toxicity
 from loomvec.llm.bpe_matrix import encode_documents, token_count
 from loomvec.llm.dimension_scan import search
 from loomvec.llm.fingerprints import fingerprint_edits
 from loomvec.llm.jaccard_join import Similarity, similar_components
-from loomvec.llm.url_rules import judge_urls
+from loomvec.llm.url_rules import RULES, judge_urls
 from loomvec.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +37,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query()
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_components(table(spark, sf_dir, "documents"), Similarity(words=4, percent=85))
+    found = similar_components(table(spark, sf_dir, "documents"), Similarity(words=4, percent=85))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query()
@@ -66,13 +67,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-@query()
+TREE = hash_tree.grid(40)
+
+
+@query(oracles.shards_sql(TREE, hash_tree.grown(TREE)))
 def op1_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tree = hash_tree.grid(40)
-    return hash_tree.assign_shards(table(spark, sf_dir, "documents"), tree, hash_tree.grown(tree))
+    return hash_tree.assign_shards(table(spark, sf_dir, "documents"), TREE, hash_tree.grown(TREE))
 
 
-@query()
+@query(oracles.urls_sql(RULES))
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -98,7 +101,7 @@ MIX = mixing.Mix(
 )
 
 
-@query()
+@query(oracles.mix_sql(MIX))
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mixing.mix_documents(docs, MIX).select("doc_id", "_mix.*")
