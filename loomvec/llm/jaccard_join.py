@@ -31,10 +31,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomvec.llm import wordarrays as wa
+from loomvec.llm.bitmaps import bitmap_of, may_hold
 from loomvec.llm.components import components
 from loomvec.session import materialise
 
@@ -46,6 +48,8 @@ ROUNDS = 2
 # A shingle is frequent if it is in more than this share of the texts, by a summary per task.
 FREQUENT_SHARE = 0.002
 FREQUENT_AT_LEAST = 40
+# Bits of the bitmaps that leave out signatures and texts no other set can match.
+BITS = 26
 _U = np.uint64
 
 
@@ -203,7 +207,7 @@ def _describe(batches: Iterator[pa.RecordBatch], law: Similarity, frequent: np.n
     """Per text: size and hash of its set, and its signatures unless the task has seen the set before."""
     seen: set[int] = set()
     for batch in batches:
-        ids, text = batch.column(0), batch.column(1)
+        ids, text, texts_hash = batch.columns
         for first, end, data, starts in wa.slices(text):
             values, bounds, sizes = wa.sets_of(data, starts, law.words)
             node = fingerprint(values, bounds)
@@ -225,8 +229,8 @@ def _describe(batches: Iterator[pa.RecordBatch], law: Similarity, frequent: np.n
             part = ids.slice(first, end - first)
             lone = pa.array([None if known else t for known, t in zip(part.is_valid().to_pylist(), text.slice(first, end - first).to_pylist() if part.null_count else [None] * (end - first))], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [part, pa.array(sizes.astype(np.int64)), pa.array(node.view(np.int64)), lists, lone],
-                names=["doc_id", "n_shingles", "node", "sigs", "own_text"],
+                [part, texts_hash.slice(first, end - first), pa.array(sizes.astype(np.int64)), pa.array(node.view(np.int64)), lists, lone],
+                names=["doc_id", "text_hash", "n_shingles", "node", "sigs", "own_text"],
             )
 
 
@@ -310,10 +314,30 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     held = nodes.join(wanted, "node", "left_semi")
     first = held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("own_text").alias("own_text"))
     first = materialise(first, "wanted")
-    by_id = docs.select("doc_id", "text").join(first.where("doc_id is not null").select("doc_id", "node"), "doc_id")
+    marks = nodes.sparkSession.sparkContext.broadcast(bitmap_of(first, F.xxhash64("doc_id"), BITS))
+    near = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
+    near = near.mapInArrow(lambda it: _marked(it, marks.value), "doc_id long, text string")
+    by_id = near.join(first.where("doc_id is not null").select("doc_id", "node"), "doc_id")
     return by_id.select("node", "text").union(first.where("doc_id is null").select("node", "own_text"))
 
 
+def _marked(batches: Iterator[pa.RecordBatch], marks: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows whose hash has its bit; without the hash."""
+    for batch in batches:
+        keep = may_hold(marks, batch.column(2).to_numpy(zero_copy_only=False), BITS)
+        yield batch.select([0, 1]).filter(pa.array(keep))
+
+
+def _met(batches: Iterator[pa.RecordBatch], marks: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``(sig, node)`` of the signatures that have their bit."""
+    for batch in batches:
+        sigs = batch.column(1)
+        flat = sigs.flatten().to_numpy(zero_copy_only=False)
+        keep = may_hold(marks, flat, BITS)
+        node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), pc.list_value_length(sigs).fill_null(0).to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), pa.array(node[keep])], names=["sig", "node"])
+
+
 def _own_text(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa.RecordBatch]:
     """Where a doc_id is repeated, keep the text whose set the node stands for."""
     for batch in batches:
@@ -327,22 +351,23 @@ def _own_text(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa
 
 
 def similar_components(docs: DataFrame, law: Similarity = Similarity()) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row per row of ``docs (doc_id, text, ...)``.
+    """``(doc_id, n_shingles, component_id, text_hash, cluster)``, one row per row of ``docs (doc_id, text, ...)``.
 
     ``component_id`` is the smallest doc_id that links reach, itself included. Texts without a
     word (null, empty, only white space) have no shingles and are linked with nothing:
     their component is their own doc_id. Texts with equal sets are linked. Rows with a null
     doc_id keep their null; their component is the smallest known doc_id in reach, or null.
     Repeated rows are returned as often as given; an empty table gives no rows; other
-    columns of any name are ignored. Sets equal under a 64-bit hash count as equal.
+    columns of any name are ignored. Sets equal under a 64-bit hash count as equal. ``cluster`` labels
+    the component whatever its doc_ids are (null without a word), ``text_hash`` the text.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, law))
     rows = materialise(
-        docs.mapInArrow(
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
             lambda it: _describe(it, law, frequent.value),
-            "doc_id long, n_shingles long, node long, sigs array<long>, own_text string",
+            "doc_id long, text_hash long, n_shingles long, node long, sigs array<long>, own_text string",
         ),
         "sets",
     )
@@ -351,7 +376,9 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity()) -> DataF
     groups = dealt.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     groups = materialise(groups.select("sig"), "groups")
     # Members of signature groups with more than one set: small next to all signatures.
-    members = materialise(dealt.join(groups, "sig", "left_semi").distinct(), "members")
+    marks = spark.sparkContext.broadcast(bitmap_of(groups, F.col("sig"), BITS))
+    met = rows.where("node <> 0").select("node", "sigs").mapInArrow(lambda it: _met(it, marks.value), "sig long, node long")
+    members = materialise(met.join(groups, "sig", "left_semi").distinct(), "members")
     involved = members.select("node").distinct()
     texts = materialise(
         _texts(docs, nodes, involved).mapInArrow(lambda it: _own_text(it, law), "node long, text string").dropDuplicates(["node"]),
@@ -360,15 +387,31 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity()) -> DataF
     links = _links(members, texts, law)
     label = components(links) if links is not None else None
     ids = nodes.groupBy("node").agg(F.min("doc_id").alias("lowest"))
-    if label is not None:
-        ids = ids.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        best = ids.groupBy("component").agg(F.min("lowest").alias("component_id"))
-        ids = ids.join(best, "component").select("node", "component_id")
-    else:
-        ids = ids.select("node", F.col("lowest").alias("component_id"))
-    return rows.join(ids, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    ids = ids.withColumn("cluster", F.col("node")) if label is None else ids.join(
+        label.withColumnRenamed("component", "cluster"), "node", "left"
+    ).withColumn("cluster", F.coalesce("cluster", "node"))
+    best = ids.groupBy("cluster").agg(F.min("lowest").alias("component_id"))
+    ids = ids.join(best, "cluster").select("node", "cluster", "component_id")
+    component = F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.join(ids, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", "cluster")
+
+
+def keep_one(docs: DataFrame, law: Similarity = Similarity()) -> DataFrame:
+    """``docs`` with one row of each group of similar texts, all columns as they are.
+
+    The row with the smallest doc_id stays (nulls last; then the smallest text hash; of rows equal in both any one).
+    Texts without a word are no group: all their rows stay.
+    """
+    found = similar_components(docs, law).where("cluster is not null").select("doc_id", "text_hash", "cluster")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    stays = found.groupBy("cluster").agg(F.min(first).alias("first"))
+    stays = materialise(stays.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"), F.lit(True).alias("_stays")), "stays")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    held = docs.select(*columns, F.col("doc_id").cast("long").alias("_own_id"), F.xxhash64(F.col("text").cast("string")).alias("_own_hash"))
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash"))
+    one = held.where(worded).join(stays, same).dropDuplicates(["_own_id", "_own_hash"])
+    return one.select(*columns).union(held.where(~worded).select(*columns))
 
 
 def _links(members: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame | None:
