@@ -75,42 +75,46 @@ def features(data: np.ndarray, starts: np.ndarray, bits: int) -> tuple[np.ndarra
     return wa.distinct((hashes >> np.uint64(64 - bits)).astype(np.int64), rows)
 
 
-def _word_bucket(word: str, bits: int) -> int:
+def _word_buckets(word: str, bits: int) -> np.ndarray:
+    """Buckets of a word and of its beginnings, the whole word first."""
     raw = np.frombuffer(word.encode(), dtype=np.uint8)
-    return int(wa.words(raw, np.array([0, len(raw)]), wa.NOT_ALNUM)[0][0] >> np.uint64(64 - bits))
+    return (wa.words(raw, np.array([0, len(raw)]), wa.NOT_ALNUM, HEADS)[0] >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def swaps(bits: int, terms=IDENTITY_TERMS) -> dict[int, list[int]]:
-    """Bucket of each identity term, and the buckets it may be swapped for."""
-    out: dict[int, list[int]] = {}
+def swaps(bits: int, terms=IDENTITY_TERMS) -> dict[int, tuple[np.ndarray, list[np.ndarray]]]:
+    """By each identity term's bucket: all buckets of the term, and those of the terms it may be swapped for."""
+    out: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
     for line in terms:
-        own = [_word_bucket(w, bits) for w in line]
-        for bucket in own:
-            out.setdefault(bucket, []).extend(b for b in own if b != bucket)
-    return {bucket: others for bucket, others in out.items() if others}
+        own = [_word_buckets(w, bits) for w in line]
+        for i, buckets in enumerate(own):
+            out[int(buckets[0])] = (buckets, [b for j, b in enumerate(own) if j != i])
+    return out
 
 
 def train(texts: list[str], toxic: list[int], prior: float | None = None, settings: Settings = Settings(), terms=IDENTITY_TERMS) -> Model:
     """Fit on labelled texts. ``prior`` is the share of toxic rows where texts are scored, if not that of ``toxic``."""
     rng = np.random.default_rng(settings.seed)
     y = np.array(toxic, dtype=np.float64)
-    bags: list[np.ndarray] = []
-    for first, end, data, starts in wa.slices(pa.array(texts, pa.string())):
-        buckets, rows = features(data, starts, settings.bits)
-        bags += np.split(buckets, np.cumsum(np.bincount(rows, minlength=end - first))[:-1])
     size = 1 << settings.bits
+    column = pa.array(texts, pa.string())
     # Only features whose texts differ clearly from the sample in their share of toxic ones take part.
-    flat = np.concatenate([*bags, np.zeros(0, np.int64)]).astype(np.int64)
-    label = np.repeat(y, [len(b) for b in bags])
-    seen, bad = np.bincount(flat, minlength=size), np.bincount(flat, label, size)
+    seen, bad = np.zeros(size), np.zeros(size)
+    for first, end, data, starts in wa.slices(column):
+        buckets, rows = features(data, starts, settings.bits)
+        seen += np.bincount(buckets, minlength=size)
+        bad += np.bincount(buckets, y[first:end][rows], size)
     share = min(max(float(y.mean()) if len(y) else 0.5, 1e-3), 1 - 1e-3)
     effect = np.abs(bad - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
     swap = swaps(settings.bits, terms)
     known = (seen >= settings.least_texts) & (effect >= settings.least_effect)
-    known[list(swap)] = True
+    known[np.concatenate([buckets for buckets, _ in swap.values()])] = True
     terms_at = np.zeros(size, dtype=bool)
     terms_at[list(swap)] = True
-    bags = [b[known[b]] for b in bags]
+    bags: list[np.ndarray] = []
+    for first, end, data, starts in wa.slices(column):
+        buckets, rows = features(data, starts, settings.bits)
+        buckets, rows = buckets[known[buckets]], rows[known[buckets]]
+        bags += np.split(buckets, np.cumsum(np.bincount(rows, minlength=end - first))[:-1])
     weights, square = np.zeros(size), np.full(size, 1e-6)
     bias, bias_square = float(np.log(share / (1 - share))), 1e-6
     for _ in range(settings.epochs if 0 < y.sum() < len(y) else 0):
@@ -122,8 +126,12 @@ def train(texts: list[str], toxic: list[int], prior: float | None = None, settin
             for k, bag in enumerate(plain):
                 named = bag[terms_at[bag]]
                 if len(named):
-                    new = [swap[b][rng.integers(len(swap[b]))] for b in named.tolist()]
-                    twins.append(np.unique(np.concatenate((bag[~terms_at[bag]], np.array(new)))))
+                    old, new = [], []
+                    for own, others in (swap[b] for b in named.tolist()):
+                        old.append(own)
+                        new.append(others[rng.integers(len(others))])
+                    rest = np.setdiff1d(bag, np.concatenate(old))
+                    twins.append(np.unique(np.concatenate((rest, *new))))
                     twin_of.append(k)
             held = plain + twins
             ends = np.cumsum([len(b) for b in held])
