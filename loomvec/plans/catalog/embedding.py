@@ -19,6 +19,7 @@ from loomvec.operators.resume import processed_total, resume_pending
 from loomvec.plans.catalog.registry import (
     CLEAN_DOCUMENTS_SQL,
     documents,
+    estimate_tokens_sql,
     hashed_sql,
     query,
     rendered,
@@ -197,11 +198,8 @@ def endpoint_rotation(spark, sf_dir):
     return batches.groupBy("tries").agg(F.count("*").alias("batches"), F.bool_and("moves_on").alias("moves_on"))
 
 
-_WORDS_SQL = "least(2048, len(string_split(text, ' ')))"
-
-
 @query(f"""
-    SELECT count(*) AS docs, CAST(sum({_WORDS_SQL}) AS BIGINT) AS tokens, CAST(0 AS BIGINT) AS errors, true AS timed
+    SELECT count(*) AS docs, CAST(sum({estimate_tokens_sql("text")}) AS BIGINT) AS tokens, CAST(0 AS BIGINT) AS errors, true AS timed
     FROM ({CLEAN_DOCUMENTS_SQL})""")
 def embed_request_log(spark, sf_dir):
     """Totals of the requests a run logged; they cover the corpus."""
