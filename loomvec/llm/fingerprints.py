@@ -65,9 +65,8 @@ def neighbours(ids: DataFrame, key: str) -> DataFrame:
     """``(key, next_key)`` of distinct keys in ascending order; the last one's next is the first."""
     placed = with_positions(ids.select(key).distinct(), [], [key], "at", stage=True)
     placed = materialise(placed, "order")
-    total = placed.agg(F.max("at").alias("n"))
     following = placed.select(F.col(key).alias("next_key"), (F.col("at") - 1).alias("at"))
-    n = total.first()["n"] or 0
+    n = placed.agg(F.max("at")).first()[0] or 0
     return placed.withColumn("at", F.pmod("at", F.lit(max(n, 1)))).join(following, "at").select(key, "next_key")
 
 
@@ -82,42 +81,40 @@ def fingerprint_edits(docs: DataFrame, words: int = WORDS, fraction: float = FRA
     columns of any name are ignored.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.select(key.alias("k"), "doc_id", "text")
-    sketches = materialise(
-        rows.select("k", F.char_length("text").cast("long").alias("n"), F.xxhash64("text").alias("h"), shingle_hashes(F.col("text"), words, fraction).alias("sketch")),
-        "sketches",
-    )
-    one = materialise(
-        sketches.groupBy("k").agg(F.max("n").alias("n"), F.min("h").alias("h")), "ids"
-    )
-    chain = materialise(neighbours(one, "k"), "chain")
-    # What each document sends to the one before it: as much of its text as any of that one's rows can take.
-    wanted = chain.join(one.select("k", "n"), "k").select(
+    # Only key and text, so that both joins below use one and the same shuffle of the texts.
+    rows = docs.select(key.alias("k"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ids = rows.select("k", F.char_length("text").cast("long").alias("n"), F.xxhash64("text").alias("h"))
+    ids = materialise(ids.groupBy("k").agg(F.max("n").alias("n"), F.min("h").alias("h")), "ids")
+    chain = neighbours(ids, "k")
+    # What each document sends to the one before it: its fingerprint, and as much of its text as any of
+    # that one's rows can take.
+    wanted = chain.join(ids.select("k", "n"), "k").select(
         F.col("next_key").alias("k"), F.col("k").alias("to"), F.floor(F.col("n") / 4).cast("int").alias("need")
-    ).join(one.select("k", "h"), "k")
-    sent = rows.join(wanted, "k").where(F.xxhash64("text") == F.col("h"))
-    sent = sent.select(F.col("to").alias("k"), F.substring("text", F.lit(1), F.col("need")).alias("head")).groupBy("k").agg(F.min("head").alias("head"))
-    own = sketches.join(one.select("k", F.col("h").alias("first_h")), "k").where("h = first_h")
-    own = own.groupBy("k").agg(F.min("h").alias("h"), F.first("sketch").alias("sketch"))
-    own = materialise(own, "own")
-    coming = chain.join(own.select(F.col("k").alias("next_key"), F.col("sketch").alias("next_sketch")), "next_key").select("k", "next_sketch")
-    full = rows.join(sent, "k").join(own, "k").join(coming, "k")
+    ).join(ids.select("k", "h"), "k")
+    wanted = materialise(wanted, "wanted")
+    # Written so that it is no join key, which would need a shuffle of its own.
+    is_chosen = F.xxhash64("text").bitwiseXOR(F.col("h")) == 0
+    sent = rows.join(wanted, "k").where(is_chosen).select(
+        F.col("to").alias("k"),
+        F.substring("text", F.lit(1), F.col("need")).alias("head"),
+        shingle_hashes(F.col("text"), words, fraction).alias("next"),
+    )
+    sent = sent.groupBy("k").agg(F.first("head").alias("head"), F.first("next").alias("next"))
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("head", F.lit(1), cut))
-    mine = F.when(F.xxhash64("text") == F.col("h"), F.col("sketch")).otherwise(shingle_hashes(F.col("text"), words, fraction))
-    made = full.select(
-        "doc_id", n.cast("long").alias("n_chars"), mine.alias("own"), "next_sketch",
-        F.explode(F.array(edited)).alias("edited"),
+    made = rows.join(sent, "k").select("k", "text", "next", F.explode(F.array(edited)).alias("edited"))
+    prints = F.struct(
+        shingle_hashes(F.col("text"), words, fraction).alias("own"),
+        shingle_hashes(F.col("edited"), words, fraction).alias("edited"),
     )
     made = made.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "next_sketch",
-        F.explode(F.array(F.struct("own", shingle_hashes(F.col("edited"), words, fraction).alias("edited")))).alias("p"),
+        F.nullif("k", F.lit(_FIRST)).alias("doc_id"), n.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"), "next", F.explode(F.array(prints)).alias("p"),
     )
     return made.select(
         "doc_id", "n_chars", "edited_sha256",
         printed(F.col("p.own")).alias("fingerprint"), printed(F.col("p.edited")).alias("edited_fingerprint"),
         likeness(F.col("p.own"), F.col("p.edited")).alias("near_edited"),
-        likeness(F.col("p.own"), F.col("next_sketch")).alias("near_next"),
+        likeness(F.col("p.own"), F.col("next")).alias("near_next"),
     )
