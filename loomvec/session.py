@@ -109,9 +109,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     The copy outlives lost executors, fixes every non-deterministic choice made
     upstream, and gives the planner exact sizes: later joins broadcast it only
-    when the files are below ``spark.sql.autoBroadcastJoinThreshold``.
+    when the files are below ``spark.sql.autoBroadcastJoinThreshold``. Shuffle files of the
+    write go when it ends; long operators would otherwise keep those of all their steps.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with session_conf(spark, **{"classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
