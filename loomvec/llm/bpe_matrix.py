@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomvec.llm.wordarrays import short_batches
+
 _NONE = np.int32(2**31 - 1)
 _PAD = np.int32(-1)
 # Cells of one matrix, and pieces remembered per task: bounds on memory only.
@@ -227,6 +229,7 @@ def encode_documents(
     rows are independent, so ties cannot occur; other columns of any name are ignored. Special
     tokens in a text are ordinary text. The rank file has to be at ``path`` on every worker.
     """
+    short_batches(docs.sparkSession)
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     schema = "doc_id long, ids binary" + (", decoded binary" if decode else "")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -41,15 +41,14 @@ from loomvec.llm.components import components
 from loomvec.session import materialise
 
 SEEDS = 4
-# Texts compared in one task of the block step.
-BLOCK = 256
+# Texts, and their bytes, on either side of one group of the block step.
+BLOCK = 2048
+BLOCK_BYTES = 8 << 20
 # Leader rounds before the block step.
 ROUNDS = 2
 # A shingle is frequent if it is in more than this share of the texts, by a summary per task.
 FREQUENT_SHARE = 0.002
 FREQUENT_AT_LEAST = 40
-# Bits of the bitmaps that leave out signatures and texts no other set can match.
-BITS = 26
 _U = np.uint64
 
 
@@ -314,7 +313,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     held = nodes.join(wanted, "node", "left_semi")
     first = held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("own_text").alias("own_text"))
     first = materialise(first, "wanted")
-    marks = nodes.sparkSession.sparkContext.broadcast(bitmap_of(first, F.xxhash64("doc_id"), BITS))
+    marks = nodes.sparkSession.sparkContext.broadcast(bitmap_of(first, F.xxhash64("doc_id")))
     near = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
     near = near.mapInArrow(lambda it: _marked(it, marks.value), "doc_id long, text string")
     by_id = near.join(first.where("doc_id is not null").select("doc_id", "node"), "doc_id")
@@ -324,7 +323,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
 def _marked(batches: Iterator[pa.RecordBatch], marks: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows whose hash has its bit; without the hash."""
     for batch in batches:
-        keep = may_hold(marks, batch.column(2).to_numpy(zero_copy_only=False), BITS)
+        keep = may_hold(marks, batch.column(2).to_numpy(zero_copy_only=False))
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 
@@ -333,7 +332,7 @@ def _met(batches: Iterator[pa.RecordBatch], marks: np.ndarray) -> Iterator[pa.Re
     for batch in batches:
         sigs = batch.column(1)
         flat = sigs.flatten().to_numpy(zero_copy_only=False)
-        keep = may_hold(marks, flat, BITS)
+        keep = may_hold(marks, flat)
         node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), pc.list_value_length(sigs).fill_null(0).to_numpy(zero_copy_only=False))
         yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), pa.array(node[keep])], names=["sig", "node"])
 
@@ -362,6 +361,7 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity()) -> DataF
     the component whatever its doc_ids are (null without a word), ``text_hash`` the text.
     """
     spark = docs.sparkSession
+    wa.short_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, law))
     rows = materialise(
@@ -376,7 +376,7 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity()) -> DataF
     groups = dealt.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     groups = materialise(groups.select("sig"), "groups")
     # Members of signature groups with more than one set: small next to all signatures.
-    marks = spark.sparkContext.broadcast(bitmap_of(groups, F.col("sig"), BITS))
+    marks = spark.sparkContext.broadcast(bitmap_of(groups, F.col("sig")))
     met = rows.where("node <> 0").select("node", "sigs").mapInArrow(lambda it: _met(it, marks.value), "sig long, node long")
     members = materialise(met.join(groups, "sig", "left_semi").distinct(), "members")
     involved = members.select("node").distinct()
@@ -457,15 +457,16 @@ def _block_links(left: DataFrame, texts: DataFrame, law: Similarity) -> DataFram
         left.select("node", "label").distinct().join(cluster, "node").select("node", "label", F.col("component").alias("cluster")),
         "clusters",
     )
-    sizes = held.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("cluster").agg(
-        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all")
-    ).select("cluster", F.col("top.label").alias("top"), "all", (F.col("all") - F.col("top.n")).alias("outside"))
+    # Blocks a part of the cluster needs: by its texts or by their bytes, whichever is more.
+    weighed = held.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
+    weight = F.greatest(F.lit(1 / BLOCK), F.col("bytes") / BLOCK_BYTES)
+    sizes = weighed.groupBy("cluster", "label").agg(F.sum(weight).alias("n"))
+    sizes = sizes.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
     sizes = materialise(
         sizes.select(
-            "cluster", "top",
-            F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
-            F.ceil(F.col("outside") / BLOCK).cast("int").alias("few"),
+            "cluster", F.col("top.label").alias("top"),
+            F.ceil("all").cast("int").alias("blocks"),
+            F.greatest(F.ceil(F.col("all") - F.col("top.n")), F.lit(1)).cast("int").alias("few"),
         ),
         "sizes",
     )

@@ -209,6 +209,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str] | None = None
     model's limit are rejected. Null and repeated doc_ids pass through; columns of ``docs``
     with the names of new ones are replaced.
     """
+    wa.short_batches(docs.sparkSession)
     new = {"lang_pred", "score", "rejected"}
     keep = [c for c in (keep or docs.columns) if c not in new]
     text = F.col("text").cast("string")

@@ -205,6 +205,7 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str] | None = None
     its text alone, so equal texts have equal scores. Null and repeated doc_ids pass through;
     columns of ``docs`` with the names of new ones are replaced.
     """
+    wa.short_batches(docs.sparkSession)
     keep = [c for c in (keep or docs.columns) if c not in ("score", "predicted")]
     own = docs.select(*[F.col(f"`{c}`") for c in keep])
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_text"))

@@ -13,11 +13,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # Texts are handled in slices of about this many bytes, which bounds memory per task;
 # one longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
+# Rows of one Arrow batch: with the usual 10,000, batches of long texts fill an executor's memory.
+BATCH_ROWS = 1000
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
@@ -53,6 +57,13 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Let the session hand texts to Python in batches of few rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, starts)`` of bounded parts; ``starts`` has one entry more than rows."""
     if isinstance(column, pa.ChunkedArray):
