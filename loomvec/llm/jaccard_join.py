@@ -44,7 +44,9 @@ SEEDS = 4
 # Texts, and their bytes, on either side of one group of the block step.
 BLOCK = 2048
 BLOCK_BYTES = 8 << 20
-# Leader rounds before the block step.
+# Largest open group whose members are compared pair by pair; larger ones go to the block step.
+PAIRWISE = 16
+# Leader rounds before these two.
 ROUNDS = 2
 # A shingle is frequent if it is in more than this share of the texts, by a summary per task.
 FREQUENT_SHARE = 0.002
@@ -435,6 +437,16 @@ def _links(members: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame |
             return links
         if found.isEmpty():
             break
+    # Small groups: their pairs, at most PAIRWISE / 2 for each member.
+    counts = left.groupBy("sig").agg(F.count("*").alias("n"))
+    few = left.join(counts.where(F.col("n") <= PAIRWISE).select("sig"), "sig", "left_semi")
+    other = few.select("sig", F.col("node").alias("b"), F.col("label").alias("label_b"))
+    pairs = few.withColumnRenamed("node", "a").join(other, "sig").where("a < b and label <> label_b")
+    found = materialise(_checked(pairs.select("a", "b").distinct(), texts, law), "links")
+    links = links.union(found)
+    left = materialise(left.join(counts.where(F.col("n") > PAIRWISE).select("sig"), "sig", "left_semi"), "open")
+    if left.isEmpty():
+        return links
     return links.union(materialise(_block_links(left, texts, law), "links"))
 
 
