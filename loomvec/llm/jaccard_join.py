@@ -21,6 +21,10 @@ Candidates are never listed pair by pair. Every signature group first compares i
 with one leader (rounds of verified links, linear in the group). Only groups that still hold
 several components are compared on, in bounded blocks of members, and blocks return
 links that join components.
+
+Links are counted afterwards: every link lies inside one component, so all pairs of a component's
+different sets are compared once, in bounded blocks, and blocks return a count per set. A set is
+sent as its difference from one set of its component, which says as much and is short for near copies.
 """
 
 from __future__ import annotations
@@ -44,6 +48,9 @@ SEEDS = 4
 # Texts, and their bytes, on either side of one group of the block step.
 BLOCK = 2048
 BLOCK_BYTES = 8 << 20
+# Sets on either side of one group of the counting step, and the bytes of their differences.
+COUNTED = 1024
+COUNTED_BYTES = 4 << 20
 # Largest open group whose members are compared pair by pair; larger ones go to the block step.
 PAIRWISE = 16
 # Leader rounds before these two.
@@ -310,6 +317,98 @@ def _compare_blocks(left, right, law: Similarity):
     return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
 
+def _differences(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa.RecordBatch]:
+    """Sizes of sets and their symmetric differences from their component's leading set."""
+    leads: dict[int, np.ndarray] = {}
+    for batch in batches:
+        cluster, node, copies, text, lead_text = batch.columns
+        sizes, parts = [], []
+        for i, own in enumerate(_sets(text, law)):
+            key = cluster[i].as_py()
+            if key not in leads:
+                if len(leads) >= 256:
+                    leads.clear()
+                leads[key] = _sets([lead_text[i].as_py()], law)[0]
+            sizes.append(len(own))
+            parts.append(np.setxor1d(own, leads[key], assume_unique=True))
+        ends = np.cumsum([0] + [len(x) for x in parts]).astype(np.int32)
+        flat = np.concatenate(parts) if parts else np.zeros(0, _U)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+        yield pa.RecordBatch.from_arrays(
+            [cluster, node, copies, pa.array(sizes, pa.int64()), lists], names=["cluster", "node", "copies", "size", "other"]
+        )
+
+
+def _count_between(left, right, same: bool, law: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """Copies that each left set, and each right set, is linked with on the other side; ``same`` if the sides are one."""
+    parts = [np.asarray(x, dtype=np.int64).view(_U) for x in left["other"]]
+    lengths = np.array([len(x) for x in parts])
+    merged = np.concatenate(parts)
+    order = np.argsort(merged, kind="stable")
+    merged, owner = merged[order], np.repeat(np.arange(len(parts)), lengths)[order]
+    sizes, copies = left["size"].to_numpy(), left["copies"].to_numpy()
+    of_left, of_right = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+    for r, (other, size, n) in enumerate(zip(right["other"], right["size"].tolist(), right["copies"].tolist())):
+        own = np.asarray(other, dtype=np.int64).view(_U)
+        low, high = np.searchsorted(merged, own, "left"), np.searchsorted(merged, own, "right")
+        many = high - low
+        ends = np.cumsum(many)
+        hits = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - many - low, many)
+        # Sets differ where their differences from the leading set do.
+        differ = lengths + len(own) - 2 * np.bincount(owner[hits], minlength=len(parts))
+        linked = law.linked((sizes + size - differ) // 2, sizes, size)
+        if same:
+            linked[r] = False
+        of_right[r] = copies[linked].sum()
+        of_left[linked] += n
+    return of_left, of_right
+
+
+def _count_block(rows, law: Similarity):
+    """``(node, links)`` of one group of the counting step, which may hold several small components."""
+    import pandas as pd
+
+    out = []
+    for _, held in rows.groupby("cluster", sort=False):
+        same = held["i"].iat[0] == held["j"].iat[0]
+        left = held if same else held[held["place"] == held["i"]]
+        right = held if same else held[held["place"] == held["j"]]
+        if not len(left) or not len(right):
+            continue
+        of_left, of_right = _count_between(left, right, same, law)
+        out.append(pd.DataFrame({"node": right["node"], "links": of_right}))
+        if not same:
+            out.append(pd.DataFrame({"node": left["node"], "links": of_left}))
+    found = pd.concat(out) if out else pd.DataFrame({"node": np.zeros(0, np.int64), "links": np.zeros(0, np.int64)})
+    return found[found["links"] > 0]
+
+
+def _count_links(label: DataFrame, copies: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame:
+    """``(node, links)``: copies of all other sets each set of ``label (node, component)`` is linked with."""
+    label = materialise(label, "label")
+    leads = label.select(F.col("component").alias("node")).distinct().join(texts, "node")
+    leads = materialise(leads.select(F.col("node").alias("cluster"), F.col("text").alias("lead_text")), "leads")
+    held = label.withColumnRenamed("component", "cluster").join(copies, "node").join(texts, "node").join(leads, "cluster")
+    held = held.select("cluster", "node", "copies", "text", "lead_text").mapInArrow(
+        lambda it: _differences(it, law), "cluster long, node long, copies long, size long, other array<long>"
+    )
+    held = materialise(held, "differences")
+    weight = F.greatest(F.lit(1 / COUNTED), 8 * F.size("other") / COUNTED_BYTES)
+    total = held.agg(F.sum(weight)).first()[0] or 0
+    sizes = held.groupBy("cluster").agg(F.ceil(F.sum(weight)).cast("int").alias("blocks")).where("blocks > 1")
+    held = held.join(materialise(sizes, "sizes"), "cluster", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    # Components of one block share groups; those of more have a group for each pair of blocks.
+    shared = F.pmod(F.xxhash64("cluster"), F.lit(max(1, round(4 * total))))
+    held = held.withColumn("pool", F.when(F.col("blocks") == 1, shared).otherwise(F.col("cluster")))
+    held = held.withColumn("place", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    held = held.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = held.withColumn("i", F.least("place", "met")).withColumn("j", F.greatest("place", "met"))
+    found = held.select("pool", "i", "j", "place", "cluster", "node", "copies", "size", "other").groupBy("pool", "i", "j").applyInPandas(
+        lambda rows: _count_block(rows, law), "node long, links long"
+    )
+    return found.groupBy("node").agg(F.sum("links").alias("links"))
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(node, text)`` of the wanted nodes, each from one of its documents."""
     held = nodes.join(wanted, "node", "left_semi")
@@ -351,7 +450,7 @@ def _own_text(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa
             yield batch.filter(pa.array(mask))
 
 
-def similar_components(docs: DataFrame, law: Similarity = Similarity()) -> DataFrame:
+def similar_components(docs: DataFrame, law: Similarity = Similarity(), count_links: bool = False) -> DataFrame:
     """``(doc_id, n_shingles, component_id, text_hash, cluster)``, one row per row of ``docs (doc_id, text, ...)``.
 
     ``component_id`` is the smallest doc_id that links reach, itself included. Texts without a
@@ -361,6 +460,9 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity()) -> DataF
     Repeated rows are returned as often as given; an empty table gives no rows; other
     columns of any name are ignored. Sets equal under a 64-bit hash count as equal. ``cluster`` labels
     the component whatever its doc_ids are (null without a word), ``text_hash`` the text.
+
+    ``count_links`` adds ``n_links``: how many other rows the row's text is linked with, rows with an equal
+    set among them, directly and not through further texts; 0 without a word.
     """
     spark = docs.sparkSession
     wa.short_batches(spark)
@@ -388,14 +490,25 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity()) -> DataF
     )
     links = _links(members, texts, law)
     label = components(links) if links is not None else None
-    ids = nodes.groupBy("node").agg(F.min("doc_id").alias("lowest"))
+    ids = nodes.groupBy("node").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("copies"))
+    counted = None
+    if count_links and label is not None:
+        counted = materialise(_count_links(label, ids.select("node", "copies"), texts, law), "counted")
     ids = ids.withColumn("cluster", F.col("node")) if label is None else ids.join(
         label.withColumnRenamed("component", "cluster"), "node", "left"
     ).withColumn("cluster", F.coalesce("cluster", "node"))
     best = ids.groupBy("cluster").agg(F.min("lowest").alias("component_id"))
-    ids = ids.join(best, "cluster").select("node", "cluster", "component_id")
+    ids = ids.join(best, "cluster").select("node", "cluster", "component_id", "copies")
+    columns = ["doc_id", "n_shingles", "component_id", "text_hash", "cluster"]
+    if count_links:
+        others = F.lit(0) if counted is None else F.coalesce("links", F.lit(0))
+        ids = (ids if counted is None else ids.join(counted, "node", "left")).withColumn("linked", others + F.col("copies") - 1)
+        columns.append("n_links")
     component = F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.join(ids, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", "cluster")
+    found = rows.join(ids, "node", "left").withColumn("component_id", component)
+    if count_links:
+        found = found.withColumn("n_links", F.coalesce("linked", F.lit(0)).cast("long"))
+    return found.select(*columns)
 
 
 def keep_one(docs: DataFrame, law: Similarity = Similarity()) -> DataFrame:

@@ -37,8 +37,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query()
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = similar_components(table(spark, sf_dir, "documents"), Similarity(words=4, percent=85))
-    return found.select("doc_id", "n_shingles", "component_id")
+    found = similar_components(table(spark, sf_dir, "documents"), Similarity(words=4, percent=85), count_links=True)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query()

@@ -107,3 +107,35 @@ def test_components_of_chains_stars_and_loops(spark):
     assert all(got[i] == 100 for i in range(100, 161))
     assert all(got[i] == 3 for i in [3, 7, *range(1000, 1400)]) and 5 not in got
     assert components(edges.where("a < 0")).count() == 0
+
+
+def link_counts(docs, k, percent):
+    """``(doc_id, text, other rows linked)`` by comparing all pairs of sets."""
+    sets = [texts.shingles(t, k) for _, t in docs]
+    linked = lambda a, b: bool(a and b) and 100 * len(a & b) >= percent * len(a | b)
+    return Counter((i, len(a), sum(linked(a, b) for m, b in enumerate(sets) if m != n)) for n, ((i, _), a) in enumerate(zip(docs, sets)))
+
+
+@pytest.mark.parametrize("block", [40, jj.COUNTED])
+def test_links_are_counted_as_by_brute_force(spark, monkeypatch, block):
+    """Groups of many different near copies, some pairs linked and some not, with exact copies, in one block and in several."""
+    monkeypatch.setattr(jj, "COUNTED", block)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(90)]
+    docs = [" ".join(edited(rng, base, rng.randrange(1, 7))) for _ in range(150)]
+    docs += rng.choices(docs, k=60)
+    for g in range(20):
+        start = [f"g{g}x{i}" for i in range(50)]
+        docs += [" ".join(edited(rng, start, rng.randrange(3))) for _ in range(rng.randrange(1, 6))]
+    docs = [*((i, t) for i, t in enumerate(docs, 1000)), *((r[0], r[1]) for r in texts.rows())]
+    rng.shuffle(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    rows = jj.similar_components(frame, LAW, count_links=True).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in rows) == link_counts(docs, 4, 85)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == Counter(texts.components(docs, 4, 85))
+
+
+def test_links_without_any_similar_text(spark):
+    docs = spark.createDataFrame([(1, "one text"), (2, "another"), (3, "one text"), (4, None)], "doc_id long, text string")
+    assert {r.doc_id: r.n_links for r in jj.similar_components(docs, LAW, count_links=True).collect()} == {1: 1, 2: 0, 3: 1, 4: 0}
+    assert jj.similar_components(texts.empty(spark), LAW, count_links=True).count() == 0
