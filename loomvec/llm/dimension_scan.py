@@ -3,7 +3,7 @@
 Vectors get one more component that gives all the same length, which turns the largest inner
 product into the smallest distance; then all are turned by one random rotation. A k-means model
 of a bounded sample deals every vector to a list; a query probes the lists whose centres are
-nearest. Within a list, column blocks of the rotated vectors are added to partial
+nearest, and more of them until they hold enough candidates for its rows. Within a list, column blocks of the rotated vectors are added to partial
 distances; after each block a hypothesis test drops candidates whose distance is, by what
 is seen so far, too large for the query's best ``k``. Survivors are scored on the original
 vectors in double precision.
@@ -56,6 +56,12 @@ class Model:
         n = min(n, far.shape[1])
         return np.argpartition(far, n - 1, axis=1)[:, :n] if n < far.shape[1] else np.tile(np.arange(n), (len(turned), 1))
 
+    def probed(self, turned: np.ndarray, sizes: np.ndarray, least: int) -> list[np.ndarray]:
+        """Per query its nearest lists: ``probes`` of them, and on until they hold ``least`` rows by ``sizes``."""
+        order = ((self.centres**2).sum(axis=1) - 2 * turned @ self.centres.T).argsort(axis=1, kind="stable")
+        filled = (np.cumsum(sizes[order], axis=1) < least).sum(axis=1) + 1
+        return [lists[: max(self.probes, n)] for lists, n in zip(order, filled.tolist())]
+
 
 def fit(vectors: np.ndarray, total: int, length: float, settings: Settings) -> Model:
     """Rotation, centres and number of probes from a sample of ``vectors`` standing for ``total`` rows."""
@@ -104,19 +110,22 @@ def _clean(vectors: DataFrame) -> DataFrame:
     return rows.withColumn("size", F.size("v")).withColumn("length", F.sqrt(length))
 
 
-def _assign(parts: Iterator[pd.DataFrame], model: Model, every: int) -> Iterator[pd.DataFrame]:
+def _assign(parts: Iterator[pd.DataFrame], model: Model) -> Iterator[pd.DataFrame]:
     for rows in parts:
         for at in range(0, len(rows), 8192):
             part = rows.iloc[at : at + 8192]
             v = np.stack(part["v"].to_numpy()).astype(np.float64)
             own = model.nearest(model.turn(v, query=False), 1)[:, 0]
-            asks = (part["vec_id"].to_numpy() % every) == 0
-            probed = np.full(len(part), None, dtype=object)
-            if asks.any():
-                found = model.nearest(model.turn(v[asks], query=True), model.probes)
-                for i, lists in zip(np.flatnonzero(asks), found):
-                    probed[i] = lists.astype(np.int32)
-            yield pd.DataFrame({"vec_id": part["vec_id"], "v": part["v"], "list": own.astype(np.int32), "probed": probed})
+            yield pd.DataFrame({"vec_id": part["vec_id"], "v": part["v"], "list": own.astype(np.int32)})
+
+
+def _probe(parts: Iterator[pd.DataFrame], model: Model, sizes: np.ndarray, least: int) -> Iterator[pd.DataFrame]:
+    for rows in parts:
+        for at in range(0, len(rows), 2048):
+            part = rows.iloc[at : at + 2048]
+            v = np.stack(part["v"].to_numpy()).astype(np.float64)
+            found = model.probed(model.turn(v, query=True), sizes, least)
+            yield pd.DataFrame({"vec_id": part["vec_id"], "v": part["v"], "probed": [x.astype(np.int32) for x in found]})
 
 
 def _scan(rows: pd.DataFrame, model: Model, settings: Settings) -> pd.DataFrame:
@@ -177,10 +186,16 @@ def search(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
         sample = clean.limit(settings.sample).toPandas()
     model = fit(np.stack(sample["v"].to_numpy()).astype(np.float64), total, length, settings)
     placed = materialise(
-        clean.mapInPandas(lambda parts: _assign(parts, model, settings.every), "vec_id long, v array<float>, list int, probed array<int>"),
-        "lists",
+        clean.mapInPandas(lambda parts: _assign(parts, model), "vec_id long, v array<float>, list int"), "lists"
+    )
+    held = np.zeros(len(model.centres), dtype=np.int64)
+    for row in placed.groupBy("list").count().collect():
+        held[row["list"]] = row["count"]
+    # One row more than asked for, since a query is in a list itself.
+    asks = placed.where(F.col("vec_id") % settings.every == 0).select("vec_id", "v").mapInPandas(
+        lambda parts: _probe(parts, model, held, settings.k + 1), "vec_id long, v array<float>, probed array<int>"
     )
-    asks = placed.where("probed is not null").select("vec_id", "v", F.explode("probed").alias("list"))
+    asks = materialise(asks, "asks").select("vec_id", "v", F.explode("probed").alias("list"))
     # Long lists are cut into blocks and their queries into chunks, so that a group is bounded.
     blocks = placed.groupBy("list").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
     chunks = asks.groupBy("list").agg(F.ceil(F.count("*") / settings.chunk).cast("int").alias("chunks"))

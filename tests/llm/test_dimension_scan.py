@@ -68,3 +68,27 @@ def test_awkward_vectors(spark):
     assert ds.search(frame.where("vec_id < 0")).count() == 0
     one = result(frame.where("vec_id = 0"), ds.Settings())
     assert one == {}
+
+
+def test_every_query_has_all_its_rows(spark):
+    """Far apart clusters, of fewer vectors than a query asks for and single ones among them."""
+    rng = np.random.default_rng(7)
+    sizes = [300] * 6 + [6] * 20 + [1] * 20
+    centres = rng.normal(size=(len(sizes), 24))
+    centres *= 10 / np.linalg.norm(centres, axis=1, keepdims=True)
+    v = np.concatenate([c + rng.normal(size=(n, 24)) * 0.01 for c, n in zip(centres, sizes)])
+    rows = [(i, [float(x) for x in row], None, None) for i, row in enumerate(v)]
+    found = result(spark.createDataFrame(rows, SCHEMA).repartition(4), ds.Settings(every=1))
+    assert set(found) == set(range(len(v)))
+    assert {len(of) for of in found.values()} == {20}
+    small = spark.createDataFrame(rows[:15], SCHEMA)
+    assert {len(of) for of in result(small, ds.Settings(every=1)).values()} == {14}
+
+
+def test_lists_are_probed_until_they_hold_enough():
+    centres = np.eye(4, dtype=np.float32)
+    model = ds.Model(centres, np.eye(4), 1.0, 1)
+    asks = np.array([[0.9, 0.5, 0.3, 0.1]], dtype=np.float32)
+    sizes = np.array([2, 0, 3, 90])
+    lists = {least: model.probed(asks, sizes, least)[0].tolist() for least in (1, 2, 3, 5, 6, 95, 200)}
+    assert lists == {1: [0], 2: [0], 3: [0, 1, 2], 5: [0, 1, 2], 6: [0, 1, 2, 3], 95: [0, 1, 2, 3], 200: [0, 1, 2, 3]}
