@@ -23,6 +23,8 @@ from loomvec.llm import wordarrays as wa
 from loomvec.session import materialise
 
 UNKNOWN = "und"
+# Texts times languages that are judged at a time.
+_CELLS = 1 << 22
 _FOLD = np.full(256, 32, dtype=np.uint32)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
@@ -31,9 +33,15 @@ _FOLD[128:] = np.arange(128, 256)
 
 @dataclass(frozen=True)
 class Settings:
-    """Training parameters; ``per_language`` bounds the sample of labelled texts of each language."""
+    """Training parameters.
+
+    ``per_language`` bounds the sample of labelled texts of each language, ``total_rows`` and ``total_bytes`` bound
+    all of it: they are shared evenly, so many languages get fewer texts each, but every one at least one.
+    """
 
     per_language: int = 300
+    total_rows: int = 150_000
+    total_bytes: int = 256 << 20
     bits: int = 14
     dims: int = 16
     epochs: int = 3
@@ -46,17 +54,30 @@ class Settings:
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    table: np.ndarray  # bucket x language: embedding times softmax weights
+    table: np.ndarray  # bucket x language: embedding times softmax weights; with more languages than dimensions the embedding
     bias: np.ndarray
     temperature: float
     limit: float
+    out: np.ndarray | None = None  # dimension x language: the softmax weights, if not in the table
 
     def logits(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         buckets, rows = subwords(data, starts, (len(self.table) // 2).bit_length() - 1)
         n_rows = len(starts) - 1
-        sums = np.stack([np.bincount(rows, self.table[buckets, j], n_rows) for j in range(len(self.languages))], axis=1)
+        sums = np.stack([np.bincount(rows, self.table[buckets, j], n_rows) for j in range(self.table.shape[1])], axis=1)
         count = np.bincount(rows, minlength=n_rows)
-        return (sums / np.maximum(count, 1)[:, None] + self.bias) / self.temperature
+        mean = sums / np.maximum(count, 1)[:, None]
+        return ((mean if self.out is None else mean @ self.out) + self.bias) / self.temperature
+
+    def best(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(language, chance)`` of every text, a bounded table of texts by languages at a time."""
+        n, step = len(starts) - 1, max(1, _CELLS // max(1, len(self.languages)))
+        names, chances = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for at in range(0, n, step):
+            part = starts[at : min(n, at + step) + 1]
+            chance = _softmax(self.logits(data[part[0] : part[-1]], part - part[0]).astype(np.float64))
+            names.append(chance.argmax(axis=1))
+            chances.append(chance.max(axis=1))
+        return np.concatenate(names), np.concatenate(chances)
 
 
 def subwords(data: np.ndarray, starts: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +125,8 @@ def _bags(texts: list[str], bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
 def train(texts: list[str], languages: list[str], settings: Settings = Settings()) -> Model:
     """Fit a model; a fifth of the texts is kept for temperature and limit."""
     names = tuple(sorted(set(languages)))
-    label = np.array([names.index(x) for x in languages], dtype=np.int64)
+    number = {name: i for i, name in enumerate(names)}
+    label = np.array([number[x] for x in languages], dtype=np.int64)
     rng = np.random.default_rng(settings.seed)
     # Short passages beside the whole texts, so that scores of short texts are honest too.
     passages, whose = [], []
@@ -118,6 +140,8 @@ def train(texts: list[str], languages: list[str], settings: Settings = Settings(
     bags = _bags(texts + passages, settings.bits)
     label = np.concatenate((label, label[np.array(whose, dtype=np.int64)]))
     left_out = np.concatenate((np.arange(len(texts)), np.array(whose, dtype=np.int64))) % 5 == 4
+    # A language is never left out as a whole.
+    left_out &= np.bincount(label[~left_out], minlength=len(names))[label] > 0
     use = np.flatnonzero(~left_out)
     embed = rng.normal(0, 0.3, (2 << settings.bits, settings.dims)).astype(np.float32)
     out = rng.normal(0, 0.3, (settings.dims, len(names))).astype(np.float32)
@@ -137,21 +161,30 @@ def train(texts: list[str], languages: list[str], settings: Settings = Settings(
             out -= rate * np.outer(mean, error)
             bias -= rate * error * np.float32(0.1)
             embed[found] -= (rate * 20) * np.outer(share, back)
-    table = (embed @ out).astype(np.float32)
     check = np.flatnonzero(left_out) if left_out.any() else use
-    logits = np.array([share @ table[found] + bias for found, share in (bags[i] for i in check)]).reshape(-1, len(names))
+    factored = len(names) > settings.dims
+    table = embed if factored else (embed @ out).astype(np.float32)
+    means = np.array([share @ table[found] for found, share in (bags[i] for i in check)]).reshape(-1, table.shape[1])
     truth = label[check]
+    step = max(1, _CELLS // max(1, len(names)))
+    parts = [slice(at, at + step) for at in range(0, len(check), step)]
+    logits = lambda part: (means[part] @ out if factored else means[part]) + bias
     cold = np.geomspace(0.05, 20, 60)
-    loss = [-np.log(_softmax(logits / t)[np.arange(len(check)), truth] + 1e-12).mean() if len(check) else 0 for t in cold]
+    loss = np.zeros(len(cold))
+    for part in parts:
+        z, own = logits(part), truth[part]
+        loss += [-np.log(_softmax(z / t)[np.arange(len(own)), own] + 1e-12).sum() for t in cold]
     temperature = float(cold[int(np.argmin(loss))])
-    best = _softmax(logits / temperature)
-    score, right = best.max(axis=1), best.argmax(axis=1) == truth
+    score, right = np.zeros(len(check)), np.zeros(len(check), dtype=bool)
+    for part in parts:
+        best = _softmax(logits(part) / temperature)
+        score[part], right[part] = best.max(axis=1), best.argmax(axis=1) == truth[part]
     limit = settings.least_limit
     for limit in np.linspace(settings.least_limit, 0.95, 56):
         taken = score >= limit
         if not taken.any() or right[taken].mean() >= settings.right_share:
             break
-    return Model(names, table, bias, temperature, float(limit))
+    return Model(names, table, bias, temperature, float(limit), out if factored else None)
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2):
@@ -162,15 +195,25 @@ def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2):
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
     """Train on a bounded sample of the labelled rows that are not held out; None without any label.
 
-    The sample takes at most about ``per_language`` rows of each language, by a hash of doc_id and text.
+    The sample takes at most about ``per_language`` rows of each language, by a hash of doc_id and text, and fewer
+    where ``total_rows`` or ``total_bytes`` shared among all languages are less. Every language with a row has at
+    least one in it, so with more languages than ``total_rows`` the sample holds one row of each.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    # The languages with most rows: a table of languages is small, but not bounded by the data.
-    counts = materialise(counts.orderBy(F.desc("n"), "lang").limit(500), "languages")
-    draw = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(1 << 20))
-    sample = rows.join(counts, "lang").where(draw < F.ceil(F.lit(float(settings.per_language << 20)) / F.col("n")))
+    key = F.xxhash64("doc_id", F.substring("text", 1, 64))
+    draw = F.pmod(key, F.lit(1 << 20))
+    counts = rows.groupBy("lang").agg(
+        F.count("*").alias("n"), F.avg(F.octet_length("text")).alias("bytes"), F.min(F.struct(draw, key)).alias("first")
+    )
+    counts = materialise(counts, "languages")
+    languages = max(1, counts.count())
+    want = F.least(
+        F.lit(float(settings.per_language)), F.lit(settings.total_rows / languages), F.lit(settings.total_bytes / languages) / F.col("bytes")
+    )
+    # The first row by draw is in whatever the share is.
+    drawn = (draw < F.ceil(want * (1 << 20) / F.col("n"))) | F.struct(draw, key).eqNullSafe(F.col("first"))
+    sample = rows.join(counts, "lang").where(drawn)
     found = sample.select("doc_id", "lang", "text").orderBy("lang", "doc_id", "text").toPandas()
     if not len(found):
         return None
@@ -187,10 +230,10 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator
                 names += [UNKNOWN] * (end - first)
                 scores.append(np.zeros(end - first))
                 continue
-            chance = _softmax(model.logits(data, starts).astype(np.float64))
+            language, chance = model.best(data, starts)
             some = letters[first:end].astype(bool)
-            names += [model.languages[j] if ok else UNKNOWN for j, ok in zip(chance.argmax(axis=1).tolist(), some.tolist())]
-            scores.append(np.where(some, chance.max(axis=1), 0.0))
+            names += [model.languages[j] if ok else UNKNOWN for j, ok in zip(language.tolist(), some.tolist())]
+            scores.append(np.where(some, chance, 0.0))
         scores = np.concatenate(scores) if scores else np.zeros(0)
         limit = 2.0 if model is None else model.limit
         kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n not in ("_letters", "_text")]

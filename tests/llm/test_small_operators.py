@@ -189,6 +189,36 @@ def test_scores_are_calibrated_enough_to_reject_noise():
     assert model.languages[int(sure.argmax())] == "en" and sure.max() > 0.8
 
 
+def test_every_language_is_learned(spark):
+    """More languages than 500, most of one or two rows; a bound on the whole sample leaves none out."""
+    rows = []
+    for n in range(620):
+        for copy in range(40 if n < 2 else 1 + n % 2):
+            word = "".join(chr(97 + n // 26**i % 26) for i in range(3))
+            rows.append((len(rows), f"{word}{word} q{word}z " * (4 + copy), f"lang{n}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    want = {r.lang for r in docs.where(~language_id.held_out()).select("lang").distinct().collect()}
+    assert len(want) > 400
+    model = language_id.fit(docs, language_id.Settings(total_rows=100, epochs=1))
+    assert set(model.languages) == want
+    many = spark.createDataFrame([(8 * n, f"a text of number {n}", f"lang{n}") for n in range(1500)], docs.schema).where(~language_id.held_out())
+    model = language_id.fit(many, language_id.Settings(epochs=1))
+    assert len(model.languages) == many.count() > 500
+    assert all(r.lang_pred in model.languages for r in language_id.identify(many, model).collect())
+
+
+def test_a_factored_model_gives_the_same_scores():
+    rng = np.random.default_rng(1)
+    embed, out, bias = rng.normal(size=(64, 3)), rng.normal(size=(3, 5)), rng.normal(size=5)
+    names = tuple("abcde")
+    one = language_id.Model(names, embed @ out, bias, 1.0, 0.5)
+    two = language_id.Model(names, embed, bias, 1.0, 0.5, out)
+    raw = np.frombuffer(b"the house and the water", dtype=np.uint8)
+    starts = np.array([0, 9, 9, len(raw)])
+    assert np.allclose(one.logits(raw, starts), two.logits(raw, starts))
+    assert all(np.allclose(a, b) for a, b in zip(one.best(raw, starts), two.best(raw, starts)))
+
+
 # ---- toxicity
 
 
