@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomvec.llm import hash_tree, language_id, mixing, oracles, token_rollup, toxicity
+from loomvec.llm import grid_codes, hard_negatives, hash_tree, language_id, mixing, oracles, token_rollup, toxicity, vector_oracles
 from loomvec.llm.bpe_matrix import encode_documents, token_count
 from loomvec.llm.dimension_scan import search
 from loomvec.llm.fingerprints import fingerprint_edits
@@ -128,3 +128,26 @@ def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Sent again, a batch must change nothing.
     token_rollup.commit_batch(root, "links", batches["links"])
     return token_rollup.totals(spark, root)
+
+
+CODES = grid_codes.Settings()
+
+
+@query(vector_oracles.codes_sql(CODES.scale, CODES.parts, CODES.entries, CODES.rounds))
+def op11_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = grid_codes.encode(table(spark, sf_dir, "embeddings"), CODES)
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+NEGATIVES = hard_negatives.Settings()
+
+
+@query(
+    vector_oracles.negatives_sql(
+        NEGATIVES.scale, NEGATIVES.every, NEGATIVES.positives, NEGATIVES.negatives, NEGATIVES.low, NEGATIVES.high
+    )
+)
+def op13_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every seventh vec_id carries the next label, so that near rows of another label exist.
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), NEGATIVES)
