@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomvec.llm import grid_codes, hard_negatives, hash_tree, language_id, mixing, oracles, token_rollup, toxicity, vector_oracles
+from loomvec.llm import block_labeller, grid_codes, hard_negatives, hash_tree, language_id, mixing, oracles, token_rollup, toxicity, vector_oracles
 from loomvec.llm.bpe_matrix import encode_documents, token_count
 from loomvec.llm.dimension_scan import search
 from loomvec.llm.fingerprints import fingerprint_edits
@@ -139,6 +139,11 @@ def op11_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+@query()
+def op12_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_labeller.extract_main_text(table(spark, sf_dir, "pages"), block_labeller.fit(), keep=["page_id", "url"])
+
+
 NEGATIVES = hard_negatives.Settings()
 
 
