@@ -32,16 +32,15 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() el
 class Settings:
     """``pages`` composed pages are learned from; ``cells`` bounds the padded blocks of one batch."""
 
-    pages: int = 3600
+    pages: int = 2400
     epochs: int = 4
     batch: int = 32
     names: int = 2048
     words: int = 8192
     name_size: int = 16
     word_size: int = 8
-    hidden: int = 20
+    hidden: int = 24
     rate: float = 0.01
-    blank: float = 0.06
     cells: int = 1 << 14
     seed: int = 17
 
@@ -278,18 +277,12 @@ def composed(n: int, seed: int) -> tuple[list[list[Block]], list[np.ndarray]]:
     return pages, labels
 
 
-def _without_names(blocks: list[Block]) -> list[Block]:
-    """The page with class words and ids of containers made unknown, so that the rest has to tell."""
-    return [Block(b.text, b.tag, frozenset(n for n in b.path if not n.startswith(".")), b.linked) for b in blocks]
-
-
 @lru_cache(maxsize=2)
 def fit(settings: Settings = Settings()) -> Model:
     """Train by Adam on composed pages. The same settings always give the same model."""
     rng = np.random.default_rng(settings.seed)
     pages, labels = composed(settings.pages, settings.seed)
-    named = [features([p], settings) for p in pages]
-    blank = [features([_without_names(p)], settings) for p in pages]
+    read = [features([p], settings) for p in pages]
     model = Model(_fresh(settings), settings)
     first = {k: np.zeros_like(v) for k, v in model.weights.items()}
     second = {k: np.zeros_like(v) for k, v in model.weights.items()}
@@ -300,8 +293,7 @@ def fit(settings: Settings = Settings()) -> Model:
         starts = np.arange(0, len(order), settings.batch)
         for at in rng.permutation(starts).tolist():
             some = order[at : at + settings.batch]
-            chosen = [(blank if rng.random() < settings.blank else named)[i] for i in some]
-            gradients = _gradients(model, joined(chosen), np.concatenate([labels[i] for i in some]))
+            gradients = _gradients(model, joined([read[i] for i in some]), np.concatenate([labels[i] for i in some]))
             norm = float(np.sqrt(sum((g**2).sum() for g in gradients.values())))
             step += 1
             rate = settings.rate * min(1, step / 20) * (1 - 0.9 * step / steps)

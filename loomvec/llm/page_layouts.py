@@ -119,7 +119,7 @@ class Composer:
             put(self.pick(["<h1>{}</h1>", "<h1>{}</h1>", "<h2>{}</h2>", '<h1 class="title">{}</h1>']), self.words(14))
         plain = self.pick(["<p>{}</p>", "<p>{}</p>", "<p>{}", "<div>{}</div>"])
         broken = self.chance(0.3)
-        for _ in range(self.some(90 if self.chance(0.15) else 30)):
+        for _ in range(self.rng.randint(20, 160) if self.chance(0.12) else self.some(30)):
             kind = self.rng.random()
             if kind < 0.06:
                 put("<h2>{}</h2>", self.words(8))

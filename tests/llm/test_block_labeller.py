@@ -68,7 +68,7 @@ def test_given_pages_whose_article_is_marked(model):
     pages = pd.read_parquet("/root/testdata/sf0.1/pages.parquet").html.tolist()
     want = ["\n".join(b.text for b in blocks_of(p) if "article" in b.path) for p in pages]
     same = [a == b for a, b in zip(bl.main_texts(pages, model), want)]
-    assert np.mean(same) >= 0.995
+    assert np.mean(same) >= 0.999
 
 
 def plain_scores(blocks, model):
