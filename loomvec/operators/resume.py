@@ -5,19 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomvec.session import materialise
+from loomvec.operators.membership import Limits, without_members
 
 
-def resume_pending(records: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
-    """Records whose ``key`` is not in ``done`` yet.
+def resume_pending(records: DataFrame, done: DataFrame, key: str = "id", limits: Limits = Limits()) -> DataFrame:
+    """Records whose ``key`` is not in ``done`` yet; the records' texts are not shuffled.
 
-    The distinct keys of ``done`` are written once. That makes their size known, so
-    Spark broadcasts them only while they are small; beyond that it is a sort-merge
-    join whose right side has every key once and whose left side adaptive skew
-    handling can split, should a third of the records share one id.
+    Records with a null key are always pending.
     """
-    keys = materialise(done.select(key).where(F.col(key).isNotNull()).distinct(), "done")
-    return records.join(keys, key, "left_anti")
+    return without_members(records, done, key, limits)
 
 
 def skip_existing_chunks(plan: DataFrame, manifest: DataFrame, key: str = "path") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loomvec.functions import lengths, text
 from loomvec.operators import batching
 from loomvec.operators.embed import prepare_texts
+from loomvec.operators.membership import Limits
 from loomvec.operators.resume import resume_pending
 from loomvec.plans.catalog.registry import (
     CLEAN_DOCUMENTS_SQL,
@@ -184,12 +185,25 @@ def shuffled_batches(spark, sf_dir):
     return batching.shuffled_batches(batches, ["bucket_lo", "batch"], seed=42)
 
 
-@query("""
+_PENDING_SQL = """
     SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents
-    WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
-def pending_records(spark, sf_dir):
+    WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
+
+
+def _pending(spark, sf_dir, limits=Limits()):
     docs, done = (
         table(spark, sf_dir, name).withColumn("id", F.col("doc_id").cast("string"))
         for name in ("documents", "labels")
     )
-    return resume_pending(docs.select("id", "text"), done)
+    return resume_pending(docs.select("id", "text"), done, limits=limits)
+
+
+@query(_PENDING_SQL)
+def pending_records(spark, sf_dir):
+    return _pending(spark, sf_dir)
+
+
+@query(_PENDING_SQL)
+def pending_by_cascade(spark, sf_dir):
+    """With so few bits that many ids hit by chance, and several bitmaps settle them."""
+    return _pending(spark, sf_dir, Limits(bits_per_key=2, exact_bytes=256))
