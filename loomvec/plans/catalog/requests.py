@@ -118,7 +118,7 @@ def rolling_latency(spark, sf_dir):
     return _rounded_ms(rolled.select("trial_no", "request_id", "p50_ms", "p95_ms"))
 
 
-@query(f"""
+ROLLING_TICKS_SQL = f"""
     SELECT trial_no, tick_start, least(2000, pos) AS samples, p50_ms, p95_ms FROM (
       SELECT trial_no, time_bucket(INTERVAL 1 DAY, done_at) AS tick_start,
              row_number() OVER (PARTITION BY trial_no ORDER BY done_at, request_id) AS pos,
@@ -128,13 +128,16 @@ def rolling_latency(spark, sf_dir):
              round(quantile_cont(latency_ms, 0.95) OVER w, 6) AS p95_ms
       FROM ({LOG_SQL})
       WINDOW w AS (PARTITION BY trial_no ORDER BY done_at, request_id
-                   ROWS BETWEEN 1999 PRECEDING AND CURRENT ROW)) WHERE back = 1""")
+                   ROWS BETWEEN 1999 PRECEDING AND CURRENT ROW)) WHERE back = 1"""
+
+
+@query(ROLLING_TICKS_SQL)
 def rolling_latency_at_ticks(spark, sf_dir):
     rolled = request_log.rolling_latency_at_ticks(log(spark, sf_dir), every_secs=86_400)
     return _rounded_ms(rolled.select("trial_no", _ntz("tick_start"), "samples", "p50_ms", "p95_ms"))
 
 
-_TICKS_SQL = f"""
+TICKS_SQL = f"""
     SELECT trial_no, make_timestamp(slot * 3600000000) AS tick_start, docs, tokens, errors,
            round(docs / greatest(seen_to - seen_from, 1e-6), 6) AS docs_s,
            round(tokens / greatest(seen_to - seen_from, 1e-6), 6) AS toks_s,
@@ -159,14 +162,14 @@ def _hourly(spark, sf_dir):
     return ticks.withColumns({c: F.round(c, 6) for c in ("docs_s", "toks_s", "avg_docs_s")})
 
 
-@query(f"SELECT trial_no, tick_start, docs, tokens, errors, docs_s, toks_s FROM ({_TICKS_SQL})")
+@query(f"SELECT trial_no, tick_start, docs, tokens, errors, docs_s, toks_s FROM ({TICKS_SQL})")
 def interval_rate(spark, sf_dir):
     return _hourly(spark, sf_dir).select(
         "trial_no", _ntz("tick_start"), "docs", "tokens", "errors", "docs_s", "toks_s"
     )
 
 
-@query(f"SELECT trial_no, tick_start, total_docs, avg_docs_s FROM ({_TICKS_SQL})")
+@query(f"SELECT trial_no, tick_start, total_docs, avg_docs_s FROM ({TICKS_SQL})")
 def running_average_rate(spark, sf_dir):
     return _hourly(spark, sf_dir).select("trial_no", _ntz("tick_start"), "total_docs", "avg_docs_s")
 

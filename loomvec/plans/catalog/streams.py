@@ -13,10 +13,10 @@ from loomvec.plans.catalog.registry import (
     rendered_sql,
     table,
 )
-from loomvec.plans.catalog.requests import LOG_SQL, log
+from loomvec.plans.catalog.requests import LOG_SQL, ROLLING_TICKS_SQL, TICKS_SQL, log
 from loomvec.session import scratch_path
 from loomvec.sources.shards import read_embeddings
-from loomvec.streaming import records, throughput
+from loomvec.streaming import records, rolling, throughput
 
 
 @query(f"SELECT id, {rendered_sql('embedding')} AS vector FROM ({hashed_sql(CLEAN_DOCUMENTS_SQL, DIMS)})")
@@ -32,25 +32,116 @@ def embed_stream(spark, sf_dir):
     return embedded.select("id", rendered(F.col("embedding")).alias("vector"))
 
 
+def _phases(spark, sf_dir):
+    """The request log in three parts: its first half by time, the rest, and late copies of each run's first request."""
+    requests = log(spark, sf_dir).select("trial_no", "request_id", "done_at", "latency_ms", "docs", "tokens", "error")
+    first, last = requests.agg(F.min("done_at"), F.max("done_at")).first()
+    half = F.lit(first + (last - first) / 2)
+    late = requests.groupBy("trial_no").agg(F.min_by(F.struct(*requests.columns[1:]), F.struct("done_at", "request_id")).alias("r"))
+    return [requests.where(F.col("done_at") < half), requests.where(F.col("done_at") >= half), late.select("trial_no", "r.*")]
+
+
+def _run_in_phases(spark, sf_dir, name, start):
+    """A stream that stops after each part of the log and goes on with the next one; what each run counted."""
+    base = scratch_path(spark, name)
+    counts = []
+    for part in _phases(spark, sf_dir):
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(part.schema).parquet(f"{base}/in")
+        counts.append(throughput.finish(start(stream, f"{base}/out", f"{base}/checkpoint")))
+    return base, counts
+
+
+def _hourly(stream, output, checkpoint):
+    rates = throughput.throughput_stream(stream, "1 hour", late_by="1 hour", keys=["trial_no"])
+    return throughput.write_updates(rates, output, checkpoint)
+
+
+def _stopped_twice(spark, sf_dir):
+    base, counts = _run_in_phases(spark, sf_dir, "throughput-stream", _hourly)
+    return throughput.read_latest(spark, f"{base}/out", ["trial_no"]), counts
+
+
+def _ntz(ticks):
+    return ticks.withColumn("tick_start", F.col("tick_start").cast("timestamp_ntz"))
+
+
 @query(f"""
-    SELECT trial_no, tick_start, docs, tokens, errors, round(docs / 3600, 6) AS docs_s,
-           round(tokens / 3600, 6) AS toks_s, CAST(sum(docs) OVER (PARTITION BY trial_no ORDER BY tick_start) AS BIGINT) AS total_docs
-    FROM (SELECT trial_no, time_bucket(INTERVAL 1 HOUR, done_at) AS tick_start, CAST(sum(docs) AS BIGINT) AS docs,
-                 CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(error) AS BIGINT) AS errors
-          FROM ({LOG_SQL}) GROUP BY ALL)""")
+    SELECT trial_no, tick_start, docs, tokens, errors, docs_s, toks_s, total_docs FROM ({TICKS_SQL}) WHERE docs > 0""")
 def throughput_stream(spark, sf_dir):
     base = scratch_path(spark, "throughput-stream")
-    requests = log(spark, sf_dir).select("trial_no", "done_at", "docs", "tokens", "error")
+    requests = log(spark, sf_dir).select("trial_no", "done_at", "latency_ms", "docs", "tokens", "error")
     requests.write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 100).parquet(f"{base}/in")
-    rates = throughput.throughput_stream(stream, "1 hour", late_by="40 days", keys=["trial_no"])
-    throughput.write_updates(rates, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    stream = spark.readStream.schema(requests.schema).parquet(f"{base}/in")
+    throughput.finish(_hourly(stream, f"{base}/out", f"{base}/checkpoint"))
     ticks = throughput.read_latest(spark, f"{base}/out", ["trial_no"])
-    shown = throughput.with_rates(ticks, 3600, ["trial_no"])
-    return shown.withColumns(
-        {
-            "tick_start": F.col("tick_start").cast("timestamp_ntz"),
-            "docs_s": F.round("docs_s", 6),
-            "toks_s": F.round("toks_s", 6),
-        }
-    )
+    shown = throughput.with_rates(ticks, 3600, ["trial_no"]).drop("latency")
+    return _ntz(shown).withColumns({"docs_s": F.round("docs_s", 6), "toks_s": F.round("toks_s", 6)})
+
+
+def _within(requests, found, keys, error):
+    """Per key whether the exact ranks of ``p50_ms`` and ``p95_ms`` are at most ``error`` off."""
+    shares = []
+    for name, p in throughput.PERCENTILES.items():
+        below, upto = F.avg((F.col("latency_ms") < F.col(name)).cast("int")), F.avg((F.col("latency_ms") <= F.col(name)).cast("int"))
+        shares.append(((below - error <= p) & (upto + error >= p)).alias(name.replace("_ms", "_within")))
+    return requests.join(found.select(*keys, *throughput.PERCENTILES), keys).groupBy(*keys).agg(*shares)
+
+
+@query(f"""
+    SELECT trial_no, tick_start, docs, tokens, errors, true AS p50_within, true AS p95_within FROM ({TICKS_SQL}) WHERE docs > 0""")
+def latency_at_stream_ticks(spark, sf_dir):
+    """Ticks of a stream that was stopped twice, and whether their latencies have the right ranks; late copies of old requests change nothing."""
+    ticks, _ = _stopped_twice(spark, sf_dir)
+    shown = throughput.with_latency(ticks)
+    requests = log(spark, sf_dir).withColumn("tick_start", F.date_trunc("hour", "done_at"))
+    judged = _within(requests, shown, ["trial_no", "tick_start"], 0.01)
+    return _ntz(shown.select("trial_no", "tick_start", "docs", "tokens", "errors").join(judged, ["trial_no", "tick_start"]))
+
+
+@query(f"SELECT trial_no, count(*) AS n, true AS p50_within, true AS p95_within FROM ({LOG_SQL}) GROUP BY ALL")
+def latency_of_stream(spark, sf_dir):
+    """Latencies of whole runs, from the sketches of their ticks."""
+    ticks, _ = _stopped_twice(spark, sf_dir)
+    found = throughput.latency_so_far(ticks, ["trial_no"])
+    return found.select("trial_no", "n").join(_within(log(spark, sf_dir), found, ["trial_no"], 0.01), "trial_no")
+
+
+@query(f"""
+    SELECT CAST(count(*) + count(DISTINCT trial_no) AS BIGINT) AS rows, count(DISTINCT trial_no) AS late, CAST(3 AS BIGINT) AS batches
+    FROM ({LOG_SQL})""")
+def late_requests(spark, sf_dir):
+    """What a stream counted: rows read, rows dropped as late, micro-batches with rows."""
+    _, counts = _stopped_twice(spark, sf_dir)
+    total = {name: sum(c[name] for c in counts) for name in ("rows", "late", "batches")}
+    return spark.range(1).select(*[F.lit(total[name]).cast("bigint").alias(name) for name in total])
+
+
+@query("SELECT count(DISTINCT doc_id % 6) AS batches, count(*) AS rows FROM documents")
+def files_per_trigger(spark, sf_dir):
+    """A stream that takes one file at a time: its micro-batches, by the commits in its checkpoint."""
+    base = scratch_path(spark, "trickle")
+    line = F.to_json(F.struct(F.col("doc_id").alias("_id"), "text"))
+    lines = table(spark, sf_dir, "documents").select(line.alias("value"), (F.col("doc_id") % 6).alias("file"))
+    # One file for each of the six.
+    lines.repartition("file").write.partitionBy("file").text(f"{base}/in")
+    stream = records.record_stream(spark, f"{base}/in/*", max_files=1)
+    throughput.finish(records.embed_stream(stream, f"{base}/out", f"{base}/checkpoint", Hashing, clean=False))
+    commits = spark.read.format("binaryFile").load(f"{base}/checkpoint/commits").where(F.col("path").rlike("/[0-9]+$"))
+    batches = commits.agg(F.count("*").alias("batches"))
+    return batches.join(F.broadcast(table(spark, sf_dir, "documents").agg(F.count("*").alias("rows"))))
+
+
+@query(f"""
+    SELECT trial_no, tick_start, samples, p50_ms, p95_ms FROM ({ROLLING_TICKS_SQL})
+    WHERE tick_start + INTERVAL 1 DAY <= (SELECT time_bucket(INTERVAL 1 MILLISECOND, max(done_at)) - INTERVAL 1 HOUR FROM ({LOG_SQL}))""")
+def rolling_stream(spark, sf_dir):
+    """The last 2,000 requests at the ends of days, from a stream that was stopped twice; the last, open days are not due yet."""
+
+    def start(stream, output, checkpoint):
+        ticks = rolling.rolling_stream(stream, 86_400, late_by="1 hour", keys=["trial_no"])
+        return rolling.write_ticks(ticks, output, checkpoint)
+
+    base, _ = _run_in_phases(spark, sf_dir, "rolling-stream", start)
+    ticks = rolling.read_ticks(spark, f"{base}/out")
+    return _ntz(ticks).withColumns({"p50_ms": F.round("p50_ms", 6), "p95_ms": F.round("p95_ms", 6)})
