@@ -128,13 +128,13 @@ def embed_truncated(spark, sf_dir):
     return _shown(embed_records(short, Hashing))
 
 
-_FAILS_SQL = "CAST('0x' || substr(md5(text), 1, 1) AS BIGINT) % 5"
+FAILS_SQL = "CAST('0x' || substr(md5(text), 1, 1) AS BIGINT) % 5"
 
 
 @query(f"""
-    SELECT id, CASE WHEN {_FAILS_SQL} < 3 THEN 'ok' ELSE 'failed' END AS status,
-           CAST(least(3, {_FAILS_SQL} + 1) AS INTEGER) AS attempts,
-           CASE WHEN {_FAILS_SQL} < 3 THEN NULL ELSE 'ConnectionError: no answer' END AS error
+    SELECT id, CASE WHEN {FAILS_SQL} < 3 THEN 'ok' ELSE 'failed' END AS status,
+           CAST(least(3, {FAILS_SQL} + 1) AS INTEGER) AS attempts,
+           CASE WHEN {FAILS_SQL} < 3 THEN NULL ELSE 'ConnectionError: no answer' END AS error
     FROM ({CLEAN_DOCUMENTS_SQL})""")
 def embed_with_retry(spark, sf_dir):
     texts = prepare_texts(documents(spark, sf_dir))
@@ -144,7 +144,7 @@ def embed_with_retry(spark, sf_dir):
 
 @query(f"""
     SELECT id, 3 AS attempts, 'ConnectionError: no answer' AS error
-    FROM ({CLEAN_DOCUMENTS_SQL}) WHERE {_FAILS_SQL} >= 3""")
+    FROM ({CLEAN_DOCUMENTS_SQL}) WHERE {FAILS_SQL} >= 3""")
 def failed_batches(spark, sf_dir):
     """Embed once into a table, then read its dead letter."""
     texts = prepare_texts(documents(spark, sf_dir))
@@ -182,7 +182,7 @@ def response_shapes(spark, sf_dir):
 
 @query(f"""
     SELECT tries, count(*) AS batches, true AS moves_on FROM (
-      SELECT CAST(least(3, {_FAILS_SQL} + 1) AS BIGINT) AS tries FROM ({CLEAN_DOCUMENTS_SQL})) GROUP BY ALL""")
+      SELECT CAST(least(3, {FAILS_SQL} + 1) AS BIGINT) AS tries FROM ({CLEAN_DOCUMENTS_SQL})) GROUP BY ALL""")
 def endpoint_rotation(spark, sf_dir):
     """Batches by their tries, and whether each try went to the endpoint after the last one's."""
     urls = [f"http://host{i}.invalid/embed" for i in range(4)]
@@ -215,7 +215,7 @@ def embed_request_log(spark, sf_dir):
 
 @query(f"""
     SELECT id, 3 AS attempts, 'ConnectionError: no answer' AS error
-    FROM ({CLEAN_DOCUMENTS_SQL}) WHERE {_FAILS_SQL} = 4""")
+    FROM ({CLEAN_DOCUMENTS_SQL}) WHERE {FAILS_SQL} = 4""")
 def dead_letter_after_resume(spark, sf_dir):
     """Two runs that fail for the same texts, then one that succeeds for part of them."""
     docs, path = prepare_texts(documents(spark, sf_dir)), scratch_path(spark, "embedded")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomvec.plans.catalog.embedding import DIMS, Hashing
+from loomvec.operators.embed import embed_records, prepare_texts
+from loomvec.plans.catalog.embedding import DIMS, FAILS_SQL, Hashing, SomeTextsFail
 from loomvec.plans.catalog.registry import (
     CLEAN_DOCUMENTS_SQL,
+    documents,
     hashed_sql,
     query,
     rendered,
@@ -15,8 +17,8 @@ from loomvec.plans.catalog.registry import (
 )
 from loomvec.plans.catalog.requests import LOG_SQL, ROLLING_TICKS_SQL, TICKS_SQL, log
 from loomvec.session import scratch_path
-from loomvec.sources.shards import read_embeddings
-from loomvec.streaming import records, rolling, throughput
+from loomvec.sources.shards import EMBEDDED_TABLE_SCHEMA, read_embeddings, write_embeddings
+from loomvec.streaming import records, resume, rolling, throughput
 
 
 @query(f"SELECT id, {rendered_sql('embedding')} AS vector FROM ({hashed_sql(CLEAN_DOCUMENTS_SQL, DIMS)})")
@@ -145,3 +147,45 @@ def rolling_stream(spark, sf_dir):
     base, _ = _run_in_phases(spark, sf_dir, "rolling-stream", start)
     ticks = rolling.read_ticks(spark, f"{base}/out")
     return _ntz(ticks).withColumns({"p50_ms": F.round("p50_ms", 6), "p95_ms": F.round("p95_ms", 6)})
+
+
+def _once(spark, sf_dir):
+    """Labelled documents in a table; all documents, and every second one again, in a stream.
+
+    Its first start fails for some texts, the second takes them up.
+    """
+    base = scratch_path(spark, "embed-once")
+    docs = documents(spark, sf_dir)
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
+    write_embeddings(embed_records(prepare_texts(docs.join(labelled, "id", "left_semi")), Hashing), f"{base}/before")
+    line = F.to_json(F.struct(F.col("id").alias("_id"), "text"))
+    docs.select(line.alias("value")).write.text(f"{base}/in")
+    docs.where("id % 2 = 0").select(line.alias("value")).write.mode("append").text(f"{base}/in")
+    done = read_embeddings(spark, f"{base}/before")
+    for provider in (SomeTextsFail, Hashing):
+        stream = records.record_stream(spark, f"{base}/in", max_files=100)
+        started = resume.embed_once(
+            stream, f"{base}/out", f"{base}/retry", f"{base}/checkpoint", provider, done, batch_size=1, retry_wait=0.0
+        )
+        throughput.finish(started)
+    return base
+
+
+@query(f"SELECT id, {rendered_sql('embedding')} AS vector FROM ({hashed_sql(CLEAN_DOCUMENTS_SQL, DIMS)})")
+def embed_stream_once(spark, sf_dir):
+    """Every id once, from the table and the stream together."""
+    base = _once(spark, sf_dir)
+    embedded = read_embeddings(spark, f"{base}/before").unionByName(read_embeddings(spark, f"{base}/out"))
+    return embedded.select("id", rendered(F.col("embedding")).alias("vector"))
+
+
+@query(f"""
+    SELECT id, CAST(2 AS BIGINT) AS tried FROM ({CLEAN_DOCUMENTS_SQL})
+    WHERE {FAILS_SQL} >= 3 AND CAST(id AS BIGINT) NOT IN (SELECT doc_id FROM labels)""")
+def retried_records(spark, sf_dir):
+    """The ids that failed first and were embedded by the next start of the stream."""
+    base = _once(spark, sf_dir)
+    tries = spark.read.schema(EMBEDDED_TABLE_SCHEMA).parquet(f"{base}/out").groupBy("id").agg(
+        F.count("*").alias("tried"), F.max((F.col("status") == "ok").cast("int")).alias("ok")
+    )
+    return tries.where("tried > 1 AND ok = 1").select("id", "tried")
