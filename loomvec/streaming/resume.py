@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loomvec.operators.embed import embed_records, prepare_texts
 from loomvec.operators.providers import HashingProvider, Provider
-from loomvec.session import path_exists
+from loomvec.session import file_system, path_exists, scratch_path
 from loomvec.sources.shards import EMBEDDED_TABLE_SCHEMA, write_embeddings
 
 # Records whose embedding failed, with their text, as they wait for another round.
@@ -58,15 +58,20 @@ def embed_once(
     named = named.dropDuplicatesWithinWatermark(["id"]).select("id", "text")
     unnamed = fresh.where("id IS NULL").select("id", "text")
     waiting = retry_stream(spark, retry).where(F.col("round") <= max_rounds)
-    both = named.unionByName(unnamed).withColumn("round", F.lit(0)).unionByName(waiting)
+    both = named.unionByName(unnamed).withColumn("round", F.lit(0)).unionByName(waiting).select("id", "text", "round")
 
     def save(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("id", F.col("id").cast("string"))
+        # Written once: the source, and the state behind the batch, are not asked again.
+        held = scratch_path(spark, "micro-batch")
+        batch.withColumn("id", F.col("id").cast("string")).write.parquet(held)
+        rows = spark.read.schema(RETRY_SCHEMA).parquet(held)
         path = f"{output}/batch={number}"
         write_embeddings(embed_records(rows.select("id", "text"), provider, **embed_options), path, mode="overwrite")
         failed = spark.read.schema(EMBEDDED_TABLE_SCHEMA).parquet(path).where("status = 'failed'").select(F.col("id").alias("_failed")).distinct()
         again = rows.join(failed, F.col("id").eqNullSafe(F.col("_failed")), "left_semi")
         again.select("id", "text", (F.col("round") + 1).cast("int").alias("round")).write.mode("overwrite").parquet(f"{retry}/batch={number}")
+        files, where = file_system(spark, held)
+        files.delete(where, True)
 
     writer = both.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     if available_now:
