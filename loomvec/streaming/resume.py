@@ -54,16 +54,17 @@ def embed_once(
     fresh = prepare_texts(records, clean)
     if done is not None:
         fresh = fresh.join(done.select("id").where("id IS NOT NULL").distinct(), "id", "left_anti")
-    named = fresh.where("id IS NOT NULL").withColumn("_came", F.current_timestamp()).withWatermark("_came", remember)
-    named = named.dropDuplicatesWithinWatermark(["id"]).select("id", "text")
-    unnamed = fresh.where("id IS NULL").select("id", "text")
+    # Records without an id get a key of their own.
+    known_by = F.struct("id", F.when(F.col("id").isNull(), F.uuid()).alias("own"))
+    named = fresh.withColumn("_key", known_by).withColumn("_came", F.current_timestamp()).withWatermark("_came", remember)
+    named = named.dropDuplicatesWithinWatermark(["_key"]).withColumn("round", F.lit(0))
     waiting = retry_stream(spark, retry).where(F.col("round") <= max_rounds)
-    both = named.unionByName(unnamed).withColumn("round", F.lit(0)).unionByName(waiting).select("id", "text", "round")
+    both = named.select("id", "text", "round").unionByName(waiting)
 
     def save(batch: DataFrame, number: int) -> None:
         # Written once: the source, and the state behind the batch, are not asked again.
         held = scratch_path(spark, "micro-batch")
-        batch.withColumn("id", F.col("id").cast("string")).write.parquet(held)
+        batch.write.parquet(held)
         rows = spark.read.schema(RETRY_SCHEMA).parquet(held)
         path = f"{output}/batch={number}"
         write_embeddings(embed_records(rows.select("id", "text"), provider, **embed_options), path, mode="overwrite")

@@ -23,6 +23,13 @@ def add_file(folder, name, ids):
     (folder / name).write_text("".join(json.dumps({"_id": i, "text": f"text number {i}"}) + "\n" for i in ids))
 
 
+def test_records_without_an_id_all_pass(spark, tmp_path):
+    spark.createDataFrame([(None, "text 1"), (None, "text 1"), ("1", "text 1"), ("1", "text 1")], "id string, text string").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id string, text string").parquet(f"{tmp_path}/in")
+    throughput.finish(resume.embed_once(stream, f"{tmp_path}/out", f"{tmp_path}/retry", f"{tmp_path}/checkpoint", Hashing))
+    assert [r.id for r in read_embeddings(spark, f"{tmp_path}/out").orderBy("id").collect()] == [None, None, "1"]
+
+
 def run(spark, base, provider=Hashing, done=None, **options):
     stream = records.record_stream(spark, str(base / "in"), max_files=1)
     places = (f"{base}/out", f"{base}/retry", f"{base}/checkpoint")
