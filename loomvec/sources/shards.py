@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import re
-import time
 from collections.abc import Iterator
-from urllib.parse import unquote, urlparse
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomvec.session import materialise, session_conf
+from loomvec.session import materialise, scratch_path, session_conf
 
 EMBEDDED_TABLE_SCHEMA = (
     "id string, embedding array<float>, error string, attempts int, endpoint string, request_id bigint, "
@@ -22,7 +22,6 @@ EMBEDDED_TABLE_SCHEMA = (
 )
 # Both spellings of the id column are read; a file has one of them.
 SHARD_SCHEMA = "id string, _id string, embedding array<float>"
-FILES_PER_TASK = 200
 INSPECTED_SCHEMA = (
     "path string, file_path string, dir string, length bigint, "
     "readable boolean, rows bigint, columns string, conforms boolean, error string"
@@ -157,40 +156,24 @@ def files_per_dir(listing: DataFrame) -> DataFrame:
     return listing.groupBy("dir").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
-# Hadoop's names of file systems that Arrow knows under another one.
-_SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfss": "abfss", "abfs": "abfs", "s3": "s3"}
-FOOTER_TRIES = 3
+# Files up to this size are read whole, on the executors, for their footer; the driver names so many paths at a time.
+WHOLE_BYTES = 32 << 20
+FILES_PER_WAVE = 20_000
+_ASKED_AT_ONCE = 16
 
 
-def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a URI; one that Arrow cannot open is an error, not an unreadable file."""
-    scheme = urlparse(uri).scheme
-    if scheme in ("", "file"):
-        return pafs.LocalFileSystem(), unquote(urlparse(uri).path)
-    if scheme not in _SCHEMES:
-        raise ValueError(f"footers of {scheme}:// files cannot be read")
-    return pafs.FileSystem.from_uri(_SCHEMES[scheme] + uri[len(scheme) :])
+def _footer_bytes(content: Column, length: Column) -> Column:
+    """The end of a Parquet file from its footer on, or its last bytes if they name no footer inside the file."""
+    tail = F.greatest(length - 7, F.lit(1)).cast("int")
+    size = sum(
+        (F.conv(F.hex(F.substring(content, tail + i, F.lit(1))), 16, 10).cast("bigint") * (1 << 8 * i) for i in range(4)), F.lit(0)
+    )
+    whole = F.when(size + 8 <= length, size + 8).otherwise(8)
+    return F.substring(content, F.greatest(length - whole + 1, F.lit(1)).cast("int"), whole.cast("int"))
 
 
-def _open_footer(uri: str) -> pq.FileMetaData:
-    """The footer; a file that is no Parquet raises ``pa.ArrowInvalid``, trouble on the way is tried again and raised."""
-    filesystem, name = _file_system(uri)
-    for tries_left in reversed(range(FOOTER_TRIES)):
-        try:
-            with filesystem.open_input_file(name) as source:
-                return pq.ParquetFile(source).metadata
-        except pa.ArrowInvalid:
-            raise
-        except FileNotFoundError:
-            raise
-        except OSError as problem:
-            # Thrift errors of a broken footer are OSErrors, too.
-            if "Thrift" in str(problem) or "deserialize" in str(problem):
-                raise pa.ArrowInvalid(str(problem)) from problem
-            if not tries_left:
-                raise
-            time.sleep(1)
-    raise AssertionError("unreachable")
+def _parsed_footer(footer: bytes | None) -> pq.FileMetaData:
+    return pq.ParquetFile(pa.BufferReader(b"PAR1" + bytes(footer or b""))).metadata
 
 
 def _conforms(schema: pa.Schema, ignore_extra: bool) -> bool:
@@ -211,28 +194,81 @@ def _conforms(schema: pa.Schema, ignore_extra: bool) -> bool:
     )
 
 
-def inspect_shards(listing: DataFrame, ignore_extra: bool = False) -> DataFrame:
-    """Per file: readable or not, rows, columns, and whether it has the shard schema.
+def _arrow_name(kind: T.DataType) -> str:
+    """A Spark type as small files' footers show it."""
+    if isinstance(kind, T.ArrayType):
+        return f"list<element: {_arrow_name(kind.elementType)}>"
+    return {"bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8", "boolean": "bool"}.get(kind.simpleString(), kind.simpleString())
 
-    Only footers are read, on the executors; the data pages stay untouched.
-    """
 
+def _inspect_small(files: DataFrame, ignore_extra: bool) -> DataFrame:
     def inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for uri in batch["file_path"]:
+            for footer in batch.pop("footer"):
                 try:
-                    footer = _open_footer(uri)
-                    schema = footer.schema.to_arrow_schema()
+                    read = _parsed_footer(footer)
+                    schema = read.schema.to_arrow_schema()
                     columns = ", ".join(f"{field.name}: {field.type}" for field in schema)
-                    found.append((True, footer.num_rows, columns, _conforms(schema, ignore_extra), None))
-                except (pa.ArrowException, FileNotFoundError) as problem:
+                    found.append((True, read.num_rows, columns, _conforms(schema, ignore_extra), None))
+                except (pa.ArrowException, OSError) as problem:
                     found.append((False, None, None, False, f"{type(problem).__name__}: {problem}"))
             facts = pd.DataFrame(found, columns=["readable", "rows", "columns", "conforms", "error"])
             facts["rows"] = facts["rows"].astype("Int64")
             yield pd.concat([batch.reset_index(drop=True), facts], axis=1)
 
-    listed = listing.select("path", "file_path", "dir", "length")
-    # A footer costs a round trip whatever the file's size: spread by count, not by bytes.
-    tasks = -(-listed.count() // FILES_PER_TASK) or 1
-    return listed.repartition(tasks, "path").mapInPandas(inspect, INSPECTED_SCHEMA)
+    return files.mapInPandas(inspect, INSPECTED_SCHEMA)
+
+
+def _inspect_large(spark: SparkSession, files: DataFrame, ignore_extra: bool) -> DataFrame:
+    """Columns from one schema read per file, rows from one scan of all footers; no data page is read."""
+    paths = [row.path for row in files.select("path").collect()]
+
+    def ask(path: str) -> tuple:
+        try:
+            fields = spark.read.parquet(escape_glob(path)).schema.fields
+        except Exception as problem:
+            # Anything but a broken footer, as trouble with the store, is no fact about the file.
+            if "FOOTER" not in str(problem) and "UNABLE_TO_INFER_SCHEMA" not in str(problem) and "is not a Parquet file" not in str(problem):
+                raise
+            return path, False, None, False, f"{type(problem).__name__}: {str(problem).splitlines()[0]}"
+        named = {field.name: field.dataType for field in fields}
+        ids = [named[name] for name in ("id", "_id") if name in named]
+        good = len(ids) == 1 and ids[0] == T.StringType() and (ignore_extra or len(named) == 2)
+        good = good and isinstance(named.get("embedding"), T.ArrayType) and named["embedding"].elementType == T.FloatType()
+        return path, True, ", ".join(f"{f.name}: {_arrow_name(f.dataType)}" for f in fields), good, None
+
+    with ThreadPoolExecutor(_ASKED_AT_ONCE) as pool:
+        facts = list(pool.map(ask, paths))
+    known = spark.createDataFrame(facts, "path string, readable boolean, columns string, conforms boolean, error string")
+    scan = spark.read.schema(SHARD_SCHEMA).option("ignoreCorruptFiles", "true").parquet(*map(escape_glob, paths))
+    counts = scan.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("rows"))
+    rows = F.when(F.col("readable"), F.coalesce("rows", F.lit(0)))
+    whole = files.join(known, "path").join(counts, "file_path", "left").withColumn("rows", rows)
+    return whole.select("path", "file_path", "dir", "length", "readable", "rows", "columns", "conforms", "error")
+
+
+def inspect_shards(
+    listing: DataFrame, ignore_extra: bool = False, whole_bytes: int = WHOLE_BYTES, files_per_wave: int = FILES_PER_WAVE
+) -> DataFrame:
+    """Per file: readable or not, rows, columns, and whether it has the shard schema.
+
+    Only Spark opens files, with its own credentials and file systems. Of files up to ``whole_bytes`` the executors read the content and hand
+    the footer alone to Python. Larger files, of which there are few, are asked for their schema one by one, and
+    counted by a scan that needs no column. Paths pass through the driver ``files_per_wave`` at a time.
+    """
+    spark = listing.sparkSession
+    listed = materialise(listing.select("path", "file_path", "dir", "length").distinct(), "to-inspect")
+    path = scratch_path(spark, "inspected")
+    spark.createDataFrame([], INSPECTED_SCHEMA).write.parquet(f"{path}/wave=0")
+    names = (row.path for row in listed.select("path").distinct().toLocalIterator())
+    for wave in iter(lambda: list(islice(names, files_per_wave)), []):
+        own = spark.read.format("binaryFile").load([escape_glob(name) for name in wave])
+        footer = _footer_bytes(F.col("content"), F.col("length")).alias("footer")
+        facts = ("path", F.col("_metadata.file_path").alias("file_path"), F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("dir"), "length")
+        small = own.where(F.col("length") <= whole_bytes).select(*facts, footer)
+        _inspect_small(small, ignore_extra).write.mode("append").parquet(f"{path}/wave=1")
+        large = own.where(F.col("length") > whole_bytes).select(*facts)
+        if not large.isEmpty():
+            _inspect_large(spark, large, ignore_extra).write.mode("append").parquet(f"{path}/wave=2")
+    return spark.read.schema(INSPECTED_SCHEMA).parquet(f"{path}/wave=*")

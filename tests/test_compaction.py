@@ -150,9 +150,37 @@ def test_lists_of_32_bit_floats_are_shards(spark, tmp_path, vector, good):
     assert read.count() == len(read.collect()) == (2 if good else 0)
 
 
-def test_unknown_file_systems_are_errors():
-    with pytest.raises(ValueError, match="dbfs"):
-        shards._file_system("dbfs:/a/b.parquet")
+@pytest.mark.parametrize("whole_bytes, files_per_wave", [(1 << 20, 4), (0, 100), (600, 5)])
+def test_small_and_large_files_are_inspected_alike(spark, folders, whole_bytes, files_per_wave):
+    listing = shards.list_shards(spark, *folders)
+    facts = ["path", "file_path", "dir", "length", "readable", "rows", "conforms"]
+    want = shards.inspect_shards(listing)
+    found = shards.inspect_shards(listing, whole_bytes=whole_bytes, files_per_wave=files_per_wave)
+    assert found.count() == want.count() == 14
+    assert found.select(facts).exceptAll(want.select(facts)).count() == 0
+    assert found.where("NOT readable AND error IS NULL").count() == 0
+    named = {row.columns for row in found.where("conforms").select("columns").collect()}
+    assert all("embedding: list<element: float>" in columns or "embedding: list<item: float>" in columns for columns in named)
+
+
+@pytest.fixture
+def behind_spark(spark, tmp_path):
+    """A path that only a file system of Spark's own configuration leads to."""
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.set("fs.viewfs.mounttable.depot.link./data", f"file://{tmp_path}")
+    return "viewfs://depot/data"
+
+
+def test_paths_that_only_spark_opens(spark, folders, behind_spark):
+    where = [f"{behind_spark}/a dir", f"{behind_spark}/b?1?"]
+    report = verify.file_report(spark, *where)
+    assert report.count() == 14 and report.where("NOT readable").count() == 1
+    assert all(row.path.startswith("viewfs://depot/data/") for row in report.collect())
+    sound = shards.read_shards(spark, *where, skip_bad=True)
+    done = compaction.compact(spark, where, f"{behind_spark}/out", files_per_chunk=4)
+    assert done.rows_written == sound.count() == GOOD_ROWS
+    assert compaction.compact(spark, where, f"{behind_spark}/out").files == 0
+    assert verify.reconcile(sound, compaction.read_consolidated(spark, f"{behind_spark}/out")).first().same_rows
 
 
 def test_changed_vectors_do_not_reconcile(spark):
