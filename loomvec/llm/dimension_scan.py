@@ -5,20 +5,24 @@ product into the smallest distance; then all are turned by one random rotation.
 of a bounded sample deals every vector to a list; a query probes the lists whose centres are
 nearest, and more of them until they hold enough candidates for its rows. Within a list, column blocks of the rotated vectors are added to partial
 distances; after each block a hypothesis test drops candidates whose distance is, by what
-is seen so far, too large for the query's best ``k``. Survivors are scored on the original
-vectors in double precision.
+is seen so far, too large for the query's best ``k``. The nearest list is scanned first, and the ``k``-th distance found
+there goes along to the query's other lists. Survivors are scored on the original vectors in double precision, component by
+component in order, so that a score depends on the two vectors alone and equal vectors tie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from loomvec.llm.vectors import is_whole
 from loomvec.session import materialise
 
 
@@ -47,8 +51,14 @@ class Model:
     probes: int
 
     def turn(self, vectors: np.ndarray, query: bool) -> np.ndarray:
-        """Rotated vectors with the added component, which is 0 for queries."""
-        left = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(self.length**2 - (vectors**2).sum(axis=1), 0))
+        """Rotated vectors with the added component: rows by their share of the largest length, queries at length 1."""
+        if query:
+            vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+            vectors = vectors / np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+            left = np.zeros(len(vectors))
+        else:
+            vectors = vectors / self.length
+            left = np.sqrt(np.maximum(1 - (vectors**2).sum(axis=1), 0))
         return (np.column_stack((vectors, left)) @ self.rotation).astype(np.float32)
 
     def nearest(self, turned: np.ndarray, n: int) -> np.ndarray:
@@ -102,12 +112,14 @@ def fit(vectors: np.ndarray, total: int, length: float, settings: Settings) -> M
 
 def _clean(vectors: DataFrame) -> DataFrame:
     """Vectors that take part: not null, no null or non-finite component, not zero."""
-    value = F.col("embedding").cast("array<float>")
-    fine = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    kind = vectors.schema["embedding"].dataType.elementType
+    value = F.col("embedding") if isinstance(kind, T.FloatType) else F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), value.alias("v"))
-    rows = rows.where("vec_id is not null and v is not null").where(fine & F.exists("v", lambda x: x != 0))
-    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return rows.withColumn("size", F.size("v")).withColumn("length", F.sqrt(length))
+    rows = rows.where("vec_id is not null").where(is_whole(F.col("v"))).where(F.exists("v", lambda x: x != 0))
+    # Shares of the largest component, whose squares neither overflow nor vanish.
+    most = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    shares = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x.cast("double") / F.col("most")) * (x.cast("double") / F.col("most")))
+    return rows.withColumn("size", F.size("v")).withColumn("most", most).withColumn("length", F.least(F.sqrt(shares) * F.col("most"), F.lit(1.7e308))).drop("most")
 
 
 def _assign(parts: Iterator[pd.DataFrame], model: Model) -> Iterator[pd.DataFrame]:
@@ -125,89 +137,137 @@ def _probe(parts: Iterator[pd.DataFrame], model: Model, sizes: np.ndarray, least
             part = rows.iloc[at : at + 2048]
             v = np.stack(part["v"].to_numpy()).astype(np.float64)
             found = model.probed(model.turn(v, query=True), sizes, least)
-            yield pd.DataFrame({"vec_id": part["vec_id"], "v": part["v"], "probed": [x.astype(np.int32) for x in found]})
+            lists = [x.astype(np.int32) for x in found]
+            yield pd.DataFrame({"vec_id": part["vec_id"], "v": part["v"], "first": [x[0] for x in lists], "probed": [x[1:] for x in lists]})
+
+
+def exact_scores(rows: np.ndarray, asks: np.ndarray) -> np.ndarray:
+    """Inner products of each row with its ask, summed from the first component to the last."""
+    score = np.zeros(len(rows))
+    for at in range(rows.shape[1]):
+        score += rows[:, at] * asks[:, at]
+    return score
+
+
+def _survivors(turned: np.ndarray, asks: np.ndarray, limit: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(ask, row, distance)`` of the pairs whose partial distances pass the test after every column block."""
+    d = turned.shape[1]
+    # A first column block for all pairs at once, then the pairs that are left.
+    end = min(d, settings.columns)
+    part = (turned[:, :end] ** 2).sum(axis=1) - 2 * asks[:, :end] @ turned[:, :end].T + (asks[:, :end] ** 2).sum(axis=1)[:, None]
+    ask, row = np.nonzero(part <= _bar(limit, end, d, settings)[:, None])
+    far = part[ask, row]
+    for begin in range(end, d, settings.columns):
+        end = min(d, begin + settings.columns)
+        far = far + ((turned[row, begin:end] - asks[ask, begin:end]) ** 2).sum(axis=1)
+        stay = far <= _bar(limit, end, d, settings)[ask]
+        ask, row, far = ask[stay], row[stay], far[stay]
+    return ask, row, far
+
+
+def _bar(limit: np.ndarray, seen: int, d: int, settings: Settings) -> np.ndarray:
+    """The largest partial distance over ``seen`` of ``d`` columns that a pair within ``limit`` is likely to have."""
+    # Rotation makes the seen share of a distance concentrate around seen / d of the whole.
+    share = (seen / d) * (1 + settings.caution / np.sqrt(seen)) ** 2 if seen < d else 1 + 1e-4
+    # Rounding of 32-bit distances between vectors of length 1.
+    return limit * share + 1e-5
 
 
 def _scan(rows: pd.DataFrame, model: Model, settings: Settings) -> pd.DataFrame:
     """Best candidates of one list block for one chunk of queries."""
-    asks = rows[rows["side"] == 1]
-    held = rows[rows["side"] == 0].sort_values("vec_id", kind="stable")
-    empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+    empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0), "far": np.zeros(0)})
+    side = rows["side"].to_numpy()
+    asks, held = rows[side == 1], rows[side == 0].sort_values("vec_id", kind="stable")
     if not len(asks) or not len(held):
         return empty
-    ids = held["vec_id"].to_numpy()
-    plain = np.stack(held["v"].to_numpy()).astype(np.float64)
-    turned = model.turn(plain, query=False)
-    d = turned.shape[1]
+    ids, query_ids = held["vec_id"].to_numpy(), asks["vec_id"].to_numpy()
+    plain, asked = (np.stack(part["v"].to_numpy()).astype(np.float64) for part in (held, asks))
+    turned, turned_asks = model.turn(plain, query=False), model.turn(asked, query=True)
+    limits = asks["far"].to_numpy().astype(np.float64)
     out = []
-    for query_id, v in zip(asks["vec_id"].tolist(), asks["v"]):
-        v = np.asarray(v, dtype=np.float64)
-        q = model.turn(v[None, :], query=True)[0]
-        other = np.flatnonzero(ids != query_id)
-        # The first candidates give a first limit: the k-th smallest distance so far.
-        first, rest = other[: 4 * settings.k], other[4 * settings.k :]
-        far = ((turned[first] - q) ** 2).sum(axis=1)
-        limit = np.partition(far, settings.k - 1)[settings.k - 1] if len(far) >= settings.k else np.inf
-        part = np.zeros(len(rest), dtype=np.float32)
-        for begin in range(0, d, settings.columns):
-            end = min(d, begin + settings.columns)
-            part += ((turned[rest, begin:end] - q[begin:end]) ** 2).sum(axis=1)
-            # Rotation makes the seen share of a distance concentrate around end / d of the whole.
-            bar = limit * (end / d) * (1 + settings.caution / np.sqrt(end)) ** 2 if end < d else limit * (1 + 1e-5) + 1e-6
-            stay = part <= bar
-            rest, part = rest[stay], part[stay]
-        left = np.concatenate((first, rest))
-        score = plain[left] @ v
-        best = np.lexsort((ids[left], -score))[: settings.k]
-        out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[left][best], "score": score[best]}))
+    step = max(1, (1 << 21) // len(held))
+    for at in range(0, len(asks), step):
+        some, limit = turned_asks[at : at + step], limits[at : at + step].copy()
+        if len(held) > settings.k:
+            # The first rows give a limit, too: the (k + 1)-th smallest distance, as a query may be in its own list.
+            first = turned[: 4 * settings.k + 1]
+            far = (first**2).sum(axis=1) - 2 * some @ first.T + (some**2).sum(axis=1)[:, None]
+            limit = np.minimum(limit, np.partition(far, settings.k, axis=1)[:, settings.k])
+        ask, row, far = _survivors(turned, some, limit, settings)
+        other = ids[row] != query_ids[at + ask]
+        ask, row, far = ask[other] + at, row[other], far[other]
+        score = np.concatenate([exact_scores(plain[row[i : i + 65536]], asked[ask[i : i + 65536]]) for i in range(0, len(row), 65536)] or [np.zeros(0)])
+        order = np.lexsort((ids[row], -score, ask))
+        ask, row, far, score = ask[order], row[order], far[order], score[order]
+        place = np.arange(len(ask)) - np.searchsorted(ask, ask, "left")
+        best = place < settings.k
+        out.append(pd.DataFrame({"query_id": query_ids[ask[best]], "vec_id": ids[row[best]], "score": score[best], "far": far[best].astype(np.float64)}))
     return pd.concat(out) if out else empty
 
 
 def search(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the best ``k`` of every row whose vec_id ``every`` divides.
 
-    Candidates are all rows with another vec_id; the order is by inner product, largest first, ties to the smaller
-    vec_id. Vectors that are null, zero, or hold null or non-finite components take no part, nor do null
-    vec_ids or vectors of another length than most have. A repeated vec_id with several vectors counts once, with
+    Candidates are all rows with another vec_id and a vector of the same length; the order is by inner product, largest first,
+    ties to the smaller vec_id. Vectors that are null, zero, or hold null or non-finite components take no part, nor do null
+    vec_ids. Each length of vector is searched by itself. A repeated vec_id with several vectors of a length counts once, with
     the smallest. Fewer than ``k`` candidates give fewer rows, an empty table none; other columns are ignored.
     """
     clean = _clean(vectors)
-    sizes = clean.groupBy("size").agg(F.count("*").alias("n"), F.max("length").alias("length"))
-    main = sizes.orderBy(F.desc("n"), "size").limit(1).collect()
-    spark = vectors.sparkSession
-    if not main:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size, total, length = main[0]["size"], main[0]["n"], main[0]["length"]
+    sizes = clean.groupBy("size").agg(F.max("length").alias("length")).orderBy("size").collect()
+    parts = [_search(clean, row["size"], row["length"], settings) for row in sizes]
+    if not parts:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _search(clean: DataFrame, size: int, length: float, settings: Settings) -> DataFrame:
+    """The search among the vectors of one length; ``length`` is the largest norm there."""
     clean = clean.where(F.col("size") == size).groupBy("vec_id").agg(F.min("v").alias("v"))
     clean = materialise(clean, "vectors")
+    total = clean.count()
+    kind = clean.schema["v"].dataType.elementType.simpleString()
     draw = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))
     sample = clean.where(draw < min(1 << 30, (settings.sample << 30) // total)).orderBy("vec_id").toPandas()
     if not len(sample):
         sample = clean.limit(settings.sample).toPandas()
     model = fit(np.stack(sample["v"].to_numpy()).astype(np.float64), total, length, settings)
     placed = materialise(
-        clean.mapInPandas(lambda parts: _assign(parts, model), "vec_id long, v array<float>, list int"), "lists"
+        clean.mapInPandas(lambda parts: _assign(parts, model), f"vec_id long, v array<{kind}>, list int"), "lists"
     )
     held = np.zeros(len(model.centres), dtype=np.int64)
     for row in placed.groupBy("list").count().collect():
         held[row["list"]] = row["count"]
     # One row more than asked for, since a query is in a list itself.
     asks = placed.where(F.col("vec_id") % settings.every == 0).select("vec_id", "v").mapInPandas(
-        lambda parts: _probe(parts, model, held, settings.k + 1), "vec_id long, v array<float>, probed array<int>"
+        lambda parts: _probe(parts, model, held, settings.k + 1), f"vec_id long, v array<{kind}>, first int, probed array<int>"
     )
-    asks = materialise(asks, "asks").select("vec_id", "v", F.explode("probed").alias("list"))
+    asks = materialise(asks, "asks")
+    near = asks.select("vec_id", "v", F.col("first").alias("list"), F.lit(float("inf")).alias("far"))
+    near = materialise(_scanned(placed, near, model, settings), "nearest-lists")
+    # The k-th best of the nearest list is a limit for the others.
+    limits = near.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.max("far").alias("_far"))
+    limits = limits.where(F.col("n") >= settings.k).select("vec_id", "_far")
+    rest = asks.join(limits, "vec_id", "left").select("vec_id", "v", F.explode("probed").alias("list"), F.coalesce("_far", F.lit(float("inf"))).alias("far"))
+    found = near.unionByName(_scanned(placed, rest, model, settings))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _scanned(placed: DataFrame, asks: DataFrame, model: Model, settings: Settings) -> DataFrame:
+    """Best candidates of each asked list; up to ``k`` rows for each query and block of a list."""
+    asks = materialise(asks, "asked-lists")
     # Long lists are cut into blocks and their queries into chunks, so that a group is bounded.
     blocks = placed.groupBy("list").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
     chunks = asks.groupBy("list").agg(F.ceil(F.count("*") / settings.chunk).cast("int").alias("chunks"))
     shape = materialise(blocks.join(chunks, "list"), "shape")
     dealt = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    fields = ["side", "list", "block", "chunk", "vec_id", "v"]
-    left = placed.select("list", "vec_id", "v").join(shape, "list").withColumn("side", F.lit(0)).withColumn("block", dealt("blocks")).withColumn("chunk", every("chunks"))
+    fields = ["side", "list", "block", "chunk", "vec_id", "v", "far"]
+    left = placed.select("list", "vec_id", "v", F.lit(0.0).alias("far")).join(shape, "list")
+    left = left.withColumn("side", F.lit(0)).withColumn("block", dealt("blocks")).withColumn("chunk", every("chunks"))
     right = asks.join(shape, "list").withColumn("side", F.lit(1)).withColumn("chunk", dealt("chunks")).withColumn("block", every("blocks"))
-    found = left.select(fields).union(right.select(fields)).groupBy("list", "block", "chunk").applyInPandas(
-        lambda rows: _scan(rows, model, settings), "query_id long, vec_id long, score double"
+    return left.select(fields).union(right.select(fields)).groupBy("list", "block", "chunk").applyInPandas(
+        lambda rows: _scan(rows, model, settings), "query_id long, vec_id long, score double, far double"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k)
-    return ranked.select("query_id", "rank", "vec_id", "score")

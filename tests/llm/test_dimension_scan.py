@@ -8,21 +8,26 @@ from loomvec.llm import dimension_scan as ds
 SCHEMA = "vec_id long, embedding array<float>, score string, list int"
 
 
-def brute(rows, k, every):
-    best = {}
-    good = {}
+def score(a, b):
+    total = 0.0
+    for x, y in zip(a, b):
+        total += float(x) * float(y)
+    return total
+
+
+def brute(rows, k, every, kind=np.float32):
+    best, good = {}, {}
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v) or not any(v):
             continue
-        v = np.array(v, dtype=np.float32)
-        if i not in good or tuple(v) < tuple(good[i]):
-            good[i] = v
-    size = max(sorted({len(v) for v in good.values()}), key=lambda n: sum(len(v) == n for v in good.values()))
-    good = {i: v.astype(np.float64) for i, v in good.items() if len(v) == size}
-    for q in (i for i in good if i % every == 0):
-        order = sorted((-float(v @ good[q]), i) for i, v in good.items() if i != q)
-        best[q] = [(i, -s) for s, i in order[:k]]
-    return best
+        v = tuple(float(kind(x)) for x in v)
+        if (i, len(v)) not in good or v < good[i, len(v)]:
+            good[i, len(v)] = v
+    for (q, size), asked in good.items():
+        if q % every == 0:
+            order = sorted((-score(v, asked), i) for (i, n), v in good.items() if i != q and n == size)
+            best[q] = [(i, -s) for s, i in order[:k]]
+    return {q: found for q, found in best.items() if found}
 
 
 def result(frame, settings):
@@ -51,8 +56,45 @@ def test_recall_against_brute_force(spark, lengths):
     assert hits / (10 * len(want)) >= 0.9
     exact = dict(rows)
     for q, rows_of in found.items():
-        for i, score in rows_of:
-            assert score == pytest.approx(float(np.dot(exact[q], exact[i])), abs=1e-9)
+        assert rows_of == sorted(rows_of, key=lambda r: (-r[1], r[0]))
+        for i, got in rows_of:
+            assert got == score(exact[i], exact[q])
+
+
+@pytest.mark.parametrize("equal", [21, 34, 60, 139, 200])
+@pytest.mark.parametrize("size", [7, 64])
+def test_equal_vectors_tie_by_vec_id(spark, equal, size):
+    rng = np.random.default_rng(equal)
+    v = rng.normal(size=(equal + 40, size))
+    v[:equal] = v[0]
+    rows = [(i, [float(np.float32(x)) for x in row]) for i, row in enumerate(v)]
+    frame = spark.createDataFrame([(*r, "s", 1) for r in rows], SCHEMA).repartition(3)
+    found = result(frame, ds.Settings(block=50))
+    assert found[0] == brute(rows, 20, 20)[0]
+    ties = [i for i, _ in found[0] if i < equal]
+    assert len(ties) >= 15 and ties == list(range(1, len(ties) + 1))
+
+
+def test_components_that_only_doubles_hold(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.1, 0.2]), (2, [1e39, 0.0]), (3, [1e-50, 1e-60]), (4, [1e200, -1e200]), (20, [3e-320, 0.0])]
+    frame = spark.createDataFrame([(*r, "s", 1) for r in rows], SCHEMA.replace("array<float>", "array<double>"))
+    found = result(frame, ds.Settings())
+    assert found == brute(rows, 20, 20, float)
+    assert found[0][2] == (1, 0.1)
+
+
+def test_recall_on_the_given_vectors(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in given.select("vec_id", "embedding").collect()]
+    v = np.array([r[1] for r in rows], dtype=np.float64)
+    ids = np.array([r[0] for r in rows])
+    found = result(given, ds.Settings())
+    hits = 0
+    for q in ids[ids % 20 == 0].tolist():
+        s = v @ v[ids == q][0]
+        s[ids == q] = -np.inf
+        hits += len({i for i, _ in found[q]} & set(ids[np.argsort(-s, kind="stable")[:20]].tolist()))
+    assert hits / (20 * (ids % 20 == 0).sum()) >= 0.95
 
 
 def test_awkward_vectors(spark):
@@ -60,11 +102,11 @@ def test_awkward_vectors(spark):
     rows = [
         (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),
         (7, [1.0, None]), (8, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (9, []), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (20, [-1.0, 0.5]),
-        (40, [2.0, 2.0]),
+        (40, [2.0, 2.0]), (60, [3.0, 2.0, 1.0]), (80, [1.0] * 5),
     ]
     frame = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
     found, want = result(frame, ds.Settings()), brute(rows, 20, 20)
-    assert {q: [i for i, _ in v] for q, v in found.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert found == want
     assert ds.search(frame.where("vec_id < 0")).count() == 0
     one = result(frame.where("vec_id = 0"), ds.Settings())
     assert one == {}
