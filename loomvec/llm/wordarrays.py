@@ -2,7 +2,8 @@
 
 A slice of an Arrow string column is one byte array with offsets. Words are the runs
 between white space (space and 0x09 to 0x0D), with A-Z lower-cased; each gets a 64-bit
-hash from prefix sums, so no Python loop runs per word. Equality of words and shingles
+hash from prefix sums, so no Python loop runs per word: its letters as a polynomial modulo two primes (a polynomial
+modulo a power of two would be the same for certain pairs of long words whatever its base). Equality of words and shingles
 is decided by these hashes.
 """
 
@@ -29,8 +30,10 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Everything but ASCII letters, digits and bytes of longer characters.
 NOT_ALNUM = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 _STEP = 0x9E3779B97F4A7C15
-_BASE = 0xD1342543DE82EF95  # odd, so that it has an inverse modulo 2**64
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+_BASE = 0xD1342543DE82EF95
+#: Primes, and a base for each.
+_FIELDS = ((2147483647, 1583458089), (2147483629, 784588716))
+_powers: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint32), np.ones(1, np.uint32))] * len(_FIELDS)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,20 +43,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP)) | np.uint64(1)
+_LETTERS = [mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP + prime)) % np.uint64(prime - 1) + np.uint64(1) for prime, _ in _FIELDS]
 
 
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, kept between calls."""
+def _powers_of(base: int, prime: int, size: int) -> np.ndarray:
+    made = np.ones(1, np.uint64)
+    while len(made) < size:
+        made = np.concatenate((made, made * np.uint64(pow(base, len(made), prime)) % np.uint64(prime)))
+    return made[:size].astype(np.uint32)
+
+
+def _powers_to(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of each base and of its inverse, kept between calls."""
     global _powers
-    if len(_powers[0]) < n:
+    if len(_powers[0][0]) < n:
         size = 1 << (n - 1).bit_length()
-        made = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            made.append(np.multiply.accumulate(steps))
-        _powers = tuple(made)
+        _powers = [(_powers_of(base, prime, size), _powers_of(pow(base, -1, prime), prime, size)) for prime, base in _FIELDS]
     return _powers
 
 
@@ -104,21 +109,23 @@ def words(
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | first[1:n]
     at, to = np.flatnonzero(begins), np.flatnonzero(ends)
-    power, inverse = _powers_to(n)
-    terms = _LETTERS[low]
-    terms *= power[:n]
-    sums = np.cumsum(terms)
-    hashes = (sums[to] - sums[at] + terms[at]) * inverse[at]
-    hashes = mix(hashes + (to - at + 1).astype(np.uint64) * np.uint64(_STEP))
     rows = np.searchsorted(starts, at, "right") - 1
-    found, owners = [hashes], [rows]
-    for size in heads:
-        longer = to - at + 1 > size
-        begin = at[longer]
-        head = (sums[begin + size - 1] - sums[begin] + terms[begin]) * inverse[begin]
-        found.append(mix(head + np.uint64(size << 32)))
-        owners.append(rows[longer])
-    return np.concatenate(found), np.concatenate(owners)
+    longer = [to - at + 1 > size for size in heads]
+    wanted = [(at, to)] + [(at[more], at[more] + (size - 1)) for more, size in zip(longer, heads)]
+    found = [np.zeros(len(begin), np.uint64) for begin, _ in wanted]
+    for (prime, _), letters, (power, inverse) in zip(_FIELDS, _LETTERS, _powers_to(n)):
+        modulus = np.uint64(prime)
+        terms = letters[low]
+        terms *= power[:n]
+        terms %= modulus
+        sums = np.cumsum(terms)
+        for i, (begin, end) in enumerate(wanted):
+            value = (sums[end] - sums[begin] + terms[begin]) % modulus * inverse[begin] % modulus
+            found[i] = found[i] << np.uint64(32) | value
+    found[0] = mix(found[0] + (to - at + 1).astype(np.uint64) * np.uint64(_STEP))
+    for i, size in enumerate(heads, 1):
+        found[i] = mix(found[i] + np.uint64((size * _BASE) & 0xFFFFFFFFFFFFFFFF))
+    return np.concatenate(found), np.concatenate([rows, *[rows[more] for more in longer]])
 
 
 def _chain(parts) -> np.ndarray:

@@ -139,3 +139,18 @@ def test_links_without_any_similar_text(spark):
     docs = spark.createDataFrame([(1, "one text"), (2, "another"), (3, "one text"), (4, None)], "doc_id long, text string")
     assert {r.doc_id: r.n_links for r in jj.similar_components(docs, LAW, count_links=True).collect()} == {1: 1, 2: 0, 3: 1, 4: 0}
     assert jj.similar_components(texts.empty(spark), LAW, count_links=True).count() == 0
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [512, 1024, 2048, 4096])
+def test_words_that_collide_modulo_powers_of_two(spark, size):
+    word = thue_morse(size)
+    other = word.translate(str.maketrans("ab", "ba"))
+    texts_of = [word, other, f"one {word} two three four five", f"one {other} two three four five", word]
+    frame = spark.createDataFrame(list(enumerate(texts_of, 1)), "doc_id long, text string")
+    found = {r.doc_id: (r.component_id, r.n_links) for r in jj.similar_components(frame, jj.Similarity(words=4, percent=85), count_links=True).collect()}
+    assert found == {1: (1, 1), 2: (2, 0), 3: (3, 0), 4: (4, 0), 5: (1, 1)}
+    assert sorted(r.doc_id for r in jj.keep_one(frame, jj.Similarity(words=5, percent=80)).collect()) == [1, 2, 3, 4]

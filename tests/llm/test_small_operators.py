@@ -333,6 +333,57 @@ def test_a_written_delta_counts_only_once_committed(spark):
     assert held(spark, root) == {("s", "en", "t"): (1, 3)}
 
 
+def empty_file(spark, path):
+    files, where = token_rollup._files(spark, path)
+    files.create(where, False).close()
+
+
+def test_an_empty_commit_is_none(spark):
+    root = scratch_path(spark, "rollup-test")
+    rows = spark.createDataFrame([change("insert", 3)], CHANGES)
+    # A writer that died between creating its commit and writing it.
+    empty_file(spark, f"{root}/commits/{token_rollup._name('x')}.json")
+    assert held(spark, root) == {}
+    assert token_rollup.commit_batch(root, "x", rows)
+    assert not token_rollup.commit_batch(root, "x", rows)
+    assert held(spark, root) == {("s", "en", "t"): (1, 3)}
+
+
+def test_of_two_writers_one_commits(spark):
+    root = scratch_path(spark, "rollup-test")
+    path = f"{root}/commits/{token_rollup._name('x')}.json"
+    assert [token_rollup._publish(spark, path, str(i)) for i in range(3)] == [True, False, False]
+    assert spark.read.text(path).first()[0] == "0"
+    files, where = token_rollup._files(spark, f"{root}/commits")
+    assert [f.getPath().getName() for f in files.listStatus(where)] == [path.rsplit("/", 1)[1]]
+
+
+def test_folding_changes_no_total(spark, monkeypatch):
+    root = scratch_path(spark, "rollup-test")
+    batch = lambda name, *rows: token_rollup.commit_batch(root, name, spark.createDataFrame(rows, CHANGES))
+    assert token_rollup.fold(spark, root) == 0
+    batch("1", change("insert", 10), change("insert", 5, source=None))
+    batch("2", change("insert", 7))
+    before = held(spark, root)
+    # A fold that dies before it is published leaves the totals alone.
+    with monkeypatch.context() as patch:
+        patch.setattr(token_rollup, "_publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            token_rollup.fold(spark, root)
+    assert held(spark, root) == before
+    assert token_rollup.fold(spark, root) == 2 and held(spark, root) == before
+    assert token_rollup.fold(spark, root) == 0
+    assert not batch("1", change("insert", 10))
+    batch("3", change("delete", 5, source=None), change("revise", 1, 7))
+    want = {("s", "en", "t"): (2, 11)}
+    assert held(spark, root) == want
+    assert token_rollup.fold(spark, root) == 1 and held(spark, root) == want
+    # What is folded is not read again.
+    files, where = token_rollup._files(spark, f"{root}/deltas")
+    files.delete(where, True)
+    assert held(spark, root) == want
+
+
 def test_corpus_batches_of_awkward_rows(spark):
     root = scratch_path(spark, "rollup-test")
     for name, rows in token_rollup.corpus_batches(texts.frame(spark)).items():
