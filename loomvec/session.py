@@ -116,4 +116,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with session_conf(spark, **{"classic.shuffleDependency.fileCleanup.enabled": "true"}):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._written_to = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables that :func:`materialise` wrote, once nothing reads them any more."""
+    for df in written:
+        files, where = file_system(df.sparkSession, df._written_to)
+        files.delete(where, True)
