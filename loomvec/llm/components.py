@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomvec.session import materialise
+from loomvec.session import discard, materialise
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -35,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = near.where("b <> low").select(b.alias("a"), F.col("low").alias("b")).union(
             lowest.select("a", F.col("low").alias("b"))
         )
-        now = materialise(small.where("a <> b").distinct(), "stars")
+        before, now = now, materialise(small.where("a <> b").distinct(), "stars")
+        discard(before, large)
         after = _state(now)
         if after == state:
             break

@@ -22,6 +22,10 @@ with one leader (rounds of verified links, linear in the group). Only groups tha
 several components are compared on, in bounded blocks of members, and blocks return
 links that join components.
 
+Before the texts of a candidate pair are brought together, a parity bitmap of each set rules out what it can: every
+shingle toggles one bit, so the bitmaps of two sets differ in at most as many bits as the sets differ in elements. A pair
+whose bitmaps differ in more bits than links allow is dropped; no link is lost.
+
 Links are counted afterwards: every link lies inside one component, so all pairs of a component's
 different sets are compared once, in bounded blocks, and blocks return a count per set. A set is
 sent as its difference from one set of its component, which says as much and is short for near copies.
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 from loomvec.llm import wordarrays as wa
 from loomvec.llm.bitmaps import bitmap_of, may_hold
 from loomvec.llm.components import components
-from loomvec.session import materialise
+from loomvec.session import discard, materialise
 
 SEEDS = 4
 # Texts, and their bytes, on either side of one group of the block step.
@@ -173,6 +177,39 @@ def fingerprint(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(sizes == 0, _U(0), np.maximum(made, _U(1)))
 
 
+def parity_bitmaps(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Per set a bitmap in which each element toggles one bit: two to four bits an element, a power of two of them."""
+    bits = 1 << np.ceil(np.log2(np.maximum(2 * sizes, 64))).astype(np.int64)
+    ends = np.cumsum(bits)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = (wa.mix(values ^ _U(0x7A317E)) & (bits[owner] - 1).astype(_U)).astype(np.int64) + (ends - bits)[owner]
+    packed = np.packbits(np.bincount(place, minlength=ends[-1] if len(ends) else 0).astype(np.uint8) & 1, bitorder="little").tobytes()
+    return [packed[(end - n) // 8 : end // 8] for end, n in zip(ends.tolist(), bits.tolist())]
+
+
+_ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """In how many bits two parity bitmaps differ; the longer one is folded to the length of the shorter."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) != len(y):
+        n = min(len(x), len(y))
+        x, y = (np.bitwise_xor.reduce(part.reshape(-1, n), axis=0) for part in (x, y))
+    return int(_ONES[x ^ y].sum())
+
+
+def _sift(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa.RecordBatch]:
+    """Keep pairs that sizes and parity bitmaps do not rule out."""
+    for batch in batches:
+        a, b, size_a, size_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        keep = law.linked(np.minimum(size_a, size_b), size_a, size_b)
+        most = law.most_different(size_a + size_b)
+        for i in np.flatnonzero(keep).tolist():
+            keep[i] = bits_apart(batch.column(4)[i].as_py(), batch.column(5)[i].as_py()) <= most[i]
+        yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+
+
 def _frequent_in(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa.RecordBatch]:
     """Shingles in many of a task's texts: counts of a bounded summary (lower bounds)."""
     keys, counts, texts = np.zeros(0, _U), np.zeros(0, np.int64), 0
@@ -235,10 +272,11 @@ def _describe(batches: Iterator[pa.RecordBatch], law: Similarity, frequent: np.n
                 pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32)), pa.array(sig[order].view(np.int64))
             )
             part = ids.slice(first, end - first)
+            parity = [p if fresh else None for p, fresh in zip(parity_bitmaps(values, sizes), new.tolist())]
             lone = pa.array([None if known else t for known, t in zip(part.is_valid().to_pylist(), text.slice(first, end - first).to_pylist() if part.null_count else [None] * (end - first))], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [part, texts_hash.slice(first, end - first), pa.array(sizes.astype(np.int64)), pa.array(node.view(np.int64)), lists, lone],
-                names=["doc_id", "text_hash", "n_shingles", "node", "sigs", "own_text"],
+                [part, texts_hash.slice(first, end - first), pa.array(sizes.astype(np.int64)), pa.array(node.view(np.int64)), lists, pa.array(parity, pa.binary()), lone],
+                names=["doc_id", "text_hash", "n_shingles", "node", "sigs", "parity", "own_text"],
             )
 
 
@@ -471,7 +509,7 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity(), count_li
     rows = materialise(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
             lambda it: _describe(it, law, frequent.value),
-            "doc_id long, text_hash long, n_shingles long, node long, sigs array<long>, own_text string",
+            "doc_id long, text_hash long, n_shingles long, node long, sigs array<long>, parity binary, own_text string",
         ),
         "sets",
     )
@@ -483,17 +521,27 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity(), count_li
     marks = spark.sparkContext.broadcast(bitmap_of(groups, F.col("sig")))
     met = rows.where("node <> 0").select("node", "sigs").mapInArrow(lambda it: _met(it, marks.value), "sig long, node long")
     members = materialise(met.join(groups, "sig", "left_semi").distinct(), "members")
+    discard(groups)
     involved = members.select("node").distinct()
+    known = rows.where("parity is not null").select("node", F.col("n_shingles").alias("size"), "parity")
+    parities = materialise(known.join(involved, "node", "left_semi").dropDuplicates(["node"]), "parities")
     texts = materialise(
         _texts(docs, nodes, involved).mapInArrow(lambda it: _own_text(it, law), "node long, text string").dropDuplicates(["node"]),
         "texts",
     )
-    links = _links(members, texts, law)
+    # From here on only ids and labels are asked for.
+    whole = rows
+    rows = materialise(whole.select("doc_id", "text_hash", "n_shingles", "node"), "nodes")
+    discard(whole)
+    nodes = rows.where("node <> 0").select("doc_id", "node")
+    links = _links(members, texts, parities, law)
+    discard(members, parities)
     label = components(links) if links is not None else None
     ids = nodes.groupBy("node").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("copies"))
     counted = None
     if count_links and label is not None:
         counted = materialise(_count_links(label, ids.select("node", "copies"), texts, law), "counted")
+    discard(texts)
     ids = ids.withColumn("cluster", F.col("node")) if label is None else ids.join(
         label.withColumnRenamed("component", "cluster"), "node", "left"
     ).withColumn("cluster", F.coalesce("cluster", "node"))
@@ -529,7 +577,7 @@ def keep_one(docs: DataFrame, law: Similarity = Similarity()) -> DataFrame:
     return one.select(*columns).union(held.where(~worded).select(*columns))
 
 
-def _links(members: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame | None:
+def _links(members: DataFrame, texts: DataFrame, parities: DataFrame, law: Similarity) -> DataFrame | None:
     """Verified links that connect whatever the signature groups' members connect."""
     links, left = None, members.withColumn("label", F.col("node"))
     if left.isEmpty():
@@ -540,12 +588,14 @@ def _links(members: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame |
         leader = left.groupBy("sig").agg(F.min(pick).alias("lead"))
         pairs = left.join(leader, "sig").where("label <> lead.label")
         a, b = F.least("node", F.col("lead.node")), F.greatest("node", F.col("lead.node"))
-        found = materialise(_checked(pairs.select(a.alias("a"), b.alias("b")).distinct(), texts, law), "links")
+        found = _checked(pairs.select(a.alias("a"), b.alias("b")).distinct(), texts, parities, law)
         links = found if links is None else links.union(found)
         known = left.select("sig", "node").join(components(links), "node", "left")
         known = known.select("sig", "node", F.coalesce("component", "node").alias("label"))
         spread = known.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        left = materialise(known.join(spread.where("low < high").select("sig"), "sig", "left_semi"), "open")
+        before, left = left, materialise(known.join(spread.where("low < high").select("sig"), "sig", "left_semi"), "open")
+        if turn:
+            discard(before)
         if left.isEmpty():
             return links
         if found.isEmpty():
@@ -555,19 +605,27 @@ def _links(members: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame |
     few = left.join(counts.where(F.col("n") <= PAIRWISE).select("sig"), "sig", "left_semi")
     other = few.select("sig", F.col("node").alias("b"), F.col("label").alias("label_b"))
     pairs = few.withColumnRenamed("node", "a").join(other, "sig").where("a < b and label <> label_b")
-    found = materialise(_checked(pairs.select("a", "b").distinct(), texts, law), "links")
+    found = _checked(pairs.select("a", "b").distinct(), texts, parities, law)
     links = links.union(found)
-    left = materialise(left.join(counts.where(F.col("n") > PAIRWISE).select("sig"), "sig", "left_semi"), "open")
+    before, left = left, materialise(left.join(counts.where(F.col("n") > PAIRWISE).select("sig"), "sig", "left_semi"), "open")
+    discard(before)
     if left.isEmpty():
         return links
     return links.union(materialise(_block_links(left, texts, law), "links"))
 
 
-def _checked(pairs: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame:
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(lambda it: _verify(it, law), "a long, b long")
+def _checked(pairs: DataFrame, texts: DataFrame, parities: DataFrame, law: Similarity) -> DataFrame:
+    """The linked ones of ``pairs``, written; bitmaps are brought together first, texts only for the pairs these leave."""
+
+    def beside(rows: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+        for side in "ab":
+            rows = rows.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return rows.select("a", "b", *[f"{c}_{side}" for c in columns for side in "ab"])
+
+    sifted = materialise(beside(pairs, parities, "size", "parity").mapInArrow(lambda it: _sift(it, law), "a long, b long"), "sifted")
+    found = materialise(beside(sifted, texts, "text").mapInArrow(lambda it: _verify(it, law), "a long, b long"), "links")
+    discard(sifted)
+    return found
 
 
 def _block_links(left: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame:

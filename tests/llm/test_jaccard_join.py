@@ -154,3 +154,18 @@ def test_words_that_collide_modulo_powers_of_two(spark, size):
     found = {r.doc_id: (r.component_id, r.n_links) for r in jj.similar_components(frame, jj.Similarity(words=4, percent=85), count_links=True).collect()}
     assert found == {1: (1, 1), 2: (2, 0), 3: (3, 0), 4: (4, 0), 5: (1, 1)}
     assert sorted(r.doc_id for r in jj.keep_one(frame, jj.Similarity(words=5, percent=80)).collect()) == [1, 2, 3, 4]
+
+
+def test_parity_bitmaps_never_differ_by_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        cut = int(rng.integers(0, len(a) + 1))
+        b = np.unique(np.concatenate((a[cut:], rng.integers(0, 2**63, int(rng.integers(1, 900)), dtype=np.uint64))))
+        x, y = jj.parity_bitmaps(np.concatenate((a, b)), np.array([len(a), len(b)]))
+        assert jj.bits_apart(x, y) == jj.bits_apart(y, x) <= len(np.setxor1d(a, b))
+        assert jj.bits_apart(x, x) == 0
+    far = jj.parity_bitmaps(rng.integers(0, 2**63, 400, dtype=np.uint64), np.array([200, 200]))
+    assert jj.bits_apart(*far) > LAW.most_different(np.array([400]))[0]
+    assert jj.parity_bitmaps(np.zeros(0, np.uint64), np.zeros(0, np.int64)) == []

@@ -21,9 +21,9 @@ def test_query_agrees_with_sql(spark, name):
     assert rows and not only_spark and not only_sql, (list(only_spark)[:3], list(only_sql)[:3])
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n in QUERIES) == list(range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
 
 
