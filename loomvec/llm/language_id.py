@@ -41,7 +41,7 @@ class Settings:
 
     per_language: int = 300
     total_rows: int = 150_000
-    total_bytes: int = 256 << 20
+    total_bytes: int = 64 << 20
     bits: int = 14
     dims: int = 16
     epochs: int = 3
@@ -217,7 +217,10 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model | None:
     found = sample.select("doc_id", "lang", "text").orderBy("lang", "doc_id", "text").toPandas()
     if not len(found):
         return None
-    return train(found["text"].tolist(), found["lang"].tolist(), settings)
+    model = train(found["text"].tolist(), found["lang"].tolist(), settings)
+    del found
+    wa.give_back()
+    return model
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:

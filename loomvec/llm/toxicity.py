@@ -37,16 +37,20 @@ IDENTITY_TERMS = (
 )
 
 
+# Bytes of sampled texts whose features the driver holds at once.
+TRAINED_AT_ONCE = 1 << 17
+
 # Sizes in bytes of the beginnings of words that are features beside the whole words.
 HEADS = (4, 5, 6, 7, 8)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``toxic_rows`` and ``clean_rows`` bound the labelled rows that training sees."""
+    """``toxic_rows``, ``clean_rows`` and ``total_bytes`` (of text) bound the labelled rows that training sees."""
 
     toxic_rows: int = 2000
     clean_rows: int = 3000
+    total_bytes: int = 64 << 20
     bits: int = 18
     epochs: int = 12
     batch: int = 128
@@ -99,7 +103,7 @@ def train(texts: list[str], toxic: list[int], prior: float | None = None, settin
     column = pa.array(texts, pa.string())
     # Only features whose texts differ clearly from the sample in their share of toxic ones take part.
     seen, bad = np.zeros(size), np.zeros(size)
-    for first, end, data, starts in wa.slices(column):
+    for first, end, data, starts in wa.slices(column, TRAINED_AT_ONCE):
         buckets, rows = features(data, starts, settings.bits)
         seen += np.bincount(buckets, minlength=size)
         bad += np.bincount(buckets, y[first:end][rows], size)
@@ -111,10 +115,10 @@ def train(texts: list[str], toxic: list[int], prior: float | None = None, settin
     terms_at = np.zeros(size, dtype=bool)
     terms_at[list(swap)] = True
     bags: list[np.ndarray] = []
-    for first, end, data, starts in wa.slices(column):
+    for first, end, data, starts in wa.slices(column, TRAINED_AT_ONCE):
         buckets, rows = features(data, starts, settings.bits)
         buckets, rows = buckets[known[buckets]], rows[known[buckets]]
-        bags += np.split(buckets, np.cumsum(np.bincount(rows, minlength=end - first))[:-1])
+        bags += np.split(buckets.astype(np.int32), np.cumsum(np.bincount(rows, minlength=end - first))[:-1])
     weights, square = np.zeros(size), np.full(size, 1e-6)
     bias, bias_square = float(np.log(share / (1 - share))), 1e-6
     for _ in range(settings.epochs if 0 < y.sum() < len(y) else 0):
@@ -183,9 +187,19 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     sample = materialise(known.where(draw < cut), "labelled")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = sample.join(texts, "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    found = materialise(found, "labelled-texts")
+    size = found.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > settings.total_bytes:
+        again = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(1 << 20))
+        found = found.where(again < (settings.total_bytes << 20) // size)
     found = found.orderBy("doc_id", "text").toPandas()
     total = sum(n.values())
-    return train(found["text"].tolist(), found["toxic"].tolist(), n.get(1, 0) / total if total else None, settings)
+    texts_of, toxic = found["text"].tolist(), found["toxic"].tolist()
+    del found
+    model = train(texts_of, toxic, n.get(1, 0) / total if total else None, settings)
+    del texts_of
+    wa.give_back()
+    return model
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

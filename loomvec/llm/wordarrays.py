@@ -9,6 +9,8 @@ is decided by these hashes.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,7 +71,16 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
-def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def give_back() -> None:
+    """Let the process return memory it no longer uses: the driver of a long pipeline fits one model after another."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def slices(column: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, starts)`` of bounded parts; ``starts`` has one entry more than rows."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -82,7 +93,7 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.nd
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        end = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         end = min(n, max(first + 1, end))
         starts = offsets[first : end + 1] - offsets[first]
         yield first, end, data[offsets[first] : offsets[end]], starts
