@@ -6,6 +6,7 @@ import time
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import numpy as np
@@ -23,7 +24,7 @@ EMBEDDED_SCHEMA = (
     "id string, embedding array<float>, status string, error string, attempts int, endpoint string"
 )
 # Columns of request rows (status ``request``); null in all other rows.
-REQUEST_SCHEMA = "request_id bigint, done_at timestamp, latency_ms double, docs int, tokens bigint"
+REQUEST_SCHEMA = "request_id bigint, done_at timestamp, latency_ms double, docs int, tokens bigint, padded bigint"
 _RESULT_FIELDS = [
     ("id", pa.string()),
     ("embedding", pa.list_(pa.float32())),
@@ -38,6 +39,7 @@ _REQUEST_FIELDS = [
     ("latency_ms", pa.float64()),
     ("docs", pa.int32()),
     ("tokens", pa.int64()),
+    ("padded", pa.int64()),
 ]
 _ARROW_SCHEMA = pa.schema(_RESULT_FIELDS)
 _LOGGED_SCHEMA = pa.schema(_RESULT_FIELDS + _REQUEST_FIELDS)
@@ -82,6 +84,57 @@ def _rebatch(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[lis
         yield lists(held)
 
 
+@dataclass(frozen=True)
+class Packing:
+    """Batches of texts of like length, bounded by their padded size.
+
+    A task holds back up to ``buffer_rows`` texts, or ``buffer_bytes`` of them if that is less, sorts them by their estimated
+    tokens and fills batches from the shortest on, until one more text would take a batch, padded to its longest text, beyond
+    ``padded_tokens`` or ``batch_size``. A text that is longer by itself is a batch of its own.
+    """
+
+    padded_tokens: int = 16_384
+    buffer_rows: int = 4096
+    buffer_bytes: int = 32 << 20
+
+
+def _tokens(text: str) -> int:
+    return min(MAX_TOKENS, len(text.split()))
+
+
+def _packed(batches: Iterable[pa.RecordBatch], size: int, packing: Packing) -> Iterator[tuple[list, list]]:
+    """Regroup Arrow batches into lists of at most ``size`` rows of like length; every row comes out once."""
+    held: list[tuple[int, str | None, str]] = []
+    held_bytes = 0
+
+    def full(last: bool) -> Iterator[list[tuple[int, str | None, str]]]:
+        """Batches of what is held, which keeps the batch that is not full unless ``last``."""
+        nonlocal held, held_bytes
+        held.sort(key=lambda row: row[0])
+        at = 0
+        for i, (tokens, _, _) in enumerate(held):
+            if i > at and ((i - at + 1) * max(tokens, 1) > packing.padded_tokens or i - at == size):
+                yield held[at:i]
+                at = i
+        if at == 0 or last:
+            # Nothing was full: one batch goes out all the same, so that the buffer empties.
+            if held[at:]:
+                yield held[at:]
+            at = len(held)
+        held = held[at:]
+        held_bytes = sum(len(text) for _, _, text in held)
+
+    for batch in batches:
+        for id_, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            held.append((_tokens(text), id_, text))
+            held_bytes += len(text)
+            if len(held) >= packing.buffer_rows or held_bytes >= packing.buffer_bytes:
+                for rows in full(last=False):
+                    yield [id_ for _, id_, _ in rows], [text for _, _, text in rows]
+    for rows in full(last=True):
+        yield [id_ for _, id_, _ in rows], [text for _, _, text in rows]
+
+
 def _in_flight(work: Iterable[Callable], limit: int) -> Iterator:
     """Results of ``work`` in order, at most ``limit`` running at a time."""
     if limit <= 1:
@@ -124,8 +177,8 @@ def _logged(batch: pa.RecordBatch, requests: list[tuple]) -> pa.RecordBatch:
     n = batch.num_rows
     empty = [None] * len(requests)
     facts = list(zip(*requests, strict=True))
-    number, done, latency, docs, tokens, error, attempt, endpoint = facts
-    own = [empty, empty, ["request"] * len(requests), error, attempt, endpoint, number, done, latency, docs, tokens]
+    number, done, latency, docs, tokens, padded, error, attempt, endpoint = facts
+    own = [empty, empty, ["request"] * len(requests), error, attempt, endpoint, number, done, latency, docs, tokens, padded]
     columns = []
     for field, values in zip(_LOGGED_SCHEMA, own, strict=True):
         before = batch.column(field.name) if field.name in batch.schema.names else pa.nulls(n, field.type)
@@ -144,6 +197,7 @@ def embed_records(
     partitions: int | None = None,
     normalize: bool = False,
     log_requests: bool = False,
+    packing: Packing | None = None,
 ) -> DataFrame:
     """Embed ``(id, text)`` rows; every input row comes out once, ok or failed.
 
@@ -154,7 +208,8 @@ def embed_records(
     tries all raise, or whose answer does not line up with its texts, is returned
     with ``status = 'failed'`` instead of being lost. ``log_requests`` adds a row with
     ``status = 'request'`` for every try, and the columns of REQUEST_SCHEMA: when it ended, how long
-    it took, its texts and their estimated tokens; ``error`` is set if it failed.
+    it took, its texts, their estimated tokens, and the tokens when all are padded to the longest; ``error`` is set if it failed.
+    ``packing`` sends texts of like length together instead of in the order they come.
     """
     urls = list(endpoints)
 
@@ -167,11 +222,12 @@ def embed_records(
             error, endpoint, requests = None, None, []
 
             def note(attempt: int, started: float, problem: str | None) -> None:
-                tokens = sum(min(MAX_TOKENS, len(text.split())) for text in texts)
+                lengths = [_tokens(text) for text in texts]
                 ended = time.time()
                 key = (task << 33) + number * max_attempts + attempt
                 done = datetime.fromtimestamp(ended, timezone.utc)
-                requests.append((key, done, (ended - started) * 1000, len(ids), tokens, problem, attempt + 1, endpoint))
+                size = (len(ids), sum(lengths), len(ids) * max(lengths))
+                requests.append((key, done, (ended - started) * 1000, *size, problem, attempt + 1, endpoint))
 
             def finished(*outcome) -> pa.RecordBatch:
                 result = _result(ids, *outcome, endpoint)
@@ -201,7 +257,9 @@ def embed_records(
 
         work = (
             lambda number=number, ids=ids, texts=texts: one(number, ids, texts)
-            for number, (ids, texts) in enumerate(_rebatch(batches, batch_size))
+            for number, (ids, texts) in enumerate(
+                _rebatch(batches, batch_size) if packing is None else _packed(batches, batch_size, packing)
+            )
         )
         yield from _in_flight(work, in_flight)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomvec.functions.text import truncate_tokens
 from loomvec.operators import providers
 from loomvec.operators.embed import (
+    Packing,
     dead_letter,
     embed_records,
     embedded_ok,
@@ -27,7 +28,7 @@ from loomvec.plans.catalog.registry import (
     scaled_sql,
     table,
 )
-from loomvec.session import path_exists, scratch_path
+from loomvec.session import materialise, path_exists, scratch_path
 from loomvec.sources.shards import (
     EMBEDDED_TABLE_SCHEMA,
     read_dead_letter,
@@ -213,6 +214,36 @@ def embed_request_log(spark, sf_dir):
     )
 
 
+BUDGET = 4096
+
+_TOKENS_SQL = f"SELECT count(*) AS docs, CAST(sum({estimate_tokens_sql('text')}) AS BIGINT) AS tokens FROM ({CLEAN_DOCUMENTS_SQL})"
+
+
+@query(f"SELECT 'plain' AS batches, docs, tokens, false AS least_padding FROM ({_TOKENS_SQL}) UNION ALL SELECT 'packed', docs, tokens, true FROM ({_TOKENS_SQL})")
+def embed_packed(spark, sf_dir):
+    """Texts in scan order and packed by length, from the requests of both: which sends less padding within the budget."""
+    texts = prepare_texts(documents(spark, sf_dir))
+    sums = []
+    for name, packing in (("plain", None), ("packed", Packing(padded_tokens=BUDGET))):
+        path = scratch_path(spark, name)
+        write_embeddings(embed_records(texts, Hashing, batch_size=32, log_requests=True, packing=packing), path)
+        requests = spark.read.schema(EMBEDDED_TABLE_SCHEMA).parquet(path).where("status = 'request'")
+        within = F.bool_and((F.col("padded") <= BUDGET) | (F.col("docs") == 1))
+        sums.append(requests.agg(
+            F.lit(name).alias("batches"), F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"), F.sum("padded").alias("padded"), within.alias("within")
+        ))
+    both = materialise(sums[0].unionByName(sums[1]), "padding")
+    least = (F.col("padded") == both.agg(F.min("padded")).scalar()) & F.col("within")
+    return both.select("batches", "docs", "tokens", least.alias("least_padding"))
+
+
+@query(f"SELECT id, {rendered_sql('embedding')} AS vector FROM ({_EMBEDDED_SQL})")
+def embed_packed_vectors(spark, sf_dir):
+    """Packed batches, several in flight: every id once, with its own vector."""
+    packing = Packing(padded_tokens=BUDGET, buffer_rows=500)
+    return _shown(embed_records(prepare_texts(documents(spark, sf_dir)), Hashing, batch_size=32, in_flight=4, packing=packing))
+
+
 @query(f"""
     SELECT id, 3 AS attempts, 'ConnectionError: no answer' AS error
     FROM ({CLEAN_DOCUMENTS_SQL}) WHERE {FAILS_SQL} = 4""")

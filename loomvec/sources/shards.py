@@ -18,7 +18,7 @@ from loomvec.session import materialise, scratch_path, session_conf
 
 EMBEDDED_TABLE_SCHEMA = (
     "id string, embedding array<float>, error string, attempts int, endpoint string, request_id bigint, "
-    "done_at timestamp, latency_ms double, docs int, tokens bigint, status string"
+    "done_at timestamp, latency_ms double, docs int, tokens bigint, padded bigint, status string"
 )
 # Both spellings of the id column are read; a file has one of them.
 SHARD_SCHEMA = "id string, _id string, embedding array<float>"

@@ -4,11 +4,12 @@ import time
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loomvec.operators import providers
-from loomvec.operators.embed import dead_letter, embed_records, embedded_ok
+from loomvec.operators.embed import Packing, _packed, _rebatch, dead_letter, embed_records, embedded_ok
 from loomvec.operators.providers import HashingProvider, HttpProvider
 from loomvec.operators.resume import resume_pending
 from loomvec.session import scratch_path
@@ -206,3 +207,49 @@ def test_cleaning_and_embedding_need_no_shuffle(spark):
 
     plan = embed_records(prepare_texts(texts(spark)))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def arrow_batches(lengths, size=7):
+    rows = [(str(i), " ".join(["w"] * n)) for i, n in enumerate(lengths)]
+    for at in range(0, len(rows), size):
+        ids, texts = zip(*rows[at : at + size])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts)], names=["id", "text"])
+
+
+@pytest.mark.parametrize("buffer_rows", [1, 2, 10, 64, 5000])
+@pytest.mark.parametrize("budget", [1, 30, 500])
+def test_packing_sends_every_row_once_within_the_budget(buffer_rows, budget):
+    lengths = [(i * 7919) % 60 for i in range(500)] + [3000, 0, 0]
+    packing = Packing(padded_tokens=budget, buffer_rows=buffer_rows)
+    batches = list(_packed(arrow_batches(lengths), 16, packing))
+    assert sorted(int(i) for ids, _ in batches for i in ids) == list(range(len(lengths)))
+    for ids, found in batches:
+        assert len(ids) == len(found) <= 16
+        assert all(len(text.split()) == lengths[int(i)] for i, text in zip(ids, found))
+        longest = max(min(2048, len(text.split())) for text in found)
+        assert len(ids) == 1 or len(ids) * longest <= budget
+    # A task holds no more than its buffer before a batch goes out.
+    taken = 0
+
+    def counted():
+        nonlocal taken
+        for batch in arrow_batches(lengths, 1):
+            taken += 1
+            yield batch
+
+    sent = 0
+    for ids, _ in _packed(counted(), 16, packing):
+        assert taken - sent <= buffer_rows
+        sent += len(ids)
+
+
+def test_packed_batches_need_less_padding():
+    lengths = [(i * 7919) % 200 for i in range(4000)]
+    padded = lambda batches: sum(len(texts) * max(len(t.split()) for t in texts) for _, texts in batches)
+    plain = padded(_rebatch(arrow_batches(lengths), 32))
+    packed = padded(_packed(arrow_batches(lengths), 32, Packing(buffer_rows=1000)))
+    assert sum(lengths) <= packed < 1.1 * sum(lengths) < 0.7 * plain
+
+
+def test_packing_of_no_rows():
+    assert list(_packed(iter(()), 4, Packing())) == []
