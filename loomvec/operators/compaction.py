@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomvec.operators.batching import assign_chunks
+from loomvec.operators.ordering import with_positions, with_running_sum
 from loomvec.operators.resume import skip_existing_chunks
 from loomvec.session import materialise, session_conf
 from loomvec.sources.shards import (
@@ -36,10 +37,25 @@ class Compaction:
     rejects: DataFrame
 
 
-def plan_compaction(files: DataFrame, files_per_chunk: int = 10_000, first_chunk: int = 0) -> DataFrame:
-    """Number the files by full path and cut the list every ``files_per_chunk``."""
-    chunked = assign_chunks(files, ["path"], files_per_chunk)
-    return chunked.withColumn("chunk", F.col("chunk") + first_chunk)
+def plan_compaction(
+    files: DataFrame, files_per_chunk: int = 10_000, first_chunk: int = 0, chunk_bytes: int | None = None
+) -> DataFrame:
+    """Number the files by full path and cut the list every ``files_per_chunk``, or every ``chunk_bytes``.
+
+    By bytes a file belongs to the stretch of ``chunk_bytes`` it begins in, so a chunk is at most one file larger; a
+    file of several stretches leaves no empty chunks. Sums run over a range sort, whose partitions are summed apart.
+    """
+    if chunk_bytes is None:
+        chunked = assign_chunks(files, ["path"], files_per_chunk)
+        return chunked.withColumn("chunk", F.col("chunk") + first_chunk)
+    summed = with_running_sum(files, [], ["path"], "length", "_upto")
+    # Empty files belong to the stretch before them: they take nothing of a next one.
+    begins = F.col("_upto") - F.col("length")
+    stretch = F.greatest(F.floor((begins - (F.col("length") == 0).cast("int")) / chunk_bytes), F.lit(0))
+    summed = materialise(summed.withColumn("_stretch", stretch).drop("_upto"), "stretches")
+    numbered = with_positions(summed.select("_stretch").distinct(), [], ["_stretch"], "_at")
+    placed = summed.join(materialise(numbered, "chunks"), "_stretch")
+    return placed.withColumn("chunk", F.col("_at") - 1 + first_chunk).drop("_stretch", "_at")
 
 
 def read_manifest(spark: SparkSession, output_dir: str) -> DataFrame:
@@ -143,6 +159,7 @@ def compact(
     target_bytes: int = 1 << 30,
     layout: str = "packed",
     ignore_extra: bool = False,
+    chunk_bytes: int | None = None,
 ) -> Compaction:
     """Rewrite all shards not compacted yet; running again takes up only new files.
 
@@ -151,7 +168,7 @@ def compact(
     which bounds the paths the driver handles at once; a wave's files enter the
     manifest only after its data is committed, and a wave that was cut off is
     written over. ``layout="packed"`` (no shuffle) fills files up to
-    ``target_bytes``; ``layout="chunks"`` keeps one folder per chunk.
+    ``target_bytes``; ``layout="chunks"`` keeps one folder per chunk. With ``chunk_bytes`` chunks are cut by bytes instead of files.
     """
     manifest = read_manifest(spark, output_dir)
     done = manifest.agg(F.max("chunk").alias("chunk"), F.max("wave").alias("wave")).first()
@@ -164,7 +181,7 @@ def compact(
     inspected = materialise(inspect_shards(pending, ignore_extra), "inspected")
     rejects = inspected.where(~F.col("conforms")).select("path", "readable", "columns", "error")
     good = inspected.where("conforms").select("path", "file_path", "length", "rows")
-    plan = materialise(plan_compaction(good, files_per_chunk, first_chunk), "plan")
+    plan = materialise(plan_compaction(good, files_per_chunk, first_chunk, chunk_bytes), "plan")
     totals = plan.agg(
         F.count("*").alias("files"), F.sum("rows").alias("rows"), F.max("chunk").alias("last_chunk")
     ).first()

@@ -1,103 +1,109 @@
-"""Exact percentiles whose largest task does not grow with the largest group."""
+"""Exact percentiles by radix selection: one pass for a histogram, one for the buckets that hold the wanted ranks."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomvec.operators.joins import join_on
-from loomvec.operators.ordering import with_running_sum
 from loomvec.session import materialise
 
+# Buckets of the first pass for each doubling of a value, and of a bucket that is cut again.
+PER_DOUBLING = 64
+PER_BUCKET = 4096
+# A double is at least 2 ** -1074.
+_LOWEST, _HIGHEST = -1080, 1030
+
+
+def _bucket(value: Column) -> Column:
+    """A bucket number that never falls as a double grows; NaN comes last."""
+    size = F.floor((F.least(F.log2(F.abs(value)), F.lit(float(_HIGHEST))) - _LOWEST) * PER_DOUBLING)
+    return F.when(F.isnan(value), F.lit(1 << 40)).when(value > 0, size).when(value < 0, -size).otherwise(0).cast("bigint")
+
+
+def _histogram(placed: DataFrame, groups: Sequence[str], *carried: str) -> DataFrame:
+    """Rows, smallest and largest value of every bucket; combined before the shuffle, and written."""
+    facts = [F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    return materialise(placed.groupBy(*groups).agg(*facts, *[F.first(c).alias(c) for c in carried]), "histogram")
+
+
+def _ranks_in(spots: Column, before: Column, upto: Column) -> Column:
+    """Of ``(spot, rank, n)`` those with a rank from ``before`` up to ``upto``, counted from ``before``."""
+    inside = F.filter(spots, lambda s: (s["rank"] >= before) & (s["rank"] < upto))
+    return F.transform(inside, lambda s: F.struct(s["spot"].alias("spot"), (s["rank"] - before).alias("rank"), s["n"].alias("n")))
+
+
+def _wanted(histogram: DataFrame, within: Sequence[str], bucket: str, spots: Column) -> DataFrame:
+    """The buckets in which a wanted rank lies, with those ranks."""
+    order = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    summed = histogram.withColumn("_upto", F.sum("_n").over(order))
+    held = summed.withColumn("_spots", _ranks_in(spots, F.col("_upto") - F.col("_n"), F.col("_upto"))).drop("_upto")
+    return held.where(F.size("_spots") > 0)
+
+
+def _settled(placed: DataFrame, wanted: DataFrame, groups: list[str], group_rows: int) -> list[DataFrame]:
+    """``(..., _spot, _n, _v)``: the values at the wanted ranks of each bucket, as tables to be stacked."""
+    wanted = materialise(wanted, "wanted")
+
+    def shown(rows: DataFrame, value: str) -> DataFrame:
+        one = rows.select(*groups, F.col(value).alias("_value"), F.explode("_spots").alias("_s"))
+        return one.select(*groups, F.col("_s.spot").alias("_spot"), F.col("_s.n").alias("_n"), F.col("_value").alias("_v"))
+
+    found = [shown(wanted.where("_lo = _hi"), "_lo")]
+    # Few rows: their different values in order, one task a bucket.
+    few = wanted.where(f"_lo <> _hi AND _n <= {group_rows}").select(*groups, "_spots")
+    counted = join_on(placed.select(*groups, "_v"), few, groups).groupBy(*groups, "_v").agg(F.count("*").alias("_c"), F.first("_spots").alias("_spots"))
+    upto = F.sum("_c").over(Window.partitionBy(*groups).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    counted = counted.withColumn("_upto", upto)
+    counted = counted.withColumn("_spots", _ranks_in(F.col("_spots"), F.col("_upto") - F.col("_c"), F.col("_upto")))
+    found.append(shown(counted.where(F.size("_spots") > 0), "_v"))
+    many = wanted.where(f"_lo <> _hi AND _n > {group_rows}")
+    if many.isEmpty():
+        return found
+    # Many rows: the bucket is cut again between its smallest and largest value.
+    inside = join_on(placed.select(*groups, "_v"), many.select(*groups, "_lo", "_hi", "_spots"), groups)
+    finer = f"_b{len(groups)}"
+    share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    inside = materialise(inside.withColumn(finer, F.floor(share * (PER_BUCKET - 1))).drop("_lo", "_hi"), "inside")
+    again = _histogram(inside, [*groups, finer], "_spots")
+    rest = _settled(inside, _wanted(again, groups, finer, F.col("_spots")), [*groups, finer], group_rows)
+    return found + [table.drop(finer) for table in rest]
+
 
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     percentiles: Mapping[str, float],
-    accuracy: int = 20_000,
+    group_rows: int = 1_000_000,
 ) -> DataFrame:
     """Per key the linearly interpolated percentiles of ``value``, and ``n``.
 
-    Two passes. The first finds, per key and percentile, a narrow bracket around
-    the wanted rank from a quantile sketch (rank error at most n / accuracy; the
-    bracket is four times as wide on either side; keys of at most 2 * accuracy values
-    need none). The second counts the values
-    inside the brackets exactly, and everything below them as one number; both
-    are combined before the shuffle. Only bracket values (8 n / accuracy of a key
-    at most) are sorted, and that over all partitions, so no task holds all of a key's. Keys with no
-    value get no row. ``df`` is read once per pass: write it first if it is costly.
+    All keys and percentiles at once. The first pass counts each key's values in buckets of their sign and logarithm, of which there are
+    64 for each doubling; the second looks only at the buckets that hold a wanted rank. Both are
+    combined before the shuffle. A bucket of more than ``group_rows`` rows is cut into 4,096 finer ones first, as often as it takes, so
+    no task orders more rows than that whatever share of them a key has. Keys with no
+    value get no row. ``df`` is read twice: write it first if it is costly.
     """
-    keys = list(keys)
-    names = list(percentiles)
-    # Below this many values a key is counted whole, above it inside brackets. Both are exact; this
-    # only says where a bracket would be no narrower than the key.
-    small = 2 * accuracy
-    margin = 4.0 / accuracy
-    wanted = [float(percentiles[name]) for name in names]
-    lows = [max(0.0, p - margin) for p in wanted]
-    highs = [min(1.0, p + margin) for p in wanted]
-
+    keys, names = list(keys), list(percentiles)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    cuts = F.percentile_approx("_v", [*lows, *highs], accuracy)
-    brackets = rows.groupBy(*keys).agg(F.count("*").alias("n"), cuts.alias("_all_cuts")).select(
-        *keys, "n", F.when(F.col("n") > small, F.col("_all_cuts")).alias("_cuts")
-    )
-    # Written once: the sketch may come out differently when computed again.
-    brackets = materialise(brackets, "brackets")
-
-    if keys:
-        near = join_on(rows, brackets, keys)
-    else:
-        near = rows.select(
-            brackets.select("n").scalar().alias("n"),
-            brackets.select("_cuts").scalar().alias("_cuts"),
-            "_v",
-        )
-    spots = []
-    for i in range(len(names)):
-        from_low = F.coalesce(F.col("_v") >= F.get("_cuts", F.lit(i)), F.lit(True))
-        to_high = F.coalesce(F.col("_v") <= F.get("_cuts", F.lit(len(names) + i)), F.lit(True))
-        spots.append(
-            F.struct(
-                F.lit(i).alias("p"),
-                from_low.alias("inside"),
-                F.when(from_low, F.col("_v")).alias("v"),
-                to_high.alias("keep"),
-            )
-        )
-    counted = (
-        near.select(*keys, "n", F.explode(F.array(*spots)).alias("s"))
-        .where("s.keep")
-        .groupBy(*keys, "n", "s.p", "s.inside", "s.v")
-        .agg(F.count("*").alias("c"))
-    )
-    target = F.get(F.array(*[F.lit(p) for p in wanted]), F.col("p")) * (F.col("n") - 1)
-    # The first value whose running count passes a rank is the value at that rank.
-    ranked = with_running_sum(counted, [*keys, "p"], ["inside", "v"], "c", "upto").withColumn("target", target)
-
-    def at(rank):
-        passed = F.col("upto") > rank
-        return F.struct(
-            F.min(F.when(passed, F.col("inside"))).alias("found"),
-            F.min(F.when(passed & F.col("inside"), F.col("v"))).alias("v"),
-        )
-
-    found = ranked.groupBy(*keys, "p", "n", "target").agg(
-        at(F.floor("target")).alias("a"), at(F.ceil("target")).alias("b")
-    )
-    part = F.col("target") - F.floor("target")
-    exact = F.when(
-        F.col("a.found") & F.col("b.found"),
-        F.col("a.v") * (1 - part) + F.col("b.v") * part,
-    ).otherwise(F.raise_error(F.lit("percentile outside its bracket; raise accuracy")).cast("double"))
-    return (
-        found.withColumn("x", exact)
-        .groupBy(*keys)
-        .agg(
-            F.max("n").alias("n"),
-            *[F.max(F.when(F.col("p") == i, F.col("x"))).alias(name) for i, name in enumerate(names)],
-        )
-    )
+    placed = rows.withColumn("_b", _bucket(F.col("_v")))
+    histogram = _histogram(placed, [*keys, "_b"])
+    n = F.sum("_n").over(Window.partitionBy(*keys))
+    spots = F.array(*[
+        F.struct(F.lit(2 * i + up).alias("spot"), side(F.lit(float(percentiles[name])) * (n - 1)).cast("bigint").alias("rank"), n.alias("n"))
+        for i, name in enumerate(names) for up, side in enumerate((F.floor, F.ceil))
+    ])
+    wanted = _wanted(histogram.withColumn("_every", spots), keys, "_b", F.col("_every")).drop("_every")
+    found = reduce(DataFrame.unionByName, _settled(placed, wanted, [*keys, "_b"], group_rows))
+    at = lambda spot: F.max(F.when(F.col("_spot") == spot, F.col("_v")))
+
+    def between(i: int, name: str) -> Column:
+        target = F.lit(float(percentiles[name])) * (F.max("_n") - 1)
+        part = target - F.floor(target)
+        return F.when(part == 0, at(2 * i)).otherwise(at(2 * i) * (1 - part) + at(2 * i + 1) * part).alias(name)
+
+    return found.groupBy(*keys).agg(F.max("_n").alias("n"), *[between(i, name) for i, name in enumerate(names)])

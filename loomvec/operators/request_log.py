@@ -26,6 +26,9 @@ RUN = ("trial_no", "batch", "conc")
 MIN_SECONDS = 1e-6
 ROLLING_ROWS = 2000
 
+# Requests of one run and second that one task puts in order; more are range-sorted over all partitions.
+ROWS_IN_A_TASK = 1_000_000
+
 
 def seconds(ts: Column) -> Column:
     return F.unix_micros(ts) / 1e6
@@ -88,7 +91,7 @@ def warmup_cuts(
     )
     before = F.col("_upto") - F.col("requests")
     cut = running.where((F.col("_upto") > F.col("_trim")) & (before <= F.col("_trim")))
-    return cut.select(*keys, F.col("second").alias("_second"), (F.col("_trim") - before).alias("_drop"))
+    return cut.select(*keys, F.col("second").alias("_second"), (F.col("_trim") - before).alias("_drop"), F.col("requests").alias("_held"))
 
 
 def warmup_trim(
@@ -111,9 +114,11 @@ def warmup_trim(
     second = F.date_trunc("second", "done_at")
     is_cut = second == F.col("_second")
     whole = marked.where((second > F.col("_second")) | (is_cut & (F.col("_drop") == 0)))
-    split = with_positions(
-        marked.where(is_cut & (F.col("_drop") > 0)).drop("_second"), keys, ["done_at", "request_id"], "_at"
-    )
+    split, order = marked.where(is_cut & (F.col("_drop") > 0)).drop("_second"), ["done_at", "request_id"]
+    if (cuts.agg(F.max("_held")).first()[0] or 0) <= ROWS_IN_A_TASK:
+        split = split.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    else:
+        split = with_positions(split, keys, order, "_at")
     kept = split.where(F.col("_at") > F.col("_drop"))
     return whole.select(*log.columns).unionByName(kept.select(*log.columns))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomvec.operators import compaction, verify
 from loomvec.plans.catalog.registry import query, rendered, rendered_sql, table
-from loomvec.session import file_system, scratch_path
+from loomvec.session import file_system, materialise, scratch_path
 from loomvec.sources import shards
 
 _ROWS_PER_FILE = 10_000
@@ -122,6 +122,38 @@ def plan_compaction(spark, sf_dir):
     )
 
 
+@query("""
+    SELECT CAST(sum(files) AS BIGINT) AS files, true AS within, true AS in_path_order, true AS fewer_than_by_count FROM (
+      SELECT ceil(count(*) / 16) AS files FROM embeddings GROUP BY label)""")
+def plan_by_bytes(spark, sf_dir):
+    """Chunks of eight average files by bytes, beside chunks of four files."""
+    path = scratch_path(spark, "files")
+    rows = _vectors(spark, sf_dir).repartition("label")
+    rows.write.option("maxRecordsPerFile", 16).partitionBy("label").parquet(path)
+    files = materialise(shards.list_shards(spark, f"{path}/label=*"), "listing")
+    sizes = files.agg(F.avg("length").alias("average"), F.max("length").alias("largest")).first()
+    target = int(8 * sizes.average)
+    chunks = compaction.plan_compaction(files, chunk_bytes=target).groupBy("chunk").agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes"), F.min("path").alias("first"), F.max("path").alias("last")
+    )
+    by_count = compaction.plan_compaction(files, files_per_chunk=4).agg(F.max("chunk") + 1).scalar()
+    after = chunks.select((F.col("chunk") - 1).alias("chunk"), F.col("first").alias("next_first"))
+    checked = chunks.join(after, "chunk", "left")
+    return checked.agg(
+        F.sum("files").alias("files"),
+        F.bool_and(F.col("bytes") <= target + sizes.largest).alias("within"),
+        F.bool_and(F.coalesce("next_first", F.lit("~")) > F.col("last")).alias("in_path_order"),
+        ((F.max("chunk") == F.count("*") - 1) & (F.count("*") < F.max(by_count))).alias("fewer_than_by_count"),
+    )
+
+
+@query(_ALL_SQL)
+def consolidate_by_bytes(spark, sf_dir):
+    output = scratch_path(spark, "consolidated")
+    compaction.compact(spark, _shard_dirs(spark, sf_dir), output, layout="chunks", chunk_bytes=50_000)
+    return _shown(compaction.read_consolidated(spark, output))
+
+
 @query(_ALL_SQL)
 def consolidate(spark, sf_dir):
     output = scratch_path(spark, "consolidated")

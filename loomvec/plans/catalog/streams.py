@@ -18,7 +18,7 @@ from loomvec.plans.catalog.registry import (
 from loomvec.plans.catalog.requests import LOG_SQL, ROLLING_TICKS_SQL, TICKS_SQL, log
 from loomvec.session import scratch_path
 from loomvec.sources.shards import EMBEDDED_TABLE_SCHEMA, read_embeddings, write_embeddings
-from loomvec.streaming import records, resume, rolling, throughput
+from loomvec.streaming import progress, records, resume, rolling, throughput
 
 
 @query(f"SELECT id, {rendered_sql('embedding')} AS vector FROM ({hashed_sql(CLEAN_DOCUMENTS_SQL, DIMS)})")
@@ -189,3 +189,30 @@ def retried_records(spark, sf_dir):
         F.count("*").alias("tried"), F.max((F.col("status") == "ok").cast("int")).alias("ok")
     )
     return tries.where("tried > 1 AND ok = 1").select("id", "tried")
+
+
+@query(f"SELECT count(*) AS processed, true AS every_batch_told, true AS rates_hold FROM ({CLEAN_DOCUMENTS_SQL})")
+def stream_progress(spark, sf_dir):
+    """What a running stream told a listener, added up, beside what it wrote."""
+    base = scratch_path(spark, "progress")
+    line = F.to_json(F.struct(F.col("doc_id").alias("_id"), "text"))
+    lines = table(spark, sf_dir, "documents").select(line.alias("value"), (F.col("doc_id") % 4).alias("file"))
+    lines.repartition("file").write.partitionBy("file").text(f"{base}/in")
+    told = progress.Progress()
+    spark.streams.addListener(told)
+    try:
+        stream = records.record_stream(spark, f"{base}/in/*", max_files=1)
+        running = records.embed_stream(stream, f"{base}/out", f"{base}/checkpoint", Hashing)
+        running.awaitTermination()
+        progress.await_news(told, running)
+    finally:
+        spark.streams.removeListener(told)
+    told.save(spark, f"{base}/progress")
+    rates = progress.progress_rates(spark.read.schema(progress.PROGRESS_SCHEMA).parquet(f"{base}/progress"))
+    last = rates.agg(
+        F.sum("ok").alias("processed"),
+        (F.count_if(F.col("rows") > 0) == 4).alias("every_batch_told"),
+        (F.bool_and((F.col("docs_s") >= 0) & (F.col("avg_docs_s") >= 0)) & (F.max("processed") == F.sum("ok"))).alias("rates_hold"),
+    )
+    written = read_embeddings(spark, f"{base}/out").agg(F.count("*").alias("written"))
+    return last.join(F.broadcast(written), F.col("processed") == F.col("written")).drop("written")

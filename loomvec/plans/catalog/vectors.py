@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from loomvec.functions import vectors
 from loomvec.plans.catalog.registry import query, rendered, rendered_sql, scaled_sql, table
+from loomvec.session import scratch_path
+from loomvec.sources import payloads
 
 
 @query(f"""
@@ -74,3 +76,25 @@ def vector_json(spark, sf_dir):
         rendered(F.col("s.embedding")).alias("short_vector"),
         (F.length("short") < F.length("full")).alias("short_payload_is_smaller"),
     )
+
+
+@query(f"SELECT CAST(vec_id AS VARCHAR) AS id, {rendered_sql('embedding')} AS vector, true AS within FROM embeddings")
+def upload_payloads(spark, sf_dir):
+    """Payload files read back: every vector, and no file above the bound."""
+    path, most = scratch_path(spark, "payloads"), 20_000
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    payloads.write_payloads(payloads.payloads(rows, most_bytes=most), path)
+    points = payloads.read_payloads(spark, path)
+    return points.select("id", rendered(F.col("embedding")).alias("vector"), (F.col("length") <= most).alias("within"))
+
+
+@query("SELECT count(*) AS points, CAST(ceil(count(*) / 50) AS BIGINT) AS files FROM embeddings")
+def upload_stream(spark, sf_dir):
+    """A stream of vectors into payloads of fifty points; one file at a time, written by one task."""
+    base = scratch_path(spark, "payload-stream")
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("id"), "embedding")
+    rows.coalesce(1).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+    made = payloads.payloads(stream.coalesce(1), most_points=50)
+    payloads.payload_stream(made, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return payloads.read_payloads(spark, f"{base}/out").agg(F.count("*").alias("points"), F.count_distinct("file_path").alias("files"))

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loomvec.operators.embed import embed_records, prepare_texts
 from loomvec.operators.providers import HashingProvider, Provider
 from loomvec.sources.records import judge_lines, records_of
+from loomvec.streaming.progress import counted
 
 
 def record_stream(
@@ -34,9 +35,10 @@ def embed_stream(
     """Embed a record stream into Parquet under ``status=ok`` and ``status=failed``.
 
     A restart with the same checkpoint goes on after the last committed batch; the
-    file sink makes each batch's rows visible exactly once.
+    file sink makes each batch's rows visible exactly once. Micro-batches report their ok and failed rows to listeners (see
+    :mod:`loomvec.streaming.progress`).
     """
-    embedded = embed_records(prepare_texts(records, clean), provider, **embed_options)
+    embedded = counted(embed_records(prepare_texts(records, clean), provider, **embed_options))
     writer = (
         embedded.writeStream.format("parquet")
         .outputMode("append")

@@ -127,6 +127,18 @@ def test_plan_follows_the_path_order(spark, folders):
     assert [row.chunk for row in plan] == [10 + i // 4 for i in range(14)]
 
 
+def test_chunks_by_bytes(spark):
+    sizes = [10, 0, 90, 500, 0, 1, 99, 100, 100, 30, 30, 30, 30, 0]
+    files = spark.createDataFrame([(f"p{i:02}", n) for i, n in enumerate(sizes)], "path string, length long").repartition(3)
+    plan = sorted((r.path, r.chunk) for r in compaction.plan_compaction(files, chunk_bytes=100, first_chunk=5).collect())
+    chunks = [chunk for _, chunk in plan]
+    assert chunks == sorted(chunks) and sorted(set(chunks)) == list(range(5, 5 + len(set(chunks))))
+    for chunk in set(chunks):
+        held = [n for n, c in zip(sizes, chunks) if c == chunk]
+        assert sum(held) < 100 + max(held)
+    assert compaction.plan_compaction(files.limit(0), chunk_bytes=100).count() == 0
+
+
 def test_shards_read_as_a_bag(spark, folders):
     a = folders[0]
     twice = shards.read_shards(spark, a, a, skip_bad=True)

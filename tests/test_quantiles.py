@@ -5,15 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomvec.operators.ordering import with_running_sum
-from loomvec.operators.quantiles import exact_percentiles
+from loomvec.operators.quantiles import _bucket, exact_percentiles
 
 PERCENTILES = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
 
-def check(spark, groups, accuracy):
+def check(spark, groups, group_rows):
     rows = [(key, float(v)) for key, values in groups.items() for v in values]
     frame = spark.createDataFrame(rows, "k string, v double").repartition(6)
-    found = {row.k: row for row in exact_percentiles(frame, ["k"], "v", PERCENTILES, accuracy).collect()}
+    found = {row.k: row for row in exact_percentiles(frame, ["k"], "v", PERCENTILES, group_rows).collect()}
     assert set(found) == set(groups)
     for key, values in groups.items():
         assert found[key].n == len(values)
@@ -21,8 +21,8 @@ def check(spark, groups, accuracy):
             assert found[key][name] == pytest.approx(np.percentile(values, p * 100), abs=1e-9), (key, name)
 
 
-@pytest.mark.parametrize("accuracy", [100, 400, 20_000])
-def test_equal_to_numpy(spark, accuracy):
+@pytest.mark.parametrize("group_rows", [1, 20, 400, 1_000_000])
+def test_equal_to_numpy(spark, group_rows):
     rng = np.random.default_rng(1)
     check(
         spark,
@@ -33,8 +33,10 @@ def test_equal_to_numpy(spark, accuracy):
             "two": [1.0, 2.0],
             "one": [3.0],
             "negative": -rng.exponential(size=500),
+            "wide": rng.normal(size=800) * 10.0 ** rng.integers(-300, 300, 800),
+            "tiny": [5e-324, 1e-323, -5e-324, 0.0, -0.0, 2.0],
         },
-        accuracy,
+        group_rows,
     )
 
 
@@ -43,9 +45,9 @@ def test_many_small_sizes(spark):
     check(spark, {str(n): rng.normal(size=n) for n in range(1, 60)}, 10)
 
 
-def test_only_values_near_the_wanted_ranks_are_shuffled(spark):
+def test_a_hot_key_is_cut_until_its_buckets_are_small(spark):
     frame = spark.range(40_000).select(F.lit("hot").alias("k"), F.rand(3).alias("v"))
-    found = exact_percentiles(frame, ["k"], "v", {"p50": 0.5}, accuracy=1000)
+    found = exact_percentiles(frame, ["k"], "v", {"p50": 0.5}, group_rows=1000)
     wanted = frame.agg(F.percentile("v", F.lit(0.5))).first()[0]
     assert found.first().p50 == pytest.approx(wanted)
 
@@ -67,3 +69,22 @@ def test_without_keys_and_without_rows(spark):
     assert exact_percentiles(frame, [], "v", {"p50": 0.5}).first().p50 == 50.0
     assert exact_percentiles(frame.where("v < 0"), [], "v", {"p50": 0.5}).first().p50 is None
     assert exact_percentiles(frame.where("v < 0").withColumn("k", F.lit(1)), ["k"], "v", {"p50": 0.5}).count() == 0
+
+
+def test_infinite_values_and_nan_come_last(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", x) for x in (nan, inf, -inf, 1.0, nan, 3.0, -2.0)] + [("b", nan), ("c", None), (None, 1.0), (None, 2.0)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    found = {r.k: r for r in exact_percentiles(frame, ["k"], "v", {"lo": 0.0, "mid": 0.5, "hi": 1.0}).collect()}
+    assert set(found) == {"a", "b", None}
+    assert (found["a"].n, found["a"].lo, found["a"].mid) == (7, -inf, 3.0) and np.isnan(found["a"].hi)
+    assert np.isnan(found["b"].mid)
+    assert (found[None].lo, found[None].mid, found[None].hi) == (1.0, 1.5, 2.0)
+
+
+def test_buckets_never_fall_as_values_grow(spark):
+    rng = np.random.default_rng(9)
+    values = np.concatenate([rng.normal(size=5000) * 10.0 ** rng.integers(-320, 308, 5000), 2.0 ** np.arange(-1074, 1024, dtype=float), [0.0]])
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", _bucket(F.col("v")).alias("b"))
+    rows = sorted(frame.collect(), key=lambda r: r.v)
+    assert all(x.b <= y.b for x, y in zip(rows, rows[1:]))
