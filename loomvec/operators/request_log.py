@@ -26,6 +26,9 @@ RUN = ("trial_no", "batch", "conc")
 MIN_SECONDS = 1e-6
 ROLLING_ROWS = 2000
 
+# Idle ticks that are made in one go.
+TICKS_AT_ONCE = 10_000
+
 # Requests of one run and second that one task puts in order; more are range-sorted over all partitions.
 ROWS_IN_A_TASK = 1_000_000
 
@@ -223,15 +226,14 @@ def interval_rate(
     every_secs: int = 5,
     keys: Sequence[str] = RUN,
     fill: bool = True,
-    longest_gap: int = 10_000,
 ) -> DataFrame:
     """Docs and tokens per second for each tick of a run, and the average so far.
 
     Ticks are ``every_secs`` long and aligned to the clock; rates divide by the part of a tick that lies
     inside the run (from its first request's start to its last one's end), averages by the time since that start.
-    ``fill`` gives ticks without requests a row with rate 0, unless more than ``longest_gap`` of them follow
-    each other, as after a stray time stamp; ``idle_after`` counts those left out. Requests are summed per tick
-    before anything is ordered, so windows run over ticks, not over requests.
+    ``fill`` gives every tick without requests a row with rate 0, however many follow each other. Requests are summed per tick
+    before anything is ordered, so windows run over ticks with requests only; idle ticks are
+    made from the tick before them afterwards, a bounded number at a time.
     """
     keys = list(keys)
     width = every_secs * 1_000_000
@@ -250,15 +252,16 @@ def interval_rate(
         *keys, "_slot", "docs", "tokens", "errors", F.min("_began").over(whole).alias("_began"),
         F.max("_ended").over(whole).alias("_ended"), F.min("_slot").over(whole).alias("_first"), idle.alias("_idle"),
     )
-    filled = (F.col("_idle") <= longest_gap) & F.lit(fill)
-    ticks = ticks.withColumn("_tick", F.explode(F.sequence(F.col("_slot"), F.col("_slot") + F.when(filled, F.col("_idle")).otherwise(0))))
-    own = F.col("_tick") == F.col("_slot")
-    ticks = ticks.select(
-        *keys, "_began", "_ended", "_first", F.col("_tick").alias("_slot"),
-        *[F.when(own, F.col(c)).otherwise(F.lit(0)).alias(c) for c in ("docs", "tokens", "errors")],
-        F.when(filled, 0).otherwise(F.col("_idle")).cast("bigint").alias("idle_after"),
-    )
-    upto = in_run.rowsBetween(Window.unboundedPreceding, 0)
+    ticks = ticks.withColumn("total_docs", F.sum("docs").over(in_run.rowsBetween(Window.unboundedPreceding, 0)))
+    if fill:
+        ticks = ticks.withColumn("_from", F.explode(F.sequence(F.col("_slot"), F.col("_slot") + F.col("_idle"), F.lit(TICKS_AT_ONCE))))
+        last = F.least(F.col("_slot") + F.col("_idle"), F.col("_from") + TICKS_AT_ONCE - 1)
+        ticks = ticks.withColumn("_tick", F.explode(F.sequence(F.col("_from"), last)))
+        own = F.col("_tick") == F.col("_slot")
+        ticks = ticks.select(
+            *keys, "_began", "_ended", "_first", "total_docs", F.col("_tick").alias("_slot"),
+            *[F.when(own, F.col(c)).otherwise(F.lit(0)).alias(c) for c in ("docs", "tokens", "errors")],
+        )
     seen_to = F.least((F.col("_slot") + 1) * every_secs, "_ended")
     seen_from = F.when(F.col("_slot") == F.col("_first"), F.col("_began")).otherwise(F.col("_slot") * every_secs)
     return ticks.select(
@@ -269,7 +272,6 @@ def interval_rate(
         "errors",
         per_second(F.col("docs"), seen_to - seen_from).alias("docs_s"),
         per_second(F.col("tokens"), seen_to - seen_from).alias("toks_s"),
-        F.sum("docs").over(upto).alias("total_docs"),
-        per_second(F.sum("docs").over(upto), seen_to - F.col("_began")).alias("avg_docs_s"),
-        "idle_after",
+        "total_docs",
+        per_second(F.col("total_docs"), seen_to - F.col("_began")).alias("avg_docs_s"),
     )

@@ -44,7 +44,9 @@ def trimmed(frame, warmup, trial):
 
 
 @pytest.mark.parametrize(("warmup", "trial"), [(3.0, 20.0), (0.0, 20.0), (15.0, 20.0), (0.001, 20.0)])
-def test_warmup_trim(spark, warmup, trial):
+@pytest.mark.parametrize("rows_in_a_task", [0, 1_000_000])
+def test_warmup_trim(spark, monkeypatch, warmup, trial, rows_in_a_task):
+    monkeypatch.setattr(request_log, "ROWS_IN_A_TASK", rows_in_a_task)
     frame, rows = log(spark)
     kept = request_log.warmup_trim(rows, warmup, trial, KEYS)
     assert sorted(kept.columns) == sorted(rows.columns)
@@ -129,10 +131,15 @@ def test_rates_use_real_time_around_a_tick(spark):
     assert ticks[1].docs_s == pytest.approx(8 / 0.2)
 
 
-def test_a_stray_time_stamp_does_not_fill_years(spark):
-    ticks = request_log.interval_rate(requests(spark, -1e9, 0, 12), 5, KEYS, longest_gap=100).orderBy("tick_start").collect()
-    assert [row.docs for row in ticks] == [8, 8, 0, 8]
-    assert [row.idle_after for row in ticks] == [199_999_999, 0, 0, 0]
+@pytest.mark.parametrize("at_once", [7, 10_000])
+def test_long_idle_times_are_filled_without_gaps(spark, monkeypatch, at_once):
+    monkeypatch.setattr(request_log, "TICKS_AT_ONCE", at_once)
+    ticks = request_log.interval_rate(requests(spark, -250_000, 0, 12), 5, KEYS)
+    facts = ticks.agg(F.count("*"), F.min("tick_start"), F.max("tick_start"), F.sum("docs"), F.count_if(F.col("docs") > 0), F.count_distinct("tick_start")).first()
+    assert tuple(facts) == (50_003, START - dt.timedelta(seconds=250_000), START + dt.timedelta(seconds=10), 24, 3, 50_003)
+    assert ticks.where("docs = 0 AND tick_start < timestamp '2024-01-01'").agg(F.max("total_docs")).first()[0] == 8
+    # A stray time stamp years away costs no memory: rows are made as they are read.
+    assert request_log.interval_rate(requests(spark, -1e9, 0), 5, KEYS).limit(20_000).count() == 20_000
 
 
 def test_totals_and_summary(spark):
