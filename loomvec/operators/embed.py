@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -12,6 +13,7 @@ from datetime import datetime, timezone
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,6 +152,26 @@ def _in_flight(work: Iterable[Callable], limit: int) -> Iterator:
             yield running.popleft().result()
 
 
+def _bounded(rows: DataFrame, open_requests: int, in_flight: int) -> tuple[DataFrame, ResourceProfile | None]:
+    """``rows`` and a resource profile under which at most ``open_requests // in_flight`` embedding tasks run at a time.
+
+    Where ``spark.executor.instances`` and ``spark.executor.cores`` tell the slots of a cluster of fixed size, every task of the stage asks for so
+    many cores that no more tasks fit; tasks stay as small as the scan made them. Elsewhere, as in local mode, the scan's
+    splits are put together into that many tasks, without a shuffle.
+    """
+    if open_requests < in_flight:
+        raise ValueError("a bound on open requests below those of one task")
+    tasks = open_requests // in_flight
+    context = rows.sparkSession.sparkContext
+    conf = context.getConf()
+    executors, cores = (int(conf.get(f"spark.executor.{name}", "0")) for name in ("instances", "cores"))
+    moving = conf.get("spark.dynamicAllocation.enabled", "false") == "true"
+    if re.fullmatch(r"local(\[.*\])?", context.master) or moving or not executors or not cores or tasks < executors:
+        return rows.coalesce(tasks), None
+    cpus = -(-cores // min(cores, tasks // executors))
+    return rows, ResourceProfileBuilder().require(TaskResourceRequests().cpus(cpus)).build
+
+
 def _vector_column(vectors, n: int) -> pa.Array:
     if len(vectors) != n:
         raise ValueError(f"{len(vectors)} vectors for {n} texts")
@@ -198,6 +220,7 @@ def embed_records(
     normalize: bool = False,
     log_requests: bool = False,
     packing: Packing | None = None,
+    open_requests: int | None = None,
 ) -> DataFrame:
     """Embed ``(id, text)`` rows; every input row comes out once, ok or failed.
 
@@ -209,6 +232,7 @@ def embed_records(
     with ``status = 'failed'`` instead of being lost. ``log_requests`` adds a row with
     ``status = 'request'`` for every try, and the columns of REQUEST_SCHEMA: when it ended, how long
     it took, its texts, their estimated tokens, and the tokens when all are padded to the longest; ``error`` is set if it failed.
+    ``open_requests`` bounds the requests that all tasks of the run have open together (speculative copies of tasks aside).
     ``packing`` sends texts of like length together instead of in the order they come.
     """
     urls = list(endpoints)
@@ -266,7 +290,9 @@ def embed_records(
     rows = records.select(F.col("id").cast("string").alias("id"), "text")
     if partitions:
         rows = rows.repartition(partitions)
-    embedded = rows.mapInArrow(run, f"{EMBEDDED_SCHEMA}, {REQUEST_SCHEMA}" if log_requests else EMBEDDED_SCHEMA)
+    rows, profile = (rows, None) if open_requests is None else _bounded(rows, open_requests, in_flight)
+    schema = f"{EMBEDDED_SCHEMA}, {REQUEST_SCHEMA}" if log_requests else EMBEDDED_SCHEMA
+    embedded = rows.mapInArrow(run, schema, profile=profile)
     if normalize:
         embedded = embedded.withColumn("embedding", l2_normalize(F.col("embedding")))
     return embedded

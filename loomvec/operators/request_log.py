@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomvec.operators.joins import join_on
-from loomvec.operators.ordering import with_positions
+from loomvec.operators.ordering import with_positions, with_running_sum
 from loomvec.operators.quantiles import exact_percentiles
 from loomvec.session import materialise
 
@@ -275,3 +275,19 @@ def interval_rate(
         "total_docs",
         per_second(F.col("total_docs"), seen_to - F.col("_began")).alias("avg_docs_s"),
     )
+
+
+def most_open(requests: DataFrame) -> DataFrame:
+    """``(most_open)``: how many requests of a log were open at a time at most.
+
+    A request is open from its start to its end; ends count before starts at the same microsecond. Running sums go over a range
+    sort of all starts and ends.
+    """
+    ended = F.unix_micros("done_at")
+    # One microsecond on either side is the clock's rounding.
+    started = F.least((ended - F.col("latency_ms") * 1000).cast("bigint") + 2, ended)
+    moments = requests.select(F.explode(F.array(
+        F.struct(started.alias("at"), F.lit(1).alias("step")), F.struct(ended.alias("at"), F.lit(-1).alias("step"))
+    )).alias("m")).select("m.*")
+    opened = with_running_sum(moments, [], ["at", "step"], "step", "open")
+    return opened.agg(F.coalesce(F.max("open"), F.lit(0)).cast("bigint").alias("most_open"))

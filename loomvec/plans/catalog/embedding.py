@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from loomvec.functions.text import truncate_tokens
-from loomvec.operators import providers
+from loomvec.operators import providers, request_log
 from loomvec.operators.embed import (
     Packing,
     dead_letter,
@@ -214,6 +214,18 @@ def embed_request_log(spark, sf_dir):
     )
 
 
+@query(f"SELECT count(*) AS docs, true AS within FROM ({CLEAN_DOCUMENTS_SQL})")
+def embed_open_requests(spark, sf_dir):
+    """A run of many tasks with at most six requests open together, from the times in its request log."""
+    texts = prepare_texts(documents(spark, sf_dir)).repartition(24)
+    path = scratch_path(spark, "bounded")
+    bounded = embed_records(texts, Hashing, batch_size=8, in_flight=2, open_requests=6, log_requests=True)
+    write_embeddings(bounded, path)
+    requests = spark.read.schema(EMBEDDED_TABLE_SCHEMA).parquet(path).where("status = 'request'")
+    most = request_log.most_open(requests)
+    return requests.agg(F.sum("docs").alias("docs")).join(F.broadcast(most)).select("docs", (F.col("most_open") <= 6).alias("within"))
+
+
 BUDGET = 4096
 
 _TOKENS_SQL = f"SELECT count(*) AS docs, CAST(sum({estimate_tokens_sql('text')}) AS BIGINT) AS tokens FROM ({CLEAN_DOCUMENTS_SQL})"

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 import time
 from functools import partial
 
@@ -13,7 +16,7 @@ from loomvec.operators.embed import Packing, _packed, _rebatch, dead_letter, emb
 from loomvec.operators.providers import HashingProvider, HttpProvider
 from loomvec.operators.resume import resume_pending
 from loomvec.session import scratch_path
-from loomvec.operators.request_log import trial_metrics
+from loomvec.operators.request_log import most_open, trial_metrics
 from loomvec.sources.shards import read_dead_letter, read_embeddings, read_request_log, write_embeddings
 
 
@@ -253,3 +256,66 @@ def test_packed_batches_need_less_padding():
 
 def test_packing_of_no_rows():
     assert list(_packed(iter(()), 4, Packing())) == []
+
+
+class Slow:
+    def embed(self, batch, endpoint):
+        time.sleep(0.01)
+        return [[1.0]] * len(batch)
+
+
+@pytest.mark.parametrize("bound, in_flight", [(1, 1), (2, 1), (4, 2), (7, 3)])
+def test_open_requests_of_all_tasks_stay_within_the_bound(spark, tmp_path, bound, in_flight):
+    rows = texts(spark, 400, 12)
+    embedded = embed_records(rows, Slow, batch_size=5, in_flight=in_flight, open_requests=bound, log_requests=True)
+    write_embeddings(embedded, str(tmp_path))
+    log = read_request_log(spark, str(tmp_path), 5, in_flight)
+    assert log.agg(F.sum("docs")).first()[0] == 400
+    most = most_open(log).first().most_open
+    assert 1 <= most <= bound
+    if bound == 4:
+        free = embed_records(rows, Slow, batch_size=5, in_flight=3, log_requests=True)
+        write_embeddings(free, str(tmp_path / "free"))
+        assert most_open(read_request_log(spark, str(tmp_path / "free"), 5, 3)).first().most_open > 4
+
+
+def test_a_bound_below_one_task_is_an_error(spark):
+    with pytest.raises(ValueError):
+        embed_records(texts(spark), Slow, in_flight=4, open_requests=3)
+
+
+CLUSTER = """
+import sys
+sys.path.insert(0, {root!r})
+import time
+from pyspark import cloudpickle
+from loomvec.session import build_session
+from loomvec.operators.embed import embed_records
+from loomvec.operators.request_log import most_open
+from loomvec.sources.shards import read_request_log, write_embeddings
+from pyspark.sql import functions as F
+class Slow:
+    def embed(self, batch, endpoint):
+        time.sleep(0.02)
+        return [[1.0]] * len(batch)
+spark = build_session("slots", master="local-cluster[2,2,1024]", **{{
+    "spark.executor.instances": "2", "spark.executor.cores": "2", "spark.executor.memory": "900m", "spark.ui.enabled": "false",
+    "spark.checkpoint.dir": {folder!r}, "spark.driver.host": "127.0.0.1"}})
+rows = spark.range(0, 240, 1, 12).select(F.col("id").cast("string").alias("id"), F.lit("text").alias("text"))
+for name, bound in (("free", None), ("bound", 2)):
+    out = {folder!r} + "/" + name
+    write_embeddings(embed_records(rows, Slow, batch_size=4, open_requests=bound, log_requests=True), out)
+    log = read_request_log(spark, out, 4, 1)
+    print(name, log.agg(F.sum("docs")).first()[0], most_open(log).first().most_open, log.rdd.getNumPartitions() > 2)
+spark.stop()
+"""
+
+
+def test_tasks_take_more_cores_on_a_cluster_of_known_size(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = CLUSTER.format(root=root, folder=str(tmp_path))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    (_, rows, free, _), (_, bounded_rows, bound, many) = [line.split() for line in done.stdout.splitlines() if line.startswith(("free", "bound"))]
+    assert rows == bounded_rows == "240" and int(bound) <= 2 < int(free)
+    assert many == "True"  # the tasks were not put together
