@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -28,6 +27,7 @@ from loomvec.plans.catalog.registry import (
     scaled_sql,
     table,
 )
+from loomvec.plans.catalog.stand_ins import DIMS, Answering, Hashing, SomeAnswersShort, SomeTextsFail
 from loomvec.session import materialise, path_exists, scratch_path
 from loomvec.sources.shards import (
     EMBEDDED_TABLE_SCHEMA,
@@ -37,55 +37,9 @@ from loomvec.sources.shards import (
     write_embeddings,
 )
 
-DIMS = 16
-Hashing = partial(providers.HashingProvider, DIMS)
-
 _EMBEDDED_SQL = hashed_sql(CLEAN_DOCUMENTS_SQL, DIMS)
 
 
-class SomeTextsFail:
-    """Hashing that raises for a text's first tries, as often as its MD5 says (0 to 4)."""
-
-    def __init__(self):
-        self.inner = Hashing()
-        self.tries: dict[str, int] = {}
-
-    def embed(self, texts, endpoint=None):
-        key = "\n".join(texts)
-        # A batch gets three tries; copies of it start over.
-        tried = self.tries[key] = self.tries.get(key, 0) % 3 + 1
-        if tried <= int(hashlib.md5(key.encode()).hexdigest()[0], 16) % 5:
-            raise ConnectionError("no answer")
-        del self.tries[key]
-        return self.inner.embed(texts)
-
-
-class SomeAnswersShort:
-    """Hashing that leaves out the vector of texts whose MD5 starts with an even digit."""
-
-    def __init__(self):
-        self.inner = Hashing()
-
-    def embed(self, texts, endpoint=None):
-        vectors = self.inner.embed(texts)
-        kept = [i for i, t in enumerate(texts) if int(hashlib.md5(t.encode()).hexdigest()[0], 16) % 2]
-        return vectors[kept]
-
-
-class Answering:
-    """Stands in for the network: answers a request body in one of the response shapes."""
-
-    def __init__(self, shape: str):
-        self.shape = shape
-        self.inner = Hashing()
-
-    def __call__(self, url, body, headers, timeout):
-        vectors = self.inner.embed(body["inputs"] if "inputs" in body else body["text"]).tolist()
-        if self.shape == "nested":
-            return [[v] for v in vectors]
-        return {"embeddings": vectors} if self.shape == "keyed" else vectors
-
-
 def _service(shape, payload, token=None):
     return providers.HttpProvider(payload, token=token, post=Answering(shape))
 

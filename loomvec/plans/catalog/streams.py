@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomvec.operators.embed import embed_records, prepare_texts
-from loomvec.plans.catalog.embedding import DIMS, FAILS_SQL, Hashing, SomeTextsFail
+from loomvec.plans.catalog.embedding import FAILS_SQL
 from loomvec.plans.catalog.registry import (
     CLEAN_DOCUMENTS_SQL,
     documents,
@@ -16,6 +16,7 @@ from loomvec.plans.catalog.registry import (
     table,
 )
 from loomvec.plans.catalog.requests import LOG_SQL, ROLLING_TICKS_SQL, TICKS_SQL, log
+from loomvec.plans.catalog.stand_ins import DIMS, Hashing, SomeTextsFail
 from loomvec.session import scratch_path
 from loomvec.sources.shards import EMBEDDED_TABLE_SCHEMA, read_embeddings, write_embeddings
 from loomvec.streaming import progress, records, resume, rolling, throughput
