@@ -21,6 +21,9 @@ from loomvec.session import scratch_path
 from loomvec.sources.shards import EMBEDDED_TABLE_SCHEMA, read_embeddings, write_embeddings
 from loomvec.streaming import progress, records, resume, rolling, throughput
 
+# Text in one of the files that a stream takes a part at a time.
+FILE_BYTES = 32 << 20
+
 
 @query(f"SELECT id, {rendered_sql('embedding')} AS vector FROM ({hashed_sql(CLEAN_DOCUMENTS_SQL, DIMS)})")
 def embed_stream(spark, sf_dir):
@@ -120,15 +123,33 @@ def late_requests(spark, sf_dir):
     return spark.range(1).select(*[F.lit(total[name]).cast("bigint").alias(name) for name in total])
 
 
+def _write_parts(spark, sf_dir, parts, folder):
+    """The documents as JSONL files ``folder/part/file``, a part for each remainder of ``doc_id``; how many files each part has.
+
+    All parts have as many files as the largest one needs for files of about ``FILE_BYTES``, so no task handles a whole part.
+    A blank line, which is no record, stands in each file, so that none is left out however the rows fall.
+    """
+    line = F.to_json(F.struct(F.col("doc_id").alias("_id"), "text"))
+    docs = table(spark, sf_dir, "documents").withColumn("part", F.col("doc_id") % parts)
+    # Besides its text a line has an id, names and marks.
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 32)
+    sizes = docs.groupBy("part").agg(size.alias("bytes")).collect()
+    files = max([1, *(-(-row["bytes"] // FILE_BYTES) for row in sizes)])
+    lines = docs.select(line.alias("value"), "part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files)).alias("file"))
+    held = spark.createDataFrame([(row["part"],) for row in sizes], docs.select("part").schema)
+    blank = held.select(F.lit("").alias("value"), "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(files - 1).cast("long"))).alias("file"))
+    # One file a task; remainders of negative ids, and a null one, share tasks with others.
+    task = F.pmod(F.coalesce("part", F.lit(0)), F.lit(parts)) * files + F.col("file")
+    lines.union(blank).repartitionById(parts * files, task.cast("int")).write.partitionBy("part", "file").text(folder)
+    return files
+
+
 @query("SELECT count(DISTINCT doc_id % 6) AS batches, count(*) AS rows FROM documents")
 def files_per_trigger(spark, sf_dir):
-    """A stream that takes one file at a time: its micro-batches, by the commits in its checkpoint."""
+    """A stream that takes so many files at a time as a part has: its micro-batches, by the commits in its checkpoint."""
     base = scratch_path(spark, "trickle")
-    line = F.to_json(F.struct(F.col("doc_id").alias("_id"), "text"))
-    lines = table(spark, sf_dir, "documents").select(line.alias("value"), (F.col("doc_id") % 6).alias("file"))
-    # One file for each of the six.
-    lines.repartition("file").write.partitionBy("file").text(f"{base}/in")
-    stream = records.record_stream(spark, f"{base}/in/*", max_files=1)
+    files = _write_parts(spark, sf_dir, 6, f"{base}/in")
+    stream = records.record_stream(spark, f"{base}/in/*/*", max_files=files)
     throughput.finish(records.embed_stream(stream, f"{base}/out", f"{base}/checkpoint", Hashing, clean=False))
     commits = spark.read.format("binaryFile").load(f"{base}/checkpoint/commits").where(F.col("path").rlike("/[0-9]+$"))
     batches = commits.agg(F.count("*").alias("batches"))
@@ -196,13 +217,11 @@ def retried_records(spark, sf_dir):
 def stream_progress(spark, sf_dir):
     """What a running stream told a listener, added up, beside what it wrote."""
     base = scratch_path(spark, "progress")
-    line = F.to_json(F.struct(F.col("doc_id").alias("_id"), "text"))
-    lines = table(spark, sf_dir, "documents").select(line.alias("value"), (F.col("doc_id") % 4).alias("file"))
-    lines.repartition("file").write.partitionBy("file").text(f"{base}/in")
+    files = _write_parts(spark, sf_dir, 4, f"{base}/in")
     told = progress.Progress()
     spark.streams.addListener(told)
     try:
-        stream = records.record_stream(spark, f"{base}/in/*", max_files=1)
+        stream = records.record_stream(spark, f"{base}/in/*/*", max_files=files)
         running = records.embed_stream(stream, f"{base}/out", f"{base}/checkpoint", Hashing)
         running.awaitTermination()
         progress.await_news(told, running)

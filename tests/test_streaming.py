@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loomvec.operators import request_log
 from loomvec.operators.embed import embed_records, embedded_ok, prepare_texts
 from loomvec.operators.providers import HashingProvider
+from loomvec.plans.catalog import streams
 from loomvec.sources.records import read_records
 from loomvec.sources.shards import read_embeddings
 from loomvec.streaming import records, rolling, throughput
@@ -135,3 +136,18 @@ def test_rolling_stream_equals_batch_over_restarts(spark, tmp_path):
     key = ["run", "tick_start", "samples", *rounded]
     assert got.count() == want.count() > 50
     assert got.select(key).exceptAll(want.select(key)).count() == 0
+
+
+def test_a_part_of_a_stream_is_many_files(spark, tmp_path, monkeypatch):
+    """However large a part is, no file and so no task holds all of it; the micro-batches are still those of the parts."""
+    monkeypatch.setattr(streams, "FILE_BYTES", 20_000, raising=False)
+    rows = [(4 * i if i < 900 else i, f"text {i} " * 20) for i in range(1200)]
+    rows += [(8, "copy " * 30)] * 600 + [(2, None), (3, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    with_text = sum(bool(text) for _, text in rows)
+    for name, parts, wanted in (("stream_progress", 4, (with_text, True, True)), ("files_per_trigger", 6, (6, len(rows)))):
+        base = tmp_path / name
+        monkeypatch.setattr(streams, "scratch_path", lambda spark, name, base=base: str(base))
+        assert [tuple(r) for r in getattr(streams, name)(spark, str(tmp_path)).collect()] == [wanted]
+        sizes = [p.stat().st_size for p in (base / "in").rglob("part-*")]
+        assert len(sizes) % parts == 0 and max(sizes) < 40_000
