@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomvec.llm.wordarrays import short_batches
+from loomvec.llm.wordarrays import returning, short_batches
 
 _NONE = np.int32(2**31 - 1)
 _PAD = np.int32(-1)
@@ -233,7 +233,7 @@ def encode_documents(
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     schema = "doc_id long, ids binary" + (", decoded binary" if decode else "")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda batches: _encode(batches, path, pattern, decode), schema)
+    return rows.mapInArrow(lambda batches: returning(_encode(batches, path, pattern, decode)), schema)
 
 
 def token_count(ids: str = "ids"):

@@ -238,7 +238,7 @@ def frequent_shingles(docs: DataFrame, law: Similarity) -> np.ndarray:
     whatever the corpus; it is cut at that bound by count, which changes cost only.
     """
     total = docs.count()
-    found = docs.select("text").mapInArrow(lambda it: _frequent_in(it, law), "shingle long, texts long")
+    found = docs.select("text").mapInArrow(lambda it: wa.returning(_frequent_in(it, law)), "shingle long, texts long")
     merged = found.groupBy("shingle").agg(F.sum("texts").alias("texts"))
     most = 1 << 17
     rows = (
@@ -428,7 +428,7 @@ def _count_links(label: DataFrame, copies: DataFrame, texts: DataFrame, law: Sim
     leads = materialise(leads.select(F.col("node").alias("cluster"), F.col("text").alias("lead_text")), "leads")
     held = label.withColumnRenamed("component", "cluster").join(copies, "node").join(texts, "node").join(leads, "cluster")
     held = held.select("cluster", "node", "copies", "text", "lead_text").mapInArrow(
-        lambda it: _differences(it, law), "cluster long, node long, copies long, size long, other array<long>"
+        lambda it: wa.returning(_differences(it, law)), "cluster long, node long, copies long, size long, other array<long>"
     )
     held = materialise(held, "differences")
     weight = F.greatest(F.lit(1 / COUNTED), 8 * F.size("other") / COUNTED_BYTES)
@@ -447,23 +447,32 @@ def _count_links(label: DataFrame, copies: DataFrame, texts: DataFrame, law: Sim
     return found.groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(node, text)`` of the wanted nodes, each from one of its documents."""
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, law: Similarity) -> DataFrame:
+    """``(node, text)`` of the wanted nodes, each from one of its documents.
+
+    Where a doc_id is repeated, only texts whose set the node stands for are taken. One step in Python does it all: with a
+    second one behind the join a task would hold two worker processes.
+    """
     held = nodes.join(wanted, "node", "left_semi")
     first = held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("own_text").alias("own_text"))
     first = materialise(first, "wanted")
     marks = nodes.sparkSession.sparkContext.broadcast(bitmap_of(first, F.xxhash64("doc_id")))
     near = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
-    near = near.mapInArrow(lambda it: _marked(it, marks.value), "doc_id long, text string")
-    by_id = near.join(first.where("doc_id is not null").select("doc_id", "node"), "doc_id")
+    near = near.mapInArrow(lambda it: wa.returning(_marked(it, marks.value, law)), "doc_id long, node long, text string")
+    by_id = near.join(first.where("doc_id is not null").select("doc_id", "node"), ["doc_id", "node"])
     return by_id.select("node", "text").union(first.where("doc_id is null").select("node", "own_text"))
 
 
-def _marked(batches: Iterator[pa.RecordBatch], marks: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows whose hash has its bit; without the hash."""
+def _marked(batches: Iterator[pa.RecordBatch], marks: np.ndarray, law: Similarity) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, node, text)`` of rows whose hash has its bit."""
     for batch in batches:
         keep = may_hold(marks, batch.column(2).to_numpy(zero_copy_only=False))
-        yield batch.select([0, 1]).filter(pa.array(keep))
+        ids, text = batch.select([0, 1]).filter(pa.array(keep)).columns
+        node = [np.zeros(0, np.int64)]
+        for _, _, data, starts in wa.slices(text):
+            values, bounds, _ = wa.sets_of(data, starts, law.words)
+            node.append(fingerprint(values, bounds).view(np.int64))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(node)), text], names=["doc_id", "node", "text"])
 
 
 def _met(batches: Iterator[pa.RecordBatch], marks: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -476,18 +485,6 @@ def _met(batches: Iterator[pa.RecordBatch], marks: np.ndarray) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(flat[keep]), pa.array(node[keep])], names=["sig", "node"])
 
 
-def _own_text(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa.RecordBatch]:
-    """Where a doc_id is repeated, keep the text whose set the node stands for."""
-    for batch in batches:
-        keep = []
-        for first, _, data, starts in wa.slices(batch.column(1)):
-            values, bounds, _ = wa.sets_of(data, starts, law.words)
-            keep.append(fingerprint(values, bounds).view(np.int64))
-        if keep:
-            mask = np.concatenate(keep) == batch.column(0).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(mask))
-
-
 def similar_components(docs: DataFrame, law: Similarity = Similarity(), count_links: bool = False) -> DataFrame:
     """``(doc_id, n_shingles, component_id, text_hash, cluster)``, one row per row of ``docs (doc_id, text, ...)``.
 
@@ -508,7 +505,7 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity(), count_li
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, law))
     rows = materialise(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-            lambda it: _describe(it, law, frequent.value),
+            lambda it: wa.returning(_describe(it, law, frequent.value)),
             "doc_id long, text_hash long, n_shingles long, node long, sigs array<long>, parity binary, own_text string",
         ),
         "sets",
@@ -519,16 +516,13 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity(), count_li
     groups = materialise(groups.select("sig"), "groups")
     # Members of signature groups with more than one set: small next to all signatures.
     marks = spark.sparkContext.broadcast(bitmap_of(groups, F.col("sig")))
-    met = rows.where("node <> 0").select("node", "sigs").mapInArrow(lambda it: _met(it, marks.value), "sig long, node long")
+    met = rows.where("node <> 0").select("node", "sigs").mapInArrow(lambda it: wa.returning(_met(it, marks.value)), "sig long, node long")
     members = materialise(met.join(groups, "sig", "left_semi").distinct(), "members")
     discard(groups)
     involved = members.select("node").distinct()
     known = rows.where("parity is not null").select("node", F.col("n_shingles").alias("size"), "parity")
     parities = materialise(known.join(involved, "node", "left_semi").dropDuplicates(["node"]), "parities")
-    texts = materialise(
-        _texts(docs, nodes, involved).mapInArrow(lambda it: _own_text(it, law), "node long, text string").dropDuplicates(["node"]),
-        "texts",
-    )
+    texts = materialise(_texts(docs, nodes, involved, law).dropDuplicates(["node"]), "texts")
     # From here on only ids and labels are asked for.
     whole = rows
     rows = materialise(whole.select("doc_id", "text_hash", "n_shingles", "node"), "nodes")
@@ -622,8 +616,8 @@ def _checked(pairs: DataFrame, texts: DataFrame, parities: DataFrame, law: Simil
             rows = rows.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
         return rows.select("a", "b", *[f"{c}_{side}" for c in columns for side in "ab"])
 
-    sifted = materialise(beside(pairs, parities, "size", "parity").mapInArrow(lambda it: _sift(it, law), "a long, b long"), "sifted")
-    found = materialise(beside(sifted, texts, "text").mapInArrow(lambda it: _verify(it, law), "a long, b long"), "links")
+    sifted = materialise(beside(pairs, parities, "size", "parity").mapInArrow(lambda it: wa.returning(_sift(it, law)), "a long, b long"), "sifted")
+    found = materialise(beside(sifted, texts, "text").mapInArrow(lambda it: wa.returning(_verify(it, law)), "a long, b long"), "links")
     discard(sifted)
     return found
 

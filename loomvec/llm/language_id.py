@@ -261,4 +261,4 @@ def identify(docs: DataFrame, model: Model | None, keep: list[str] | None = None
     text = F.col("text").cast("string")
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return rows.mapInArrow(lambda batches: _predict(batches, model), schema)
+    return rows.mapInArrow(lambda batches: wa.returning(_predict(batches, model)), schema)

@@ -224,4 +224,4 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str] | None = None
     own = docs.select(*[F.col(f"`{c}`") for c in keep])
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_text"))
     schema = own.schema.add("score", "double").add("predicted", "integer")
-    return rows.mapInArrow(lambda batches: _score(batches, model), schema)
+    return rows.mapInArrow(lambda batches: wa.returning(_score(batches, model)), schema)

@@ -18,9 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-# Texts are handled in slices of about this many bytes, which bounds memory per task;
-# one longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+# Texts are handled in slices of about this many bytes, which bounds memory per task (numpy's
+# steps hold some 50 bytes for each); one longer text is a slice of its own.
+SLICE_BYTES = 1 << 18
 
 # Rows of one Arrow batch: with the usual 10,000, batches of long texts fill an executor's memory.
 BATCH_ROWS = 1000
@@ -72,7 +72,8 @@ def short_batches(spark: SparkSession) -> None:
 
 
 def give_back() -> None:
-    """Let the process return memory it no longer uses: the driver of a long pipeline fits one model after another."""
+    """Let the process return memory it no longer uses: the driver of a long pipeline fits one model after another, and
+    a worker process runs tasks of all its stages."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -80,6 +81,14 @@ def give_back() -> None:
         trim(0)
 
 
+def returning(batches: Iterator) -> Iterator:
+    """The same batches; after the last one the worker process, which Spark keeps for later tasks, gives memory back."""
+    try:
+        yield from batches
+    finally:
+        give_back()
+
+
 def slices(column: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, starts)`` of bounded parts; ``starts`` has one entry more than rows."""
     if isinstance(column, pa.ChunkedArray):

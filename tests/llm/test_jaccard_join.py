@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -50,6 +51,38 @@ def test_near_copies_around_the_limit_equal_brute_force(spark):
     assert found(frame) == Counter(texts.components(docs, 4, 85))
 
 
+def test_no_task_holds_two_worker_processes(spark, monkeypatch):
+    """Each written step has Python once, and a repeated doc_id still gives every node a text of its own set."""
+    steps = []
+
+    def noted(df, name):
+        steps.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")))
+        return written(df, name)
+
+    written = jj.materialise
+    monkeypatch.setattr(jj, "materialise", noted)
+    rng = random.Random(3)
+    bases = [[f"b{n}x{i}" for i in range(60)] for n in range(3)]
+    docs = [(n % 7, " ".join(edited(rng, bases[n % 3], 3))) for n in range(60)] + [(None, " ".join(b)) for b in bases]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    jj.similar_components(frame, LAW).collect()
+    assert dict(steps)["texts"] == 1 and max(n for _, n in steps) == 1
+    assert found(frame) == Counter(texts.components(docs, 4, 85))
+
+
+def test_memory_of_a_task_is_bounded_and_given_back(monkeypatch):
+    texts_of = wa.pa.array(["some words of a text " * 100] * 2000)
+    returned = []
+    monkeypatch.setattr(wa, "give_back", lambda: returned.append(True))
+    tracemalloc.start()
+    for part in wa.returning(wa.slices(texts_of)):
+        assert not returned
+        wa.sets_of(part[2], part[3], 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert returned == [True] and peak < 40 << 20
+
+
 def test_one_document_of_each_group_stays(spark):
     law = jj.Similarity(words=5, percent=80)
     kept = jj.keep_one(texts.frame(spark), law)
