@@ -24,7 +24,12 @@ links that join components.
 
 Before the texts of a candidate pair are brought together, a parity bitmap of each set rules out what it can: every
 shingle toggles one bit, so the bitmaps of two sets differ in at most as many bits as the sets differ in elements. A pair
-whose bitmaps differ in more bits than links allow is dropped; no link is lost.
+whose bitmaps differ in more bits than links allow is dropped; no link is lost. Large groups meet in blocks of bitmaps
+first, which leave small clusters of sets that may be linked; texts are fetched only for what is left, never for all members
+of groups. Texts that share a passage and no more would otherwise be copied to every block of all texts with that passage.
+
+What is shuffled for signatures and texts is a multiple of the input where most texts have near copies. Steps that do so
+go over their input in slices of signatures, pairs or components, one after another, so that only one slice is on disk.
 
 Links are counted afterwards: every link lies inside one component, so all pairs of a component's
 different sets are compared once, in bounded blocks, and blocks return a count per set. A set is
@@ -33,14 +38,15 @@ sent as its difference from one set of its component, which says as much and is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomvec.llm import wordarrays as wa
@@ -52,6 +58,9 @@ SEEDS = 4
 # Texts, and their bytes, on either side of one group of the block step.
 BLOCK = 2048
 BLOCK_BYTES = 8 << 20
+# Bitmaps, and their bytes, on either side of one group of the step before it.
+SIFTED = 8192
+SIFTED_BYTES = 4 << 20
 # Sets on either side of one group of the counting step, and the bytes of their differences.
 COUNTED = 1024
 COUNTED_BYTES = 4 << 20
@@ -59,6 +68,11 @@ COUNTED_BYTES = 4 << 20
 PAIRWISE = 16
 # Leader rounds before these two.
 ROUNDS = 2
+# Signatures of one slice, and the most slices of a step.
+SLICE_ROWS = 1 << 24
+MOST_SLICES = 8
+# Pairs whose texts are together at a time: at least so many, and this share of the texts.
+SLICE_PAIRS = 20_000
 # A shingle is frequent if it is in more than this share of the texts, by a summary per task.
 FREQUENT_SHARE = 0.002
 FREQUENT_AT_LEAST = 40
@@ -210,6 +224,31 @@ def _sift(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
 
+def _sift_block(left, right, law: Similarity):
+    """Pairs of two blocks that sizes and bitmaps do not rule out, no more than it takes to join the sets that such pairs join."""
+    import pandas as pd
+
+    found, links = [], _Links({*left["node"].tolist(), *right["node"].tolist()})
+    others = list(zip(*(right[c].tolist() for c in ("node", "label", "size", "parity"))))
+    for n, part in left.groupby(left["parity"].map(len)):
+        part = part.sort_values("size", kind="stable")
+        nodes, labels, sizes = (part[c].to_numpy() for c in ("node", "label", "size"))
+        maps = {n: np.frombuffer(b"".join(part["parity"]), np.uint8).reshape(len(part), n)}
+        low = np.searchsorted(sizes, [-(-law.percent * x[2] // 100) for x in others], "left").tolist()
+        high = np.searchsorted(sizes, [100 * x[2] // law.percent for x in others], "right").tolist()
+        for (node, label, size, parity), a, b in zip(others, low, high):
+            if a >= b:
+                continue
+            short = min(n, len(parity))
+            if short not in maps:
+                maps[short] = np.bitwise_xor.reduce(maps[n].reshape(len(part), -1, short), axis=1)
+            own = np.bitwise_xor.reduce(np.frombuffer(parity, np.uint8).reshape(-1, short), axis=0)
+            apart = np.bitwise_count(maps[short][a:b].view(_U) ^ own.view(_U)).sum(axis=1, dtype=np.int64)
+            near = (apart <= law.most_different(sizes[a:b] + size)) & (labels[a:b] != label)
+            found += [(x, node) for x in nodes[a:b][near].tolist() if links.join(x, node)]
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
 def _frequent_in(batches: Iterator[pa.RecordBatch], law: Similarity) -> Iterator[pa.RecordBatch]:
     """Shingles in many of a task's texts: counts of a bounded summary (lower bounds)."""
     keys, counts, texts = np.zeros(0, _U), np.zeros(0, np.int64), 0
@@ -421,16 +460,19 @@ def _count_block(rows, law: Similarity):
     return found[found["links"] > 0]
 
 
-def _count_links(label: DataFrame, copies: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame:
+def _count_links(label: DataFrame, copies: DataFrame, texts: _Texts, law: Similarity) -> DataFrame:
     """``(node, links)``: copies of all other sets each set of ``label (node, component)`` is linked with."""
     label = materialise(label, "label")
-    leads = label.select(F.col("component").alias("node")).distinct().join(texts, "node")
-    leads = materialise(leads.select(F.col("node").alias("cluster"), F.col("text").alias("lead_text")), "leads")
-    held = label.withColumnRenamed("component", "cluster").join(copies, "node").join(texts, "node").join(leads, "cluster")
-    held = held.select("cluster", "node", "copies", "text", "lead_text").mapInArrow(
-        lambda it: wa.returning(_differences(it, law)), "cluster long, node long, copies long, size long, other array<long>"
-    )
-    held = materialise(held, "differences")
+
+    def differences(part: DataFrame, text: DataFrame) -> DataFrame:
+        # A component is named after one of its sets.
+        leads = text.select(F.col("node").alias("cluster"), F.col("text").alias("lead_text"))
+        held = part.withColumnRenamed("component", "cluster").join(copies, "node").join(text, "node").join(leads, "cluster")
+        return held.select("cluster", "node", "copies", "text", "lead_text").mapInArrow(
+            lambda it: wa.returning(_differences(it, law)), "cluster long, node long, copies long, size long, other array<long>"
+        )
+
+    held = texts.used(label, "component", ["node", "component"], differences, "differences")
     weight = F.greatest(F.lit(1 / COUNTED), 8 * F.size("other") / COUNTED_BYTES)
     total = held.agg(F.sum(weight)).first()[0] or 0
     sizes = held.groupBy("cluster").agg(F.ceil(F.sum(weight)).cast("int").alias("blocks")).where("blocks > 1")
@@ -447,6 +489,42 @@ def _count_links(label: DataFrame, copies: DataFrame, texts: DataFrame, law: Sim
     return found.groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def _slices(rows: int, full: int) -> int:
+    return min(MOST_SLICES, -(-rows // full) or 1)
+
+
+def _sliced(df: DataFrame, key: str, n: int) -> list[DataFrame]:
+    """``df`` in ``n`` parts by a hash of ``key``."""
+    return [df.where(F.pmod(F.xxhash64(F.lit(n), key), F.lit(n)) == i) for i in range(n)] if n > 1 else [df]
+
+
+def _written(parts: Iterable[DataFrame], name: str) -> list[DataFrame]:
+    """Each part written, one after another; the shuffle files of one are gone before the next is made."""
+    return [materialise(part, name) for part in parts]
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, parts)
+
+
+class _Texts:
+    """Texts of sets, fetched from the documents for one slice of pairs or components at a time."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, law: Similarity):
+        self.docs, self.nodes, self.law = docs, nodes, law
+        self.full = max(SLICE_PAIRS, nodes.count() // MOST_SLICES)
+
+    def used(self, rows: DataFrame, key: str, columns: list[str], make: Callable, name: str) -> DataFrame:
+        """``make(slice, texts)`` over all slices of ``rows`` by ``key``, written; ``texts (node, text)`` has the nodes in ``columns``."""
+        done = []
+        for part in _sliced(rows, key, _slices(rows.count(), self.full)):
+            wanted = part.select(F.explode(F.array(*columns)).alias("node")).distinct()
+            texts = materialise(_texts(self.docs, self.nodes, wanted, self.law), "texts")
+            done += _written([make(part, texts)], name)
+            discard(texts)
+        return _together(done)
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, law: Similarity) -> DataFrame:
     """``(node, text)`` of the wanted nodes, each from one of its documents.
 
@@ -460,6 +538,8 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, law: Similarity
     near = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
     near = near.mapInArrow(lambda it: wa.returning(_marked(it, marks.value, law)), "doc_id long, node long, text string")
     by_id = near.join(first.where("doc_id is not null").select("doc_id", "node"), ["doc_id", "node"])
+    # A node has one doc_id here, so its repeated rows are together already.
+    by_id = by_id.dropDuplicates(["doc_id", "node"])
     return by_id.select("node", "text").union(first.where("doc_id is null").select("node", "own_text"))
 
 
@@ -510,32 +590,34 @@ def similar_components(docs: DataFrame, law: Similarity = Similarity(), count_li
         ),
         "sets",
     )
-    nodes = rows.where("node <> 0").select("doc_id", "node", "own_text")
     dealt = rows.where("node <> 0").select(F.explode("sigs").alias("sig"), "node")
-    groups = dealt.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    groups = materialise(groups.select("sig"), "groups")
+    n = _slices(rows.agg(F.sum(F.size("sigs"))).first()[0] or 0, SLICE_ROWS)
+    groups = [part.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")) for part in _sliced(dealt, "sig", n)]
+    parts = _written((part.where("low < high").select("sig") for part in groups), "groups")
+    groups = _together(parts)
     # Members of signature groups with more than one set: small next to all signatures.
     marks = spark.sparkContext.broadcast(bitmap_of(groups, F.col("sig")))
     met = rows.where("node <> 0").select("node", "sigs").mapInArrow(lambda it: wa.returning(_met(it, marks.value)), "sig long, node long")
-    members = materialise(met.join(groups, "sig", "left_semi").distinct(), "members")
-    discard(groups)
+    met = zip(_sliced(met, "sig", n), parts)
+    held = _written((some.join(part, "sig", "left_semi").distinct() for some, part in met), "members")
+    members = _together(held)
+    discard(*parts)
     involved = members.select("node").distinct()
     known = rows.where("parity is not null").select("node", F.col("n_shingles").alias("size"), "parity")
     parities = materialise(known.join(involved, "node", "left_semi").dropDuplicates(["node"]), "parities")
-    texts = materialise(_texts(docs, nodes, involved, law).dropDuplicates(["node"]), "texts")
-    # From here on only ids and labels are asked for.
+    # From here on no signatures are asked for.
     whole = rows
-    rows = materialise(whole.select("doc_id", "text_hash", "n_shingles", "node"), "nodes")
+    rows = materialise(whole.select("doc_id", "text_hash", "n_shingles", "node", "own_text"), "nodes")
     discard(whole)
-    nodes = rows.where("node <> 0").select("doc_id", "node")
+    nodes = rows.where("node <> 0")
+    texts = _Texts(docs, nodes.select("doc_id", "node", "own_text"), law)
     links = _links(members, texts, parities, law)
-    discard(members, parities)
+    discard(*held, parities)
     label = components(links) if links is not None else None
     ids = nodes.groupBy("node").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("copies"))
     counted = None
     if count_links and label is not None:
         counted = materialise(_count_links(label, ids.select("node", "copies"), texts, law), "counted")
-    discard(texts)
     ids = ids.withColumn("cluster", F.col("node")) if label is None else ids.join(
         label.withColumnRenamed("component", "cluster"), "node", "left"
     ).withColumn("cluster", F.coalesce("cluster", "node"))
@@ -571,44 +653,70 @@ def keep_one(docs: DataFrame, law: Similarity = Similarity()) -> DataFrame:
     return one.select(*columns).union(held.where(~worded).select(*columns))
 
 
-def _links(members: DataFrame, texts: DataFrame, parities: DataFrame, law: Similarity) -> DataFrame | None:
+def _links(members: DataFrame, texts: _Texts, parities: DataFrame, law: Similarity) -> DataFrame | None:
     """Verified links that connect whatever the signature groups' members connect."""
-    links, left = None, members.withColumn("label", F.col("node"))
-    if left.isEmpty():
+    links, left, parts = None, members.withColumn("label", F.col("node")), []
+    many = left.count()
+    if not many:
         return None
     for turn in range(ROUNDS):
         # The leader of a group is another member each turn; only other components are compared with it.
         pick = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "label")
-        leader = left.groupBy("sig").agg(F.min(pick).alias("lead"))
-        pairs = left.join(leader, "sig").where("label <> lead.label")
         a, b = F.least("node", F.col("lead.node")), F.greatest("node", F.col("lead.node"))
-        found = _checked(pairs.select(a.alias("a"), b.alias("b")).distinct(), texts, parities, law)
+        n = _slices(many, SLICE_ROWS)
+        led = (
+            some.join(some.groupBy("sig").agg(F.min(pick).alias("lead")), "sig").where("label <> lead.label")
+            .select(a.alias("a"), b.alias("b")).distinct()
+            for some in _sliced(left, "sig", n)
+        )
+        pairs = _written(led, "pairs") if n > 1 else [*led]
+        found = _checked(_together(pairs).distinct() if n > 1 else pairs[0], texts, parities, law)
+        discard(*(pairs if n > 1 else []))
         links = found if links is None else links.union(found)
-        known = left.select("sig", "node").join(components(links), "node", "left")
-        known = known.select("sig", "node", F.coalesce("component", "node").alias("label"))
-        spread = known.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        before, left = left, materialise(known.join(spread.where("low < high").select("sig"), "sig", "left_semi"), "open")
-        if turn:
-            discard(before)
-        if left.isEmpty():
+        label = components(links)
+        before, parts = parts, _written((_still_open(some, label) for some in _sliced(left, "sig", n)), "open")
+        left = _together(parts)
+        discard(*before)
+        many = left.count()
+        if not many:
             return links
         if found.isEmpty():
             break
     # Small groups: their pairs, at most PAIRWISE / 2 for each member.
     counts = left.groupBy("sig").agg(F.count("*").alias("n"))
     few = left.join(counts.where(F.col("n") <= PAIRWISE).select("sig"), "sig", "left_semi")
-    other = few.select("sig", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    pairs = few.withColumnRenamed("node", "a").join(other, "sig").where("a < b and label <> label_b")
-    found = _checked(pairs.select("a", "b").distinct(), texts, parities, law)
-    links = links.union(found)
-    before, left = left, materialise(left.join(counts.where(F.col("n") > PAIRWISE).select("sig"), "sig", "left_semi"), "open")
-    discard(before)
-    if left.isEmpty():
+    pairs = _pairs_within(few, "sig")
+    many = materialise(left.join(counts.where(F.col("n") > PAIRWISE).select("sig"), "sig", "left_semi"), "open")
+    large = None
+    if not many.isEmpty():
+        near = materialise(_near_clusters(many, parities, law), "near")
+        counts = near.groupBy("cluster").agg(F.count("*").alias("n"))
+        small = near.join(counts.where(F.col("n") <= PAIRWISE).select("cluster"), "cluster", "left_semi")
+        pairs = pairs.union(_pairs_within(small, "cluster"))
+        large = near.join(counts.where(F.col("n") > PAIRWISE).select("cluster"), "cluster", "left_semi")
+        large = materialise(large.select("cluster", "node", "label"), "clusters")
+    links = links.union(_checked(pairs.distinct(), texts, parities, law))
+    discard(*parts, many)
+    if large is None or large.isEmpty():
         return links
-    return links.union(materialise(_block_links(left, texts, law), "links"))
+    return links.union(texts.used(large, "cluster", ["node"], lambda part, text: _block_links(part, text, law), "links"))
 
 
-def _checked(pairs: DataFrame, texts: DataFrame, parities: DataFrame, law: Similarity) -> DataFrame:
+def _still_open(members: DataFrame, label: DataFrame) -> DataFrame:
+    """``(sig, node, label)`` of groups that hold several components."""
+    known = members.select("sig", "node").join(label, "node", "left")
+    known = known.select("sig", "node", F.coalesce("component", "node").alias("label"))
+    spread = known.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return known.join(spread.where("low < high").select("sig"), "sig", "left_semi")
+
+
+def _pairs_within(rows: DataFrame, key: str) -> DataFrame:
+    """``(a, b)``: the pairs of different labels of each group."""
+    other = rows.select(key, F.col("node").alias("b"), F.col("label").alias("label_b"))
+    return rows.withColumnRenamed("node", "a").join(other, key).where("a < b and label <> label_b").select("a", "b")
+
+
+def _checked(pairs: DataFrame, texts: _Texts, parities: DataFrame, law: Similarity) -> DataFrame:
     """The linked ones of ``pairs``, written; bitmaps are brought together first, texts only for the pairs these leave."""
 
     def beside(rows: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -617,27 +725,44 @@ def _checked(pairs: DataFrame, texts: DataFrame, parities: DataFrame, law: Simil
         return rows.select("a", "b", *[f"{c}_{side}" for c in columns for side in "ab"])
 
     sifted = materialise(beside(pairs, parities, "size", "parity").mapInArrow(lambda it: wa.returning(_sift(it, law)), "a long, b long"), "sifted")
-    found = materialise(beside(sifted, texts, "text").mapInArrow(lambda it: wa.returning(_verify(it, law)), "a long, b long"), "links")
+    verify = lambda part, text: beside(part, text, "text").mapInArrow(lambda it: wa.returning(_verify(it, law)), "a long, b long")
+    found = texts.used(sifted, "a", ["a", "b"], verify, "links")
     discard(sifted)
     return found
 
 
-def _block_links(left: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame:
-    """Compare all components that still meet in a group, block by block.
+def _near_clusters(left: DataFrame, parities: DataFrame, law: Similarity) -> DataFrame:
+    """``(cluster, node, label)`` of the sets that their sizes and bitmaps leave a link with another component.
 
-    Groups that share members form a cluster. Its largest component is compared with the
-    others only, so a cluster costs (members outside that component) x (members).
+    Groups that share members meet in blocks; any two sets that may be linked are in one of the clusters returned.
     """
     low = left.groupBy("sig").agg(F.min("node").alias("low"))
     cluster = components(left.join(low, "sig").select(F.col("node").alias("a"), F.col("low").alias("b")))
-    held = materialise(
-        left.select("node", "label").distinct().join(cluster, "node").select("node", "label", F.col("component").alias("cluster")),
-        "clusters",
+    held = left.select("node", "label").distinct().join(cluster.withColumnRenamed("component", "cluster"), "node").join(parities, "node")
+    held = materialise(held.select("cluster", "node", "label", "size", "parity"), "clusters")
+    weight = F.greatest(F.lit(1 / SIFTED), F.octet_length("parity") / SIFTED_BYTES)
+    met = _in_blocks(held, weight).applyInPandas(
+        lambda rows: _sift_block(rows[rows["side"] == 0], rows[rows["side"] == 1], law), "a long, b long"
     )
-    # Blocks a part of the cluster needs: by its texts or by their bytes, whichever is more.
-    weighed = held.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
-    weight = F.greatest(F.lit(1 / BLOCK), F.col("bytes") / BLOCK_BYTES)
-    sizes = weighed.groupBy("cluster", "label").agg(F.sum(weight).alias("n"))
+    met = materialise(met, "near")
+    return held.select("node", "label").join(components(met).withColumnRenamed("component", "cluster"), "node").select("cluster", "node", "label")
+
+
+def _block_links(held: DataFrame, texts: DataFrame, law: Similarity) -> DataFrame:
+    """Compare all components of each cluster of ``held (cluster, node, label)``, block by block."""
+    weight = F.greatest(F.lit(1 / BLOCK), F.octet_length("text") / BLOCK_BYTES)
+    return _in_blocks(held.join(texts, "node"), weight).applyInPandas(
+        lambda rows: _compare_blocks(rows[rows["side"] == 0], rows[rows["side"] == 1], law), "a long, b long"
+    )
+
+
+def _in_blocks(held: DataFrame, weight: Column):
+    """Groups in which any two rows of different components of a cluster meet once, on side 0 and side 1.
+
+    A cluster's largest component is compared with the others only, so a cluster costs (members outside that
+    component) x (members). Rows of weight 1 fill a block.
+    """
+    sizes = held.groupBy("cluster", "label").agg(F.sum(weight).alias("n"))
     sizes = sizes.groupBy("cluster").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
     sizes = materialise(
         sizes.select(
@@ -647,13 +772,11 @@ def _block_links(left: DataFrame, texts: DataFrame, law: Similarity) -> DataFram
         ),
         "sizes",
     )
-    held = held.join(sizes, "cluster").join(texts, "node")
+    fields = ["side", "cluster", "i", "j", *[c for c in held.columns if c != "cluster"]]
+    held = held.join(sizes, "cluster")
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    fields = ["side", "cluster", "i", "j", "node", "label", "text"]
     outside = held.where("label <> top").withColumn("side", F.lit(0)).withColumn("i", place("few"))
     outside = outside.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     every = held.withColumn("side", F.lit(1)).withColumn("j", place("blocks"))
     every = every.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("few") - 1)))
-    return outside.select(fields).union(every.select(fields)).groupBy("cluster", "i", "j").applyInPandas(
-        lambda rows: _compare_blocks(rows[rows["side"] == 0], rows[rows["side"] == 1], law), "a long, b long"
-    )
+    return outside.select(fields).union(every.select(fields)).groupBy("cluster", "i", "j")

@@ -70,6 +70,85 @@ def test_no_task_holds_two_worker_processes(spark, monkeypatch):
     assert found(frame) == Counter(texts.components(docs, 4, 85))
 
 
+def test_texts_are_fetched_only_for_sets_that_may_be_linked(spark, monkeypatch):
+    """Texts that share a passage and no more meet in large groups; their texts are not brought together."""
+    rows = {}
+
+    def noted(df, name):
+        table = written(df, name)
+        rows.setdefault(name, []).append(table.count())
+        return table
+
+    written = jj.materialise
+    monkeypatch.setattr(jj, "materialise", noted)
+    rng = random.Random(11)
+    passages = [[f"p{n}x{i}" for i in range(30)] for n in range(8)]
+    docs = [" ".join([f"own{n}x{i}" for i in range(rng.randrange(35, 60))] + passages[n % 8]) for n in range(300)]
+    near = [f"near{i}" for i in range(90)]
+    docs += [" ".join(edited(rng, near, 1)) for _ in range(6)]
+    docs = list(enumerate(docs))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert found(frame) == Counter(texts.components(docs, 4, 85))
+    assert max(rows["members"]) > 300
+    assert sum(rows["texts"]) <= 20
+
+
+def test_slices_give_what_one_step_gives(spark, monkeypatch):
+    """Texts that all have near copies: signatures, members, pairs and texts go through the disk part by part."""
+    rows = {}
+
+    def noted(df, name):
+        table = written(df, name)
+        rows.setdefault(name, []).append(table.count())
+        return table
+
+    written = jj.materialise
+    monkeypatch.setattr(jj, "materialise", noted)
+    monkeypatch.setattr(jj, "SLICE_ROWS", 200)
+    monkeypatch.setattr(jj, "SLICE_PAIRS", 10)
+    monkeypatch.setattr(jj, "MOST_SLICES", 3)
+    rng = random.Random(12)
+    docs = []
+    for g in range(30):
+        start = [f"g{g}x{i}" for i in range(50)]
+        docs += [" ".join(edited(rng, start, rng.randrange(2))) for _ in range(4)]
+    docs = [*enumerate(docs), *((None, t) for t in docs[:3])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    made = jj.similar_components(frame, LAW, count_links=True).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in made) == link_counts(docs, 4, 85)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in made) == Counter(texts.components(docs, 4, 85))
+    for name in ("groups", "members"):
+        assert len(rows[name]) == 3 and max(rows[name]) < 0.6 * sum(rows[name])
+    assert len(rows["differences"]) > 1 and sum(rows["differences"]) == rows["label"][0]
+
+
+@pytest.mark.parametrize("percent", [50, 85])
+def test_blocks_of_bitmaps_join_whatever_pairs_may_join(percent):
+    import pandas as pd
+
+    law, rng = jj.Similarity(4, percent), np.random.default_rng(percent)
+    bases = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (3, 30, 34, 100, 900)]
+    sets = [np.unique(np.concatenate((b[int(rng.integers(0, len(b) // 3 + 1)) :], rng.integers(0, 2**63, 2, dtype=np.uint64)))) for b in bases for _ in range(12)]
+    parity = jj.parity_bitmaps(np.concatenate(sets), np.array([len(x) for x in sets]))
+    rows = pd.DataFrame({"node": np.arange(len(sets)), "label": np.arange(len(sets)) // 2, "size": [len(x) for x in sets], "parity": parity})
+    left, right = rows[rows["node"] % 3 > 0], rows
+    may = lambda a, b: (
+        law.linked(min(a.size, b.size), a.size, b.size) and jj.bits_apart(a.parity, b.parity) <= law.most_different(a.size + b.size)
+    )
+    records = list(rows.itertuples(index=False))
+    wanted, got = jj._Links(range(len(sets))), jj._Links(range(len(sets)))
+    allowed = {(a.node, b.node) for a in records for b in records if a.node % 3 and a.label != b.label and may(a, b)}
+    for a, b in allowed:
+        wanted.join(a, b)
+    found = jj._sift_block(left, right, law)
+    pairs = list(zip(found["a"].tolist(), found["b"].tolist()))
+    assert pairs and len(pairs) < len(sets) and set(pairs) <= allowed
+    for a, b in pairs:
+        got.join(a, b)
+    assert [wanted.find(i) for i in range(len(sets))] == [got.find(i) for i in range(len(sets))]
+    assert not len(jj._sift_block(left[:0], right, law)) and not len(jj._sift_block(left, right[:0], law))
+
+
 def test_memory_of_a_task_is_bounded_and_given_back(monkeypatch):
     texts_of = wa.pa.array(["some words of a text " * 100] * 2000)
     returned = []
