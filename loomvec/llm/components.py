@@ -2,11 +2,34 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomvec.session import discard, materialise
 
+#: Edges that the driver joins by itself (1 MB); more go through rounds of written tables.
+FEW = 1 << 16
+
+
+def _joined(edges: DataFrame) -> DataFrame:
+    """``(a, b)``: the smallest node of its component for every other node, of a table of few edges."""
+    to: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := to.setdefault(x, x)) != x:
+            to[x] = to.setdefault(up, up)
+            x = to[x]
+        return x
+
+    for row in edges.collect():
+        a, b = find(row.a), find(row.b)
+        to[max(a, b)] = min(a, b)
+    low = {x: find(x) for x in list(to)}
+    nodes = [x for x in low if low[x] != x]
+    found = pa.table({"a": pa.array(nodes, pa.int64()), "b": pa.array([low[x] for x in nodes], pa.int64())})
+    return materialise(edges.sparkSession.createDataFrame(found), "stars")
+
 
 def _state(edges: DataFrame) -> tuple:
     mixed = F.xxhash64("a", "b")
@@ -19,13 +42,16 @@ def components(edges: DataFrame) -> DataFrame:
     Each round lets every node point its larger neighbours, then its smaller ones, at the
     smallest neighbour. Sums are combined before the shuffle and the join back splits hot
     nodes, so a node may touch any share of the edges. Rounds are written tables, and grow
-    with the logarithm of the longest chain. Self-loops and nulls give no rows.
+    with the logarithm of the longest chain. At most ``FEW`` edges are joined on the driver. Self-loops and nulls give no rows.
     """
     a, b = F.col("a"), F.col("b")
     now = edges.where("a <> b").select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
     now = materialise(now, "edges")
     state = _state(now)
-    while state[0]:
+    few = 0 < state[0] <= FEW
+    if few:
+        now = _joined(now)
+    while state[0] and not few:
         both = now.union(now.select("b", "a"))
         lowest = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
         large = both.join(lowest, "a").where("b > a and b <> low").select(b.alias("a"), F.col("low").alias("b")).distinct()

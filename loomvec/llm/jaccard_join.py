@@ -644,12 +644,14 @@ def keep_one(docs: DataFrame, law: Similarity = Similarity()) -> DataFrame:
     found = similar_components(docs, law).where("cluster is not null").select("doc_id", "text_hash", "cluster")
     first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
     stays = found.groupBy("cluster").agg(F.min(first).alias("first"))
-    stays = materialise(stays.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"), F.lit(True).alias("_stays")), "stays")
+    # Plain keys, so that the rows of one are still together after the join and texts are shuffled once.
+    key = lambda doc_id, text_hash: [F.coalesce(doc_id, F.lit(0)).alias("_own_id"), doc_id.isNull().alias("_own_null"), text_hash.alias("_own_hash")]
+    keys = ["_own_id", "_own_null", "_own_hash"]
+    stays = materialise(stays.select(*key(F.col("first.doc_id"), F.col("first.text_hash"))), "stays")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    held = docs.select(*columns, F.col("doc_id").cast("long").alias("_own_id"), F.xxhash64(F.col("text").cast("string")).alias("_own_hash"))
+    held = docs.select(*columns, *key(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))))
     worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    same = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash"))
-    one = held.where(worded).join(stays, same).dropDuplicates(["_own_id", "_own_hash"])
+    one = held.where(worded).join(stays, keys).dropDuplicates(keys)
     return one.select(*columns).union(held.where(~worded).select(*columns))
 
 

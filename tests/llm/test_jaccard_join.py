@@ -110,7 +110,7 @@ def test_slices_give_what_one_step_gives(spark, monkeypatch):
     rng = random.Random(12)
     docs = []
     for g in range(30):
-        start = [f"g{g}x{i}" for i in range(50)]
+        start = [f"g{g}x{i}" for i in range(120)]
         docs += [" ".join(edited(rng, start, rng.randrange(2))) for _ in range(4)]
     docs = [*enumerate(docs), *((None, t) for t in docs[:3])]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
@@ -221,6 +221,18 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(edges.where("a < 0")).count() == 0
 
 
+def test_components_by_rounds_and_on_the_driver_are_the_same(spark, monkeypatch):
+    from loomvec.llm import components as module
+
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(1000, 1060)] + [(5, 5), (3, 1000), (None, 4)]
+    edges += [(rng.randrange(-500, 0), rng.randrange(-500, 0)) for _ in range(150)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    few = sorted((r.node, r.component) for r in components(frame).collect())
+    monkeypatch.setattr(module, "FEW", 0)
+    assert few == sorted((r.node, r.component) for r in components(frame).collect()) and len(few) > 100
+
+
 def link_counts(docs, k, percent):
     """``(doc_id, text, other rows linked)`` by comparing all pairs of sets."""
     sets = [texts.shingles(t, k) for _, t in docs]
